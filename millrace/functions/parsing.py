@@ -22,12 +22,14 @@ def from_message(column: str, schema: T.StructType | str) -> Column:
     return F.from_json(F.col(column), schema)
 
 
-def to_message(df: DataFrame, key: str, columns: list[str] | None = None) -> DataFrame:
+def to_message(
+    df: DataFrame, key: str, columns: list[str] | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Rows as (key string, value JSON text), the form a topic takes."""
-    names = columns or df.columns
     return df.select(
         F.col(key).cast("string").alias("key"),
-        F.to_json(F.struct(*names)).alias("value"),
+        F.to_json(F.struct(*(columns or df.columns))).alias("value"),
+        *keep,
     )
 
 

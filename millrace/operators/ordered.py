@@ -105,30 +105,23 @@ def exact_percentiles(
         "__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0))
     ).withColumn("__total", F.sum("__n").over(per_key))
 
-    # For q the wanted place is q * (n - 1); it falls on one value or between two.
-    def place(q: float) -> Column:
-        return F.lit(float(q)) * (F.col("__total") - 1)
-
-    wanted = F.array(*[
-        F.struct(
-            F.lit(float(q)).alias("q"),
-            edge(place(q)).cast("bigint").alias("at"),
-            F.lit(is_low).alias("low"),
-            (place(q) - F.floor(place(q))).alias("part"),
-        )
-        for q in quantiles
-        for edge, is_low in ((F.floor, True), (F.ceil, False))
-    ])
-    inside = F.filter(
-        wanted,
-        lambda w: (w["at"] >= F.col("__before")) & (w["at"] < F.col("__before") + F.col("__n")),
+    # The place of quantile q is q * (n - 1): on one value, or between two.
+    place = "q * (__total - 1)"
+    wanted = F.expr(
+        f"transform(array({', '.join(repr(float(q)) + 'D' for q in quantiles)}), q -> "
+        f"named_struct('q', q, '__lo', floor({place}), '__hi', ceil({place}), "
+        f"'__frac', {place} - floor({place})))"
     )
-    parts = keep(
-        parts.withColumn("__want", inside)
+    inside = "filter({array}, w -> (w.__lo >= {a} AND w.__lo < {b}) OR (w.__hi >= {a} AND w.__hi < {b}))"
+    parts = (
+        parts.withColumn("__all", wanted)
+        .withColumn(
+            "__want", F.expr(inside.format(array="__all", a="__before", b="__before + __n"))
+        )
         .where(F.size("__want") > 0)
-        .select(_PART, *keys, "__before", "__want"),
-        "quantile-parts",
+        .select(_PART, *keys, "__before", "__want")
     )
+    parts = keep(parts, "quantile-parts")
     small = bounded_broadcast(parts)
     rows = placed.join(small, _same_keys(placed, small, [_PART, *keys])).select(
         placed[_PART], *[placed[k] for k in keys], "__v", "__w", "__before", "__want"
@@ -136,25 +129,23 @@ def exact_percentiles(
     upto = Window.partitionBy(_PART, *keys).orderBy("__v").rowsBetween(
         Window.unboundedPreceding, 0
     )
-    rows = rows.withColumn("__end", F.col("__before") + F.sum("__w").over(upto))
-    hits = rows.withColumn(
-        "__hit",
-        F.explode(
-            F.filter(
-                "__want",
-                lambda w: (w["at"] < F.col("__end"))
-                & (w["at"] >= F.col("__end") - F.col("__w")),
-            )
-        ),
+    rows = rows.withColumn("__end", F.col("__before") + F.sum("__w").over(upto)).withColumn(
+        "__start", F.col("__end") - F.col("__w")
     )
-    low = F.max(F.when(F.col("__hit.low"), F.col("__v")))
-    high = F.max(F.when(~F.col("__hit.low"), F.col("__v")))
+    hits = rows.select(
+        *keys, "__v", "__start", "__end",
+        F.inline(F.expr(inside.format(array="__want", a="__start", b="__end"))),
+    )
+
+    def at(edge: str) -> Column:
+        return F.max(F.when(F.expr(f"{edge} >= __start AND {edge} < __end"), F.col("__v")))
+
     return (
-        hits.groupBy(*keys, F.col("__hit.q").alias("q"), F.col("__hit.part").alias("__part_of"))
-        .agg(low.alias("__low"), high.alias("__high"))
+        hits.groupBy(*keys, "q", "__frac")
+        .agg(at("__lo").alias("__low"), at("__hi").alias("__high"))
         .select(
             *keys,
             "q",
-            (F.col("__low") + (F.col("__high") - F.col("__low")) * F.col("__part_of")).alias(value),
+            (F.col("__low") + (F.col("__high") - F.col("__low")) * F.col("__frac")).alias(value),
         )
     )

@@ -32,8 +32,14 @@ def decode(messages: DataFrame, schema: T.StructType | str, time: str = "EventTi
     ).select("message.*", time)
 
 
-def encode(df: DataFrame, key: str) -> DataFrame:
-    return to_message(df, key)
+def encode(
+    df: DataFrame, key: str, fields: list[str] | None = None, time: str | None = None
+) -> DataFrame:
+    """Rows as (key, value) messages, with ``time`` also with the topic's timestamp."""
+    message = to_message(df, key, fields, keep=(time,) if time else ())
+    if time:
+        message = message.withColumn("timestamp", F.col(time).cast("timestamp")).drop(time)
+    return message
 
 
 def write_topic(df: DataFrame, servers: str, topic: str) -> None:
