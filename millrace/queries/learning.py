@@ -1 +1,329 @@
+"""Learning: fits return (metric, value) rows, scoring returns predictions."""
 
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.sql import functions as F
+
+from millrace import scratch
+from millrace.ml import features, models, scoring
+from millrace.queries.registry import query, table
+from millrace.queries.features import STOP_WORDS
+
+
+def _lines(spark, sf_dir):
+    """features = [quantity / stddev], label = price; keys for the split."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_shipdate", "l_quantity",
+        F.col("l_extendedprice").alias("label"),
+    )
+    vectors = features.assembler(["l_quantity"], "raw").transform(rows)
+    scaled = features.scaler("raw", "features").fit(vectors).transform(vectors)
+    return scaled.select("l_orderkey", "l_partkey", "l_shipdate", "features", "label")
+
+
+def _labelled(spark, sf_dir):
+    """features = [length, share of spaces] of a document, label = quality."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.col("n_chars").cast("double").alias("n_chars"),
+        (F.size(F.split("text", " ")) / F.greatest(F.col("n_chars"), F.lit(1))).alias("spaces"),
+    )
+    labels = table(spark, sf_dir, "labels").select(
+        "doc_id", F.col("quality").cast("double").alias("label")
+    )
+    rows = docs.join(labels, "doc_id")
+    vectors = features.assembler(["n_chars", "spaces"], "raw").transform(rows)
+    scaled = features.scaler("raw", "features").fit(vectors).transform(vectors)
+    return scaled.select("doc_id", "features", "label")
+
+
+def _split_lines(spark, sf_dir):
+    return models.stable_split(
+        models.prepared(_lines(spark, sf_dir)), ["l_orderkey", "l_partkey"], 0.8
+    )
+
+
+def _split_docs(spark, sf_dir, fraction: float = 0.8):
+    return models.stable_split(models.prepared(_labelled(spark, sf_dir)), ["doc_id"], fraction)
+
+
+def _regress(spark, sf_dir, learner, **extra):
+    train, test = _split_lines(spark, sf_dir)
+    model = learner.fit(train)
+    found = models.regression_metrics(model.transform(test))
+    return model, models.metric_rows(spark, {**found, **extra})
+
+
+def _classify(spark, sf_dir, learner):
+    train, test = _split_docs(spark, sf_dir)
+    return models.metric_rows(spark, models.class_metrics(learner.fit(train).transform(test)))
+
+
+@query("ml_linreg")
+def ml_linreg(spark, sf_dir):
+    model = models.linear_regression().fit(models.prepared(_lines(spark, sf_dir)))
+    summary = model.summary
+    return models.metric_rows(spark, {
+        "coefficient": model.coefficients[0], "intercept": model.intercept,
+        "rmse": summary.rootMeanSquaredError, "r2": summary.r2,
+    })
+
+
+@query("ml_linreg_plain", """
+    SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+           round(regr_intercept(l_extendedprice, l_quantity), 2) AS intercept,
+           round(regr_r2(l_extendedprice, l_quantity), 6) AS r2
+    FROM lineitem""")
+def ml_linreg_plain(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").selectExpr("l_quantity", "l_extendedprice AS label")
+    vectors = features.assembler(["l_quantity"], "features").transform(rows)
+    model = models.linear_regression(regParam=0.0, elasticNetParam=0.0, solver="normal").fit(vectors)
+    found = [(float(model.coefficients[0]), float(model.intercept), float(model.summary.r2))]
+    return spark.createDataFrame(found, "slope double, intercept double, r2 double").select(
+        F.round("slope", 4).alias("slope"), F.round("intercept", 2).alias("intercept"),
+        F.round("r2", 6).alias("r2"),
+    )
+
+
+@query("ml_dt_reg")
+def ml_dt_reg(spark, sf_dir):
+    model, metrics = _regress(spark, sf_dir, models.tree_regressor())
+    text = spark.createDataFrame(
+        [("depth", float(model.depth)), ("nodes", float(model.numNodes)),
+         ("tree_text_lines", float(len(model.toDebugString.splitlines())))],
+        "metric string, value double",
+    )
+    return metrics.union(text)
+
+
+@query("ml_logreg")
+def ml_logreg(spark, sf_dir):
+    docs = models.prepared(_labelled(spark, sf_dir).withColumn("name", F.col("label").cast("string")))
+    stages = Pipeline(stages=[
+        features.StringIndexer(inputCol="name", outputCol="target", handleInvalid="skip"),
+        models.logistic_regression("target"),
+    ])
+    summary = stages.fit(docs).stages[-1].summary
+    # The curve is thinned to about a thousand points by the library.
+    return summary.roc.withColumn("auc", F.lit(summary.areaUnderROC))
+
+
+@query("ml_logreg_multi")
+def ml_logreg_multi(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(
+        "lang", F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(F.split("text", " ")).cast("double").alias("n_words"),
+    )
+    indexed = features.string_index(docs, "lang", "label").transform(docs)
+    train = models.prepared(
+        features.assembler(["n_chars", "n_words"], "features").transform(indexed)
+        .select("features", "label")
+    )
+    model = models.multinomial_regression().fit(train)
+    rows = [
+        (int(c), float(model.interceptVector[c]), [float(x) for x in model.coefficientMatrix.toArray()[c]])
+        for c in range(model.numClasses)
+    ]
+    frame = spark.createDataFrame(rows, "class int, intercept double, coefficients array<double>")
+    return frame.withColumn("accuracy", F.lit(model.summary.accuracy))
+
+
+@query("ml_dt_cls")
+def ml_dt_cls(spark, sf_dir):
+    return _classify(spark, sf_dir, models.tree_classifier())
+
+
+@query("ml_nb")
+def ml_nb(spark, sf_dir):
+    return _classify(spark, sf_dir, models.naive_bayes())
+
+
+@query("ml_svm")
+def ml_svm(spark, sf_dir):
+    return _classify(spark, sf_dir, models.linear_svm())
+
+
+@query("ml_rf_reg")
+def ml_rf_reg(spark, sf_dir):
+    return _regress(spark, sf_dir, models.forest_regressor())[1]
+
+
+@query("ml_rf_cls")
+def ml_rf_cls(spark, sf_dir):
+    return _classify(spark, sf_dir, models.forest_classifier())
+
+
+@query("ml_gbt_reg")
+def ml_gbt_reg(spark, sf_dir):
+    return _regress(spark, sf_dir, models.boosted_regressor())[1]
+
+
+@query("ml_gbt_cls")
+def ml_gbt_cls(spark, sf_dir):
+    return _classify(spark, sf_dir, models.boosted_classifier())
+
+
+def _clustered(spark, sf_dir, learner):
+    rows = models.prepared(_lines(spark, sf_dir).select("features"))
+    model = learner.fit(rows)
+    found = models.silhouette(model.transform(rows))
+    for i, center in enumerate(model.clusterCenters()):
+        found[f"center_{i}"] = float(center[0])
+    return models.metric_rows(spark, found)
+
+
+@query("ml_kmeans")
+def ml_kmeans(spark, sf_dir):
+    return _clustered(spark, sf_dir, models.k_means())
+
+
+@query("ml_bisecting")
+def ml_bisecting(spark, sf_dir):
+    return _clustered(spark, sf_dir, models.bisecting_k_means())
+
+
+@query("ml_lda")
+def ml_lda(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    terms = features.tokenizer("text", "terms").transform(docs)
+    kept = features.stop_words_remover("terms", "kept", STOP_WORDS).transform(terms)
+    counter = features.count_vectorizer(kept, "kept", "features", size=1_000, min_df=2)
+    counts = models.prepared(counter.transform(kept).select("doc_id", "features"))
+    topics = models.topics().fit(counts).describeTopics(3)
+    words = F.array(*[F.lit(w) for w in counter.vocabulary])
+    pairs = F.arrays_zip(
+        F.transform("termIndices", lambda i: F.get(words, i)).alias("term"),
+        F.col("termWeights").alias("weight"),
+    )
+    return topics.select("topic", F.inline(pairs))
+
+
+@query("ml_gmm")
+def ml_gmm(spark, sf_dir):
+    rows = models.prepared(_lines(spark, sf_dir).select("features"))
+    model = models.gaussian_mixture().fit(rows)
+    found = [
+        (i, float(w), float(g.mean[0]), float(g.cov.toArray()[0][0]))
+        for i, (w, g) in enumerate(zip(model.weights, model.gaussians))
+    ]
+    return spark.createDataFrame(found, "part int, weight double, mean double, variance double")
+
+
+def _purchases(spark, sf_dir):
+    """Customer, part and quantity as text; every order's status letter spoils some ids."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("C"), "o_custkey"))
+        .otherwise(F.col("o_custkey").cast("string")).alias("customer"),
+        F.col("l_partkey").cast("string").alias("part"),
+        F.col("l_quantity").cast("string").alias("quantity"),
+    )
+
+
+def _ratings(spark, sf_dir):
+    whole = _purchases(spark, sf_dir).withColumn(
+        "quantity", F.split_part("quantity", F.lit("."), F.lit(1))
+    )
+    return models.ratings(whole, "customer", "part", "quantity")
+
+
+@query("ml_ratings", """
+    SELECT CAST(o_custkey AS INTEGER) AS user_id, CAST(l_partkey AS INTEGER) AS item_id,
+           CAST(l_quantity AS INTEGER) AS rating
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P'""")
+def ml_ratings(spark, sf_dir):
+    return _ratings(spark, sf_dir)
+
+
+@query("ml_als")
+def ml_als(spark, sf_dir):
+    train, test = models.stable_split(
+        models.prepared(_ratings(spark, sf_dir)), ["user_id", "item_id"], 0.7
+    )
+    predicted = models.factors().fit(train).transform(test)
+    return models.metric_rows(spark, models.regression_metrics(predicted, "rating"))
+
+
+@query("ml_recommend")
+def ml_recommend(spark, sf_dir):
+    model = models.factors().fit(models.prepared(_ratings(spark, sf_dir)))
+    items = models.top_items(model).select(F.lit("user").alias("of"), F.col("user_id").alias("id"),
+                                           F.col("item_id").alias("best"), "rating")
+    users = models.top_users(model).select(F.lit("item").alias("of"), F.col("item_id").alias("id"),
+                                           F.col("user_id").alias("best"), "rating")
+    return items.union(users)
+
+
+@query("ml_split", """
+    SELECT CASE WHEN substr(md5(l_orderkey || '|' || l_partkey), 1, 8) < 'cccccccc' THEN 'train'
+                ELSE 'test' END AS side,
+           count(*) AS n, round(sum(l_quantity), 2) AS quantity
+    FROM lineitem GROUP BY 1""")
+def ml_split(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    train, test = models.stable_split(lines, ["l_orderkey", "l_partkey"], 0.8)
+    sides = train.withColumn("side", F.lit("train")).union(test.withColumn("side", F.lit("test")))
+    return sides.groupBy("side").agg(
+        F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity")
+    )
+
+
+@query("ml_metrics", """
+    WITH p AS (SELECT l_extendedprice AS y, l_quantity * 2000.0::DOUBLE AS f FROM lineitem)
+    SELECT 'rmse' AS metric, round(sqrt(avg((y - f) * (y - f))), 4) AS value FROM p
+    UNION ALL SELECT 'mae', round(avg(abs(y - f)), 4) FROM p
+    UNION ALL SELECT 'r2', round(1 - sum((y - f) * (y - f)) /
+        (SELECT sum((y - (SELECT avg(y) FROM p)) * (y - (SELECT avg(y) FROM p))) FROM p), 4) FROM p
+    UNION ALL SELECT 'accuracy', round(avg(CASE WHEN (y > 50000) = (f > 50000) THEN 1 ELSE 0 END), 4) FROM p""")
+def ml_metrics(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_extendedprice").alias("label"),
+        (F.col("l_quantity") * F.lit(2000.0)).alias("prediction"),
+    )
+    found = models.regression_metrics(rows)
+    high = rows.select(*[
+        (F.col(c) > 50000).cast("double").alias(c) for c in ("label", "prediction")
+    ])
+    found["accuracy"] = models.class_metrics(high)["accuracy"]
+    return models.metric_rows(spark, found).withColumn("value", F.round("value", 4))
+
+
+@query("ml_cv")
+def ml_cv(spark, sf_dir):
+    train, _ = models.stable_split(
+        models.prepared(_lines(spark, sf_dir)), ["l_orderkey", "l_partkey"], 0.9
+    )
+    grid = {"regParam": [0.1, 0.01], "fitIntercept": [False, True],
+            "elasticNetParam": [0.0, 0.5, 1.0]}
+    learner = models.linear_regression()
+    return models.grid_search(learner, models.regression_evaluator(), train, grid)[1]
+
+
+@query("ml_forest_cv")
+def ml_forest_cv(spark, sf_dir):
+    train = models.prepared(_labelled(spark, sf_dir))
+    grid = {"maxDepth": [3, 5], "numTrees": [5, 10], "impurity": ["gini", "entropy"],
+            "minInstancesPerNode": [1, 3]}
+    learner = models.forest_classifier()
+    return models.grid_search(learner, models.class_evaluator(), train, grid)[1]
+
+
+@query("ml_batch_score", """
+    SELECT l_orderkey, l_partkey, round(b + a * l_quantity, 2) AS predicted
+    FROM lineitem, (SELECT regr_slope(l_extendedprice, l_quantity) AS a,
+                           regr_intercept(l_extendedprice, l_quantity) AS b FROM lineitem)""")
+def ml_batch_score(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"
+    )
+    learner = models.linear_regression(
+        "l_extendedprice", regParam=0.0, elasticNetParam=0.0, solver="normal"
+    )
+    model = Pipeline(stages=[features.assembler(["l_quantity"], "features"), learner]).fit(rows)
+    path = scratch.new_path(spark, "model")
+    scoring.save_model(model, path)
+    scored = scoring.score_table(
+        scoring.load_model(path), rows, scratch.new_path(spark, "scored")
+    )
+    return scored.select("l_orderkey", "l_partkey", F.round("prediction", 2).alias("predicted"))
