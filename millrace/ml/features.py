@@ -32,7 +32,7 @@ class ModelTooLarge(ValueError):
 
 
 def _bounded(values: DataFrame, bound: int, what: str) -> None:
-    if values.distinct().limit(bound + 1).count() > bound:
+    if values.distinct().count() > bound:
         raise ModelTooLarge(f"more than {bound} {what}")
 
 

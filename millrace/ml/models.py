@@ -196,7 +196,7 @@ def grid_search(
         parallelism=parallelism, seed=SEED,
     ).fit(train)
     rows = [
-        (", ".join(f"{p.name}={v}" for p, v in sorted(s.items(), key=lambda e: e[0].name)), m)
+        (", ".join(f"{p.name}={v}" for p, v in sorted(s.items(), key=lambda e: e[0].name)), float(m))
         for s, m in zip(settings, search.avgMetrics)
     ]
     table = train.sparkSession.createDataFrame(rows, "setting string, metric double")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,44 +64,56 @@ def _long_form(one_row: DataFrame, structs: Sequence[Column]) -> DataFrame:
     return one_row.select(F.inline(F.array(*structs)))
 
 
+def _statistic(column: str, stat: str, number: Column | None, text: Column | None) -> Column:
+    nothing = F.lit(None)
+    return F.struct(
+        F.lit(column).alias("column_name"),
+        F.lit(stat).alias("stat"),
+        (nothing if number is None else number).cast("double").alias("number"),
+        (nothing if text is None else text).cast("string").alias("text"),
+    )
+
+
 def describe(df: DataFrame, columns: Sequence[str] | None = None, scale: int = 6) -> DataFrame:
-    """count/mean/stddev/min/max per column as typed rows, in one pass.
+    """count/mean/stddev/min/max per column as typed rows.
 
     Numeric statistics are in ``number``; min and max of text are in ``text``.
+    Numbers and text are aggregated apart: no column is read twice, and the
+    numbers keep their generated hash aggregate, which one text column would
+    turn into an interpreted sort aggregate for all.
     """
     columns = list(columns or df.columns)
-    numeric = {
-        f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)
-    }
-    aggs: list[Column] = []
-    rows: list[Column] = []
-
-    def row(column: str, stat: str, number: Column | None, text: Column | None) -> Column:
-        return F.struct(
-            F.lit(column).alias("column_name"),
-            F.lit(stat).alias("stat"),
-            (number if number is not None else F.lit(None)).cast("double").alias("number"),
-            (text if text is not None else F.lit(None)).cast("string").alias("text"),
-        )
-
-    for i, c in enumerate(columns):
-        aggs.append(F.count(c).alias(f"n{i}"))
-        rows.append(row(c, "count", F.col(f"n{i}"), None))
-        aggs += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
-        if c in numeric:
-            aggs += [F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}")]
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
+    parts = []
+    numbers = [c for c in columns if c in numeric]
+    if numbers:
+        aggs, rows = [], []
+        for i, c in enumerate(numbers):
+            aggs += [
+                F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"),
+                F.stddev_samp(c).alias(f"s{i}"), F.min(c).alias(f"lo{i}"),
+                F.max(c).alias(f"hi{i}"),
+            ]
             rows += [
-                row(c, "mean", F.round(f"m{i}", scale), None),
-                row(c, "stddev", F.round(f"s{i}", scale), None),
-                row(c, "min", F.col(f"lo{i}"), None),
-                row(c, "max", F.col(f"hi{i}"), None),
+                _statistic(c, "count", F.col(f"n{i}"), None),
+                _statistic(c, "mean", F.round(f"m{i}", scale), None),
+                _statistic(c, "stddev", F.round(f"s{i}", scale), None),
+                _statistic(c, "min", F.col(f"lo{i}"), None),
+                _statistic(c, "max", F.col(f"hi{i}"), None),
             ]
-        else:
+        parts.append(_long_form(df.agg(*aggs), rows))
+    others = [c for c in columns if c not in numeric]
+    if others:
+        aggs, rows = [], []
+        for i, c in enumerate(others):
+            aggs += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
             rows += [
-                row(c, "min", None, F.col(f"lo{i}")),
-                row(c, "max", None, F.col(f"hi{i}")),
+                _statistic(c, "count", F.col(f"n{i}"), None),
+                _statistic(c, "min", None, F.col(f"lo{i}")),
+                _statistic(c, "max", None, F.col(f"hi{i}")),
             ]
-    return _long_form(df.agg(*aggs), rows)
+        parts.append(_long_form(df.agg(*aggs), rows))
+    return reduce(DataFrame.union, parts)
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -13,8 +13,13 @@ BROADCAST_ROWS = 200_000
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; reads no more than it must."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True if ``df`` has at most ``max_rows`` rows.
+
+    A plain count: every task returns one number, and a parquet scan answers it
+    from its footers.  (``limit`` first would send that many rows of every
+    partition to one task.)  ``df`` should be a scan or a kept frame.
+    """
+    return df.count() <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -102,12 +107,13 @@ def positional_join(
     left_order: Sequence[str],
     right_order: Sequence[str],
     name: str = "idx",
+    spread_ties: bool = False,
 ) -> DataFrame:
     """Left join of the n-th row of one frame with the n-th row of the other."""
     from millrace.operators.ordered import row_index
 
-    numbered = row_index(left, left_order, name)
-    partner = row_index(right, right_order, "__partner")
+    numbered = row_index(left, left_order, name, spread_ties)
+    partner = row_index(right, right_order, "__partner", spread_ties)
     return numbered.join(partner, numbered[name] == partner["__partner"], "left_outer").drop(
         "__partner"
     )

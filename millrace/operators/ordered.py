@@ -21,17 +21,29 @@ from millrace.scratch import keep
 
 _POS = "__pos"      # partition number in the high bits, row number in the low 33
 _PART = "__part"
+_TIE = "__tie"
 _ROW_BITS = 33      # layout of monotonically_increasing_id
 
 
-def _placed(df: DataFrame, keys: Sequence[str], order: Sequence[str], label: str) -> DataFrame:
+def _placed(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], label: str,
+    spread_ties: bool = False,
+) -> DataFrame:
     """Rows sorted over the whole cluster and stored with their place.
 
     Stored, because a second evaluation may draw other range bounds and the
     summaries would then not match the rows.
+
+    Rows that agree in all of ``keys`` and ``order`` fall into one range.  Where
+    such copies may be many, ``spread_ties`` orders them by their place in the
+    input, which is stored first so that a repeated task sees the same places.
     """
     by = [F.col(c) for c in (*keys, *order)]
-    ordered = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    columns = df.columns
+    if spread_ties:
+        df = keep(df, label).withColumn(_TIE, F.monotonically_increasing_id())
+        by.append(F.col(_TIE))
+    ordered = df.repartitionByRange(*by).sortWithinPartitions(*by).select(*columns)
     stored = keep(ordered.withColumn(_POS, F.monotonically_increasing_id()), label)
     return stored.withColumn(_PART, F.shiftright(F.col(_POS), _ROW_BITS))
 
@@ -40,13 +52,16 @@ def _same_keys(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Colum
     return reduce(lambda a, b: a & b, (left[n].eqNullSafe(right[n]) for n in names))
 
 
-def row_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> DataFrame:
+def row_index(
+    df: DataFrame, order: Sequence[str], name: str = "idx", spread_ties: bool = False
+) -> DataFrame:
     """Consecutive index 0, 1, 2, ... over the whole frame in ``order``.
 
-    ``order`` must identify a row.  The summary has one row per partition, so
-    broadcasting it is bounded by the partition count, whatever the data size.
+    ``order`` should identify a row (else see ``spread_ties`` above).  The
+    summary has one row per partition, so broadcasting it is bounded by the
+    partition count, whatever the data size.
     """
-    placed = _placed(df, [], order, "index")
+    placed = _placed(df, [], order, "index", spread_ties)
     parts = placed.groupBy(_PART).agg(F.count("*").alias("__n"), F.min(_POS).alias("__first"))
     before = F.coalesce(
         F.sum("__n").over(Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)),
@@ -61,10 +76,11 @@ def row_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> DataFra
 
 
 def row_position(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position"
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position",
+    spread_ties: bool = False,
 ) -> DataFrame:
-    """Position 1, 2, 3, ... of every row inside its key.  ``order`` must identify a row."""
-    placed = _placed(df, keys, order, "position")
+    """Position 1, 2, 3, ... of every row inside its key, in ``order``."""
+    placed = _placed(df, keys, order, "position", spread_ties)
     parts = placed.groupBy(_PART, *keys).agg(
         F.count("*").alias("__n"), F.min(_POS).alias("__first")
     )

@@ -37,7 +37,7 @@ def integrate(
     rows = union_by_position(*retail)
     if income is not None:
         # Before the country join: that one may repeat rows, positions may not.
-        rows = positional_join(rows, income, retail_order, income_order, "RetailIDx")
+        rows = positional_join(rows, income, retail_order, income_order, "RetailIDx", spread_ties=True)
     return join_on(rows, countries, [("Country", "CountryName")], "left_outer")
 
 

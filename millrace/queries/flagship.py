@@ -34,7 +34,7 @@ def _clean(spark, sf_dir, with_income: bool):
             )
         )
 
-    # Every second region keeps its countries in the list; the others stay unmatched.
+    # Countries of three regions are in the list; those of the others stay unmatched.
     countries = cleanse.country_codes(
         nation.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .where("r_name IN ('AFRICA', 'ASIA', 'EUROPE')")

@@ -37,7 +37,7 @@ def sink_text(spark, sf_dir):
 def sink_parquet(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     path = scratch.new_path(spark, "sink-parquet")
-    sinks.write_parquet(orders.limit(1), path)
+    sinks.write_parquet(orders.where("o_orderstatus = 'F'"), path)
     sinks.write_parquet(orders, path, mode="overwrite")
     sinks.write_parquet(orders, path, mode="append")
     return spark.read.schema(orders.schema).parquet(path).groupBy("o_orderstatus").agg(
@@ -112,5 +112,5 @@ def partition_counts(spark, sf_dir):
 @query("limit_write", "SELECT least(count(*), 10000) AS n FROM lineitem")
 def limit_write(spark, sf_dir):
     path = scratch.new_path(spark, "limit")
-    sinks.write_parquet(table(spark, sf_dir, "lineitem").limit(10_000), path)
+    sinks.write_first_rows(table(spark, sf_dir, "lineitem"), path, 10_000)
     return spark.read.parquet(path).agg(F.count("*").alias("n"))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+MAX_TAKEN = 50_000
+
 EXACT_TIMES = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -47,6 +49,20 @@ def write_parquet(
     out.write.mode(mode).parquet(path)
 
 
+def write_first_rows(df: DataFrame, path: str, n: int, mode: str = "error") -> None:
+    """Write ``n`` rows, whichever come first.
+
+    ``take`` opens only as many partitions as it needs.  ``limit`` before a
+    write runs all of them and sends ``n`` rows of each to one task; it is left
+    for row counts that should not pass through the driver.
+    """
+    if n <= MAX_TAKEN:
+        some = df.sparkSession.createDataFrame(df.take(n), df.schema)
+    else:
+        some = df.limit(n)
+    some.write.mode(mode).parquet(path)
+
+
 def save_default(df: DataFrame, path: str, mode: str = "overwrite", **options: str) -> None:
     """Save in the session's default format, whatever the path is called."""
     df.write.mode(mode).options(**options).save(path)
