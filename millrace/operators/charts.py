@@ -78,12 +78,13 @@ def density_2d(df: DataFrame, x: str, y: str, x_bins: int, y_bins: int) -> DataF
 
 
 def quantile_plot(
-    df: DataFrame, value: str, quantiles: Sequence[float], keys: Sequence[str] = ()
+    df: DataFrame, value: str, quantiles: Sequence[float], keys: Sequence[str] = (),
+    **sizes: int,
 ) -> DataFrame:
     """Value at each quantile, one curve per key (0 to 2 keys)."""
     if len(keys) > 2:
         raise ValueError("a quantile plot has at most two keys")
-    return exact_percentiles(df, keys, value, quantiles)
+    return exact_percentiles(df, keys, value, quantiles, **sizes)
 
 
 def quantile_plot_approx(

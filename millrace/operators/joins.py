@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.scratch import keep
+
 # A side is broadcast only after its rows were counted against this bound.
 BROADCAST_ROWS = 200_000
 
@@ -72,10 +74,11 @@ def salted_join(
     right_keys = [rk for _, rk in pairs]
     counts = left.na.drop(subset=left_keys).groupBy(*left_keys).agg(F.count("*").alias("__n"))
     total = left.agg((F.count("*") * F.lit(hot_share)).alias("t")).scalar()
-    hot = (
+    hot = keep(
         counts.where(F.col("__n") > total)
         .select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(left_keys)])
-        .withColumn("__hot", F.lit(True))
+        .withColumn("__hot", F.lit(True)),
+        "hot-keys",
     )
 
     def tag(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -108,12 +111,13 @@ def positional_join(
     right_order: Sequence[str],
     name: str = "idx",
     spread_ties: bool = False,
+    **sizes: int,
 ) -> DataFrame:
     """Left join of the n-th row of one frame with the n-th row of the other."""
     from millrace.operators.ordered import row_index
 
-    numbered = row_index(left, left_order, name, spread_ties)
-    partner = row_index(right, right_order, "__partner", spread_ties)
+    numbered = row_index(left, left_order, name, spread_ties, **sizes)
+    partner = row_index(right, right_order, "__partner", spread_ties, **sizes)
     return numbered.join(partner, numbered[name] == partner["__partner"], "left_outer").drop(
         "__partner"
     )

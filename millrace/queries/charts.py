@@ -65,17 +65,30 @@ def agg_histogram(spark, sf_dir):
     return charts.histogram(table(spark, sf_dir, "lineitem"), "l_extendedprice", 20)
 
 
-@query("agg_quantiles", f"""
+_QUANTILES = f"""
     SELECT l_returnflag, unnest([{_QS_SQL}])::DOUBLE AS q,
            round(unnest(quantile_cont(l_extendedprice, [{_QS_SQL}])), 6) AS l_extendedprice
-    FROM lineitem GROUP BY l_returnflag""")
-def agg_quantiles(spark, sf_dir):
+    FROM lineitem GROUP BY l_returnflag"""
+
+
+def _quantiles(spark, sf_dir, **sizes):
     points = charts.quantile_plot(
-        table(spark, sf_dir, "lineitem"), "l_extendedprice", QS, ["l_returnflag"]
+        table(spark, sf_dir, "lineitem"), "l_extendedprice", QS, ["l_returnflag"], **sizes
     )
     return points.withColumn("l_extendedprice", F.round("l_extendedprice", 6))
 
 
+@query("agg_quantiles", _QUANTILES)
+def agg_quantiles(spark, sf_dir):
+    return _quantiles(spark, sf_dir)
+
+
+@query("agg_quantiles_spread", _QUANTILES)
+def agg_quantiles_spread(spark, sf_dir):
+    """The way for large data, whatever the size."""
+    return _quantiles(spark, sf_dir, small_rows=0)
+
+
 @query("agg_quantiles_approx")
 def agg_quantiles_approx(spark, sf_dir):
     return charts.quantile_plot_approx(
@@ -156,17 +169,26 @@ def word_cloud(spark, sf_dir):
     return charts.word_cloud(table(spark, sf_dir, "documents"), "text", "lang == 'en'")
 
 
-@query("win_row_position", """
+_POSITIONS = """
     SELECT l_returnflag, l_linestatus, l_orderkey, l_linenumber, l_partkey,
            row_number() OVER (PARTITION BY l_returnflag, l_linestatus
              ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate) AS position
-    FROM lineitem""")
+    FROM lineitem"""
+
+
+def _positions(spark, sf_dir, **sizes):
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+    keys = ["l_returnflag", "l_linestatus"]
+    rows = table(spark, sf_dir, "lineitem").select(*keys, *order)
+    return ordered.row_position(rows, keys, order, **sizes).drop("l_suppkey", "l_shipdate")
+
+
+@query("win_row_position", _POSITIONS)
 def win_row_position(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").select(
-        "l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        "l_shipdate",
-    )
-    return ordered.row_position(
-        rows, ["l_returnflag", "l_linestatus"],
-        ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"],
-    ).drop("l_suppkey", "l_shipdate")
+    return _positions(spark, sf_dir)
+
+
+@query("win_row_position_spread", _POSITIONS)
+def win_row_position_spread(spark, sf_dir):
+    """The way for large data, whatever the size."""
+    return _positions(spark, sf_dir, small_rows=0)

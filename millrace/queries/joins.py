@@ -40,7 +40,7 @@ def join_salted(spark, sf_dir):
     )
 
 
-@query("join_positional", """
+_ZIPPED = """
     WITH l AS (
       SELECT l_orderkey, l_partkey, l_quantity, row_number() OVER (
         ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity,
@@ -48,15 +48,28 @@ def join_salted(spark, sf_dir):
       FROM lineitem),
     o AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS k FROM orders)
     SELECT idx, l_orderkey, l_partkey, l_quantity, o_orderkey, o_totalprice
-    FROM l LEFT JOIN o ON idx = k""")
-def join_positional(spark, sf_dir):
+    FROM l LEFT JOIN o ON idx = k"""
+
+
+def _zipped(spark, sf_dir, **sizes):
     lines = table(spark, sf_dir, "lineitem").select(*ROW)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return joins.positional_join(lines, orders, ROW, ["o_orderkey"]).select(
+    return joins.positional_join(lines, orders, ROW, ["o_orderkey"], **sizes).select(
         "idx", "l_orderkey", "l_partkey", "l_quantity", "o_orderkey", "o_totalprice"
     )
 
 
+@query("join_positional", _ZIPPED)
+def join_positional(spark, sf_dir):
+    return _zipped(spark, sf_dir)
+
+
+@query("join_positional_spread", _ZIPPED)
+def join_positional_spread(spark, sf_dir):
+    """The way for large data, whatever the size."""
+    return _zipped(spark, sf_dir, small_rows=0)
+
+
 @query("join_federated", """
     SELECT s_name, s_nationkey, c_acctbal AS salary
     FROM supplier JOIN customer ON s_suppkey = c_custkey ORDER BY salary DESC, s_name""")

@@ -127,21 +127,24 @@ def test_broadcast_join_checks_the_size(spark):
     assert joins.fits(right, 50) and not joins.fits(right, 49)
 
 
-def test_positional_join(spark):
+@pytest.mark.parametrize("small_rows", [0, 100])
+def test_positional_join(spark, small_rows):
     left = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "k int, v string").repartition(3)
     right = spark.createDataFrame([(20,), (10,)], "w int").repartition(2)
-    got = joins.positional_join(left, right, ["k"], ["w"])
+    got = joins.positional_join(left, right, ["k"], ["w"], small_rows=small_rows)
     assert rows(got.select("idx", "v", "w")) == [(0, "a", 10), (1, "b", 20), (2, "c", None)]
 
 
 # -- ordered --------------------------------------------------------------
 
 
-def test_row_position_counts_through_a_hot_key_and_null_keys(spark):
+@pytest.mark.parametrize("small_rows", [0, 5000])
+def test_row_position_counts_through_a_hot_key_and_null_keys(spark, small_rows):
     df = spark.range(2000).select(
         F.when(F.col("id") % 3 < 2, "hot").when(F.col("id") % 2 == 0, "cold").alias("k"), "id"
     )
-    got = ordered.row_position(df.repartition(6), ["k"], ["id"]).collect()
+    got = ordered.row_position(
+        df.repartition(6), ["k"], ["id"], small_rows=small_rows).collect()
     seen: dict = {}
     for r in got:
         seen.setdefault(r["k"], []).append((r["id"], r["position"]))
@@ -152,19 +155,24 @@ def test_row_position_counts_through_a_hot_key_and_null_keys(spark):
 
 def test_index_numbers_copies_too(spark):
     df = spark.createDataFrame([(1,)] * 500 + [(2,)] * 3, "x int").repartition(4)
-    got = ordered.row_index(df, ["x"], spread_ties=True).collect()
+    got = ordered.row_index(df, ["x"], spread_ties=True, small_rows=0).collect()
     assert sorted(r["idx"] for r in got) == list(range(503))
     assert sorted(r["idx"] for r in got if r["x"] == 2) == [500, 501, 502]
 
 
-def test_percentiles_are_exact_for_hot_values_and_single_rows(spark):
+@pytest.mark.parametrize("way", ["brackets", "sort", "small"])
+def test_percentiles_are_exact_for_hot_values_and_single_rows(spark, monkeypatch, way):
     import numpy as np
 
     values = [7.0] * 600 + [float((i * 37) % 1000) for i in range(900)]
     data = [("big", v) for v in values] + [("one", 3.5)] + [("none", None)] + [(None, 1.0), (None, 2.0)]
     df = spark.createDataFrame(data, "k string, x double").repartition(5)
     qs = [0.0, 0.1, 0.25, 0.5, 0.77, 1.0]
-    got = {(r["k"], r["q"]): r["x"] for r in ordered.exact_percentiles(df, ["k"], "x", qs).collect()}
+    if way == "sort":
+        monkeypatch.setattr(ordered, "_bracketed", lambda *a: None)
+    small = 5000 if way == "small" else 0
+    found = ordered.exact_percentiles(df, ["k"], "x", qs, small_rows=small)
+    got = {(r["k"], r["q"]): r["x"] for r in found.collect()}
     assert len(got) == 3 * len(qs)
     for q in qs:
         assert got["big", q] == pytest.approx(np.quantile(values, q), abs=1e-9)
@@ -172,6 +180,14 @@ def test_percentiles_are_exact_for_hot_values_and_single_rows(spark):
         assert got[None, q] == pytest.approx(1 + q)
 
 
+def test_percentiles_survive_a_sketch_that_misses(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).cast("double").alias("x"))
+    got = {r["q"]: r["x"] for r in
+           ordered.exact_percentiles(
+               df, [], "x", [0.3, 0.5, 0.999], accuracy=3, small_rows=0).collect()}
+    assert got == {q: pytest.approx(q * 4999) for q in (0.3, 0.5, 0.999)}
+
+
 # -- charts ---------------------------------------------------------------
 
 

@@ -107,9 +107,12 @@ def test_logistic_regressions(line):
     assert many.numClasses == 2 and many.coefficientMatrix.numRows == 2
 
 
-@pytest.mark.parametrize("make", [models.k_means, models.bisecting_k_means, models.gaussian_mixture])
-def test_clusters_of_three_heaps(spark, make):
-    points = [(Vectors.dense([c + e]),) for c in (0.0, 100.0, 900.0) for e in (0, 1, 2, 3)]
+@pytest.mark.parametrize("make, far", [
+    (models.k_means, 200.0), (models.gaussian_mixture, 200.0),
+    (models.bisecting_k_means, 900.0),      # at 200 the first cut would halve the middle heap
+])
+def test_clusters_of_three_heaps(spark, make, far):
+    points = [(Vectors.dense([c + e]),) for c in (0.0, 100.0, far) for e in (0, 1, 2, 3)]
     df = spark.createDataFrame(points, ["features"])
     found = make().fit(df).transform(df).groupBy("prediction").count().collect()
     assert sorted(r["count"] for r in found) == [4, 4, 4]
