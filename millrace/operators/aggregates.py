@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,20 +39,20 @@ def dedupe(
 ) -> DataFrame:
     """One row per key; nulls in keys compare equal.
 
-    With ``order`` the kept row is the first (or last) by those columns, found
-    by an aggregate that combines map-side: a key with a third of all rows
-    sends one row per task, where ``row_number`` would sort it in one task.
+    With ``order`` the kept row is the first (or last) by those columns.  The
+    filter on the first row number lets Catalyst put a WindowGroupLimit before
+    the shuffle: each task sends one row per key, so a key with a third of all
+    rows does not gather in one task.
     """
     if not order:
         return df.dropDuplicates(list(keys))
     if keep not in ("first", "last"):
         raise ValueError("keep is 'first' or 'last'")
-    pick = F.min_by if keep == "first" else F.max_by
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.dropDuplicates(list(keys))
-    kept = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order)).alias("__row"))
-    return kept.select(*keys, "__row.*").select(*df.columns)
+    direction = F.asc if keep == "first" else F.desc
+    window = Window.partitionBy(*keys).orderBy(*[direction(c) for c in order])
+    return (
+        df.withColumn("__row", F.row_number().over(window)).where("__row = 1").drop("__row")
+    )
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:

@@ -59,7 +59,7 @@ def _same_keys(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Colum
 
 def row_index(
     df: DataFrame, order: Sequence[str], name: str = "idx", spread_ties: bool = False,
-    small_rows: int = SMALL_ROWS,
+    small_rows: int = SMALL_ROWS // 10,
 ) -> DataFrame:
     """Consecutive index 0, 1, 2, ... over the whole frame in ``order``.
 
