@@ -163,7 +163,28 @@ def feat_scale(spark, sf_dir):
     )
 
 
-@query("feat_chisq")
+def _chi_square(feature: str) -> str:
+    """SQL: the statistic of one feature, n * (sum of observed^2 / (row * column) - 1)."""
+    return f"""
+      SELECT '{feature}' AS feature, sum(n) * (sum(n * n / (r * c)) - 1) AS statistic
+      FROM (SELECT n, sum(n) OVER (PARTITION BY f) AS r, sum(n) OVER (PARTITION BY label) AS c
+            FROM (SELECT {feature} AS f, label, CAST(count(*) AS DOUBLE) AS n FROM o GROUP BY ALL))"""
+
+
+@query("feat_chisq", f"""
+    WITH o AS (
+      SELECT CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS priority,
+             CAST(month(o_orderdate) AS DOUBLE) AS month,
+             CASE WHEN o_totalprice > 200000 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS dear,
+             CASE WHEN o_totalprice > 250000 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label
+      FROM orders),
+    best AS (
+      SELECT feature FROM ({_chi_square('priority')} UNION ALL {_chi_square('month')}
+        UNION ALL {_chi_square('dear')})
+      ORDER BY statistic DESC LIMIT 1)
+    SELECT feature, CASE feature WHEN 'priority' THEN priority WHEN 'month' THEN month ELSE dear END AS value,
+           label, count(*) AS n
+    FROM o, best GROUP BY ALL""")
 def feat_chisq(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(
         F.substring("o_orderpriority", 1, 1).cast("double").alias("priority"),
