@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.charts import hash_below
-from millrace.scratch import keep
+from millrace.scratch import keep, spread
 
 SEED = 7
 
@@ -123,7 +123,10 @@ def factors(user: str = "user_id", item: str = "item_id", rating: str = "rating"
 
 
 def prepared(df: DataFrame) -> DataFrame:
-    return keep(df, "train")
+    """Written once, in enough pieces to keep all cores busy in every iteration."""
+    stored = keep(df, "train")
+    dealt = spread(stored)
+    return stored if dealt is stored else keep(dealt, "train")
 
 
 def stable_split(

@@ -26,7 +26,7 @@ _POS = "__pos"      # partition number in the high bits, row number in the low 3
 _PART = "__part"
 _TIE = "__tie"
 
-SMALL_ROWS = 1_000_000
+SMALL_ROWS = 2_000_000
 _ROW_BITS = 33      # layout of monotonically_increasing_id
 
 
@@ -59,7 +59,7 @@ def _same_keys(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Colum
 
 def row_index(
     df: DataFrame, order: Sequence[str], name: str = "idx", spread_ties: bool = False,
-    small_rows: int = SMALL_ROWS // 10,
+    small_rows: int = SMALL_ROWS // 20,
 ) -> DataFrame:
     """Consecutive index 0, 1, 2, ... over the whole frame in ``order``.
 

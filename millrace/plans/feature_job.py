@@ -7,9 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace import scratch
 from millrace.functions.parsing import to_time, to_type, zero_for_null
-from millrace.ml import features
+from millrace.ml import features, models
 from millrace.operators import ddl
 from millrace.operators.aggregates import dedupe
 from millrace.sources import sinks
@@ -44,11 +43,10 @@ def build_features(
     Fitted stages need several passes; the rows are written once so that each
     pass reads columns from disk and not the joins that made them.
     """
-    base = scratch.keep(
+    base = models.prepared(
         features.stop_words_remover("desc_terms", "desc_nostops")
         .transform(features.tokenizer(description, "desc_terms").transform(rows))
-        .withColumn("invoice_month", F.month(time)),
-        "feature-base",
+        .withColumn("invoice_month", F.month(time))
     )
     vectors = features.word_vectors(base, "desc_nostops", "desc_vec")
     countries = features.string_index(base, country, "country_indexed")

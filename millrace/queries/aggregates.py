@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace import scratch
 from millrace.operators import aggregates, columns
-from millrace.queries.registry import query, table
+from millrace.queries.registry import query, table, texts
 from millrace.sources import files, sinks
 
 _WORDS = """
@@ -17,13 +17,13 @@ _WORDS = """
 
 @query("word_count", _WORDS)
 def word_count(spark, sf_dir):
-    words = columns.explode_words(table(spark, sf_dir, "documents"), "text")
+    words = columns.explode_words(texts(spark, sf_dir, "text"), "text")
     return aggregates.word_counts(words)
 
 
 @query("word_count_rdd", _WORDS)
 def word_count_rdd(spark, sf_dir):
-    return aggregates.word_counts_functional(table(spark, sf_dir, "documents").select("text"))
+    return aggregates.word_counts_functional(texts(spark, sf_dir, "text"))
 
 
 @query("word_count_sql", """

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace import scratch
 from millrace.ml import features
 from millrace.plans import feature_job
-from millrace.queries.registry import query, table
+from millrace.queries.registry import query, table, texts
 
 # The default English stop words of the feature library.
 STOP_WORDS = """
@@ -35,7 +35,7 @@ _TOKENS = r"""
 
 @query("feat_tokens", f"SELECT term, count(*) AS n FROM ({_TOKENS}) GROUP BY term")
 def feat_tokens(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("text")
+    docs = texts(spark, sf_dir, "text")
     terms = features.tokenizer("text", "terms").transform(docs)
     return terms.select(F.explode("terms").alias("term")).groupBy("term").agg(
         F.count("*").alias("n")
@@ -45,7 +45,7 @@ def feat_tokens(spark, sf_dir):
 @query("feat_nostops", f"""
     SELECT term, count(*) AS n FROM ({_TOKENS}) WHERE term NOT IN ({_STOPS_SQL}) GROUP BY term""")
 def feat_nostops(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("text")
+    docs = texts(spark, sf_dir, "text")
     terms = features.tokenizer("text", "terms").transform(docs)
     kept = features.stop_words_remover("terms", "kept", STOP_WORDS).transform(terms)
     return kept.select(F.explode("kept").alias("term")).groupBy("term").agg(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace import scratch
 from millrace.ml import features, models, scoring
-from millrace.queries.registry import query, table
+from millrace.queries.registry import query, table, texts
 from millrace.queries.features import STOP_WORDS
 
 
@@ -184,7 +184,7 @@ def ml_bisecting(spark, sf_dir):
 
 @query("ml_lda")
 def ml_lda(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = texts(spark, sf_dir, "doc_id", "text")
     terms = features.tokenizer("text", "terms").transform(docs)
     kept = features.stop_words_remover("terms", "kept", STOP_WORDS).transform(terms)
     counter = features.count_vectorizer(kept, "kept", "features", size=1_000, min_df=2)

@@ -36,6 +36,13 @@ def keep(df: DataFrame, label: str = "keep") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer partitions than the cluster has cores (say one file with one
+    row group) dealt out to all of them; any larger scan as it is."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def work_database(spark: SparkSession) -> str:
     """Database whose managed tables live in the shared folder."""
     name = "mr_" + re.sub(r"\W", "_", spark.sparkContext.applicationId)
