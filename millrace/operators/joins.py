@@ -66,7 +66,9 @@ def salted_join(
 
     Keys above ``hot_share`` of all rows (so at most ``1 / hot_share`` of them)
     are spread over ``salts`` reducers; only their partner rows are copied.
-    Every other key joins once, unsalted.
+    Every other key joins once, unsalted.  The salt comes from a row's place, so
+    ``left`` should be a scan or a kept frame, where a repeated task sees the
+    same places.
     """
     if how not in ("inner", "left", "left_outer"):
         raise ValueError("salting is exact for inner and left joins only")
