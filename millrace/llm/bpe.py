@@ -23,7 +23,7 @@ ENCODERS: dict[tuple[str, str], "Encoder"] = {}
 MASK = (1 << 64) - 1
 STEP = 0x9E3779B97F4A7C15
 #: Pre-tokens a worker remembers before it starts afresh; bounds its memory.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, langid, simhash, urlrules
+from millrace.llm import bpe, langid, linededup, neighbours, repeats, sharding, simhash, urlrules, warc
+from millrace.scratch import new_path
 
 QUERIES = {}
 ORACLES = {}
@@ -31,6 +32,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup(docs).select("doc_id", "n_lines", "n_dropped", "text")
+
+
+ORACLES["op1_line_templates"] = linededup.ORACLE
+
+
+@query
+def op4_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), root)
+    return warc.read(spark, root, payloads=False).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -58,7 +82,23 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
 
 
+@query
+def op9_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = sharding.equal_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    links = sharding.star_links(docs, "node", "digest")
+    placed = sharding.assign(docs.select("node"), links, 24)
+    return docs.join(placed, "node").select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.groups(docs).select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                      F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
