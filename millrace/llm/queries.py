@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, langid, linededup, neighbours, repeats, sharding, simhash, urlrules, warc
+from millrace.llm import bpe, decontaminate, langid, linededup, neighbours, repeats, sharding, simhash, urlrules, warc
 from millrace.scratch import new_path
 
 QUERIES = {}
@@ -102,3 +102,10 @@ def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
                       F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op2_latent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "cosine", "lcs", "answered")
