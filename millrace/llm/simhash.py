@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
+from millrace.scratch import keep
 
 SEED = 42
 WORDS = 3
@@ -157,24 +158,36 @@ def links(nodes: DataFrame, fp: str = "fp", radius: int = RADIUS) -> DataFrame:
     return dealt.mapInArrow(joined, "a long, b long").distinct()
 
 
+def _grouped(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, body, fp, component_id and its first row (doc_id, body) of every row."""
+    own = keep(docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("body"), fingerprints(F.col(text)).alias("fp")), "simhash")
+    # null ids come last
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body")
+    nodes = keep(own.groupBy("fp").agg(F.min(order).alias("first")), "simhash")
+    edges = keep(links(nodes), "simhash")
+    tops = components(edges)
+    named = nodes.join(tops.withColumnRenamed("node", "fp"), "fp", "left").withColumn("top", F.coalesce("top", "fp"))
+    names = named.groupBy("top").agg(F.min("first").alias("first"))
+    of = keep(named.drop("first").join(names, "top").select("fp", "first"), "simhash")
+    return own.join(of, "fp").select("doc_id", "body", "fp", F.col("first.doc_id").alias("component_id"), "first")
+
+
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fp and component_id (the smallest doc_id that links lead to) of every row.
 
     A null doc_id takes part: it is in a component, but never its name unless all are null.
     """
-    from millrace.scratch import keep
+    return _grouped(docs, doc_id, text).select("doc_id", "fp", "component_id")
 
-    own = keep(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text)).alias("fp")), "simhash")
-    nodes = keep(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash")
-    edges = keep(links(nodes), "simhash")
-    tops = components(edges)  # node, top
-    named = (
-        nodes.join(tops.withColumnRenamed("node", "fp"), "fp", "left")
-        .withColumn("top", F.coalesce("top", "fp"))
+
+def first_of_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The row of each component with the smallest doc_id; one of them if rows repeat."""
+    firsts = _grouped(docs, doc_id, text).select(F.col("first.doc_id").alias("__id"), F.col("first.body").alias("__key")).distinct()
+    rows = docs.withColumn("__body", F.xxhash64(text))
+    return (
+        rows.join(firsts, F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__body") == F.col("__key")), "left_semi")
+        .dropDuplicates([doc_id, "__body"]).drop("__body")
     )
-    names = named.groupBy("top").agg(F.min("first").alias("component_id"))
-    of = keep(named.join(names, "top").select("fp", "component_id"), "simhash")
-    return own.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
 def hexadecimal(fp: Column) -> Column:
