@@ -63,14 +63,19 @@ def stopping_factor(confidence: float, freedom: int) -> float:
     return high
 
 
+def scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that their largest components are near one: no
+    square overflows, no bit of a component or of a cosine changes."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
+
+
 def unit(rows: np.ndarray) -> np.ndarray:
-    """Rows scaled to length one.  The largest component goes first, against overflow."""
-    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
+    """Rows of length one."""
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
 def cosines(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Of rows and a query as given, in double precision; equal rows get equal bits."""
+    """Of rows and a query, in double precision; equal rows get equal bits."""
     dot = (rows * query).sum(axis=1)
     return dot / (np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((query * query).sum()))
 
@@ -129,7 +134,7 @@ def search(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np
     new = np.r_[True, np.diff(of[order]) != 0]
     place = np.arange(len(order)) - np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
     kept = order[place <= k]
-    ids, rows, of = ids[kept], rows[kept], of[kept]
+    ids, rows, of, queries = ids[kept], scaled(rows[kept]), of[kept], scaled(queries)
     starts = np.flatnonzero(np.r_[True, np.diff(of) != 0])
     ends = np.r_[starts[1:], len(of)]
     distinct = rows[starts]
