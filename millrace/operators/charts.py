@@ -9,7 +9,6 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import bounded_broadcast
 from millrace.operators.ordered import exact_percentiles
 from millrace.scratch import keep
 
@@ -79,12 +78,11 @@ def density_2d(df: DataFrame, x: str, y: str, x_bins: int, y_bins: int) -> DataF
 
 def quantile_plot(
     df: DataFrame, value: str, quantiles: Sequence[float], keys: Sequence[str] = (),
-    **sizes: int,
 ) -> DataFrame:
     """Value at each quantile, one curve per key (0 to 2 keys)."""
     if len(keys) > 2:
         raise ValueError("a quantile plot has at most two keys")
-    return exact_percentiles(df, keys, value, quantiles, **sizes)
+    return exact_percentiles(df, keys, value, quantiles)
 
 
 def quantile_plot_approx(
@@ -144,7 +142,7 @@ def _boxes(df: DataFrame, value: str, keys: Sequence[str], reach: float) -> Data
 
 
 def _with_box(df: DataFrame, boxes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    small = bounded_broadcast(boxes.withColumnsRenamed({k: f"__{k}" for k in keys}))
+    small = boxes.withColumnsRenamed({k: f"__{k}" for k in keys})
     cond = reduce(
         lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys)
     )

@@ -10,23 +10,13 @@ from pyspark.sql import functions as F
 
 from millrace.scratch import keep
 
-# A side is broadcast only after its rows were counted against this bound.
-BROADCAST_ROWS = 200_000
+# A side is broadcast only after its bytes were summed against this bound.
+BROADCAST_BYTES = 64 << 20
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows.
-
-    A plain count: every task returns one number, and a parquet scan answers it
-    from its footers.  (``limit`` first would send that many rows of every
-    partition to one task.)  ``df`` should be a scan or a kept frame.
-    """
-    return df.count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hinted ``df`` if it is proven small, else ``df`` for a shuffled join."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def text_bytes(df: DataFrame) -> int:
+    """Bytes of all rows as JSON text: a measure of what a broadcast would send."""
+    return df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
 
 
 def join_on(
@@ -46,12 +36,29 @@ def broadcast_join(
     right: DataFrame,
     pairs: Sequence[tuple[str, str]],
     how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join that ships ``right`` to every task, if its size allows it."""
-    if fits(right, max_rows):
-        return join_on(left, F.broadcast(right), pairs, how)
-    return salted_join(left, right, pairs, how)
+    """Join, of any kind, that ships ``right`` to every task if its bytes allow it; if not,
+    the same join by a shuffle."""
+    small = text_bytes(right) <= max_bytes
+    return join_on(left, F.broadcast(right) if small else right, pairs, how)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
+    """The keys that hold more than ``share`` of the rows, at most ``1 / share`` of them.
+
+    A sketch of key hashes names the candidates in one pass without a shuffle of the keys;
+    only the candidates' rows are counted.
+    """
+    most = int(2 / share)
+    rows = df.na.drop(subset=list(keys)).select(*keys)
+    sketch = rows.agg(
+        F.expr(f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), {most}, {most * 20})").alias("top"),
+        F.count("*").alias("total"),
+    ).first()
+    likely = [t["item"] for t in sketch["top"] if t["count"] > share * sketch["total"]]
+    counted = rows.where(F.xxhash64(*keys).isin(likely)).groupBy(*keys).agg(F.count("*").alias("__n"))
+    return keep(counted.where(F.col("__n") > share * sketch["total"]).drop("__n"), "hot-keys")
 
 
 def salted_join(
@@ -62,48 +69,54 @@ def salted_join(
     salts: int = 32,
     hot_share: float = 0.01,
 ) -> DataFrame:
-    """Inner or left join where single keys of ``left`` may hold much of its rows.
+    """Inner or left join where single keys of either side may hold much of its rows.
 
-    Keys above ``hot_share`` of all rows (so at most ``1 / hot_share`` of them)
-    are spread over ``salts`` reducers; only their partner rows are copied.
-    Every other key joins once, unsalted.  The salt comes from a row's place, so
-    ``left`` should be a scan or a kept frame, where a repeated task sees the
-    same places.
+    Keys above ``hot_share`` of the rows of a side are spread over ``salts`` reducers there,
+    and only their partner rows are copied; every other key joins once, unsalted.  Rows of
+    keys that are hot on the right have partners by definition, so a left join is an inner
+    one for them.  The salt comes from a row's place, so both sides should be scans or kept
+    frames, where a repeated task sees the same places.
     """
     if how not in ("inner", "left", "left_outer"):
         raise ValueError("salting is exact for inner and left joins only")
     left_keys = [lk for lk, _ in pairs]
     right_keys = [rk for _, rk in pairs]
-    counts = left.na.drop(subset=left_keys).groupBy(*left_keys).agg(F.count("*").alias("__n"))
-    total = left.agg((F.count("*") * F.lit(hot_share)).alias("t")).scalar()
-    hot = keep(
-        counts.where(F.col("__n") > total)
-        .select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(left_keys)])
-        .withColumn("__hot", F.lit(True)),
-        "hot-keys",
-    )
 
-    def tag(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        cond = reduce(lambda a, b: a & b, (df[k] == F.col(f"__h{i}") for i, k in enumerate(keys)))
-        marked = df.join(F.broadcast(hot), cond, "left")
-        return marked.drop(*[f"__h{i}" for i in range(len(keys))])
-
-    # From the row's place, not its content: identical copies must spread too.
-    spread = F.when(
-        F.col("__hot"),
-        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)),
-    ).otherwise(F.lit(0))
-    salted_left = tag(left, left_keys).withColumn("__salt", spread).drop("__hot")
-    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    salted_right = tag(right, right_keys).withColumn("__copy", F.explode(copies)).drop("__hot")
-    cond = reduce(
-        lambda a, b: a & b,
-        (salted_left[lk] == salted_right[rk] for lk, rk in pairs),
-        salted_left["__salt"].cast("int") == salted_right["__copy"],
-    )
-    return salted_left.join(salted_right, cond, how).drop("__salt", "__copy")
+    def renamed(hot: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
+        return hot.select(*[F.col(k).alias(f"__{flag}{i}") for i, k in enumerate(keys)]).withColumn(flag, F.lit(True))
+
+    hot_left = renamed(hot_keys(left, left_keys, hot_share), left_keys, "__hl")
+    hot_right = renamed(hot_keys(right, right_keys, hot_share), right_keys, "__hr")
+
+    def tag(df: DataFrame, keys: Sequence[str], hot: DataFrame, flag: str) -> DataFrame:
+        cond = reduce(lambda a, b: a & b, (df[k] == F.col(f"__{flag}{i}") for i, k in enumerate(keys)))
+        marked = df.join(F.broadcast(hot), cond, "left")  # at most 1 / hot_share rows
+        return marked.drop(*[f"__{flag}{i}" for i in range(len(keys))])
+
+    place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    alone = F.array(F.lit(0))
+
+    def dealt(df: DataFrame, keys: Sequence[str], own: str, other: str) -> DataFrame:
+        """Own place where the key is hot here, all places of the other side where it is hot there."""
+        df = df.withColumn("__place", place)
+        for flag, hot in (("__hl", hot_left), ("__hr", hot_right)):
+            df = tag(df, keys, hot, flag)
+        df = df.withColumn(f"__{own}", F.when(F.col(own), F.col("__place")).otherwise(F.lit(0)))
+        return df.withColumn(f"__{other}", F.explode(F.when(F.col(other), every).otherwise(alone))).drop("__place", own, other if other == "__hl" else "__hl")
+
+    some_left = dealt(left, left_keys, "__hl", "__hr")
+    some_right = dealt(right, right_keys, "__hr", "__hl").drop("__hr")
+
+    def joined(part: DataFrame, kind: str) -> DataFrame:
+        cond = reduce(lambda a, b: a & b, (part[lk] == some_right[rk] for lk, rk in pairs))
+        cond &= (part["____hl"] == some_right["____hl"]) & (part["____hr"] == some_right["____hr"])
+        return part.join(some_right, cond, kind).drop("____hl", "____hr", "__hr")
+
+    if how == "inner":
+        return joined(some_left, "inner")
+    busy = F.coalesce(F.col("__hr"), F.lit(False))
+    return joined(some_left.where(busy), "inner").unionByName(joined(some_left.where(~busy), "left"))
 
 
 def positional_join(
@@ -113,13 +126,12 @@ def positional_join(
     right_order: Sequence[str],
     name: str = "idx",
     spread_ties: bool = False,
-    **sizes: int,
 ) -> DataFrame:
     """Left join of the n-th row of one frame with the n-th row of the other."""
     from millrace.operators.ordered import row_index
 
-    numbered = row_index(left, left_order, name, spread_ties, **sizes)
-    partner = row_index(right, right_order, "__partner", spread_ties, **sizes)
+    numbered = row_index(left, left_order, name, spread_ties)
+    partner = row_index(right, right_order, "__partner", spread_ties)
     return numbered.join(partner, numbered[name] == partner["__partner"], "left_outer").drop(
         "__partner"
     )

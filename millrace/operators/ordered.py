@@ -6,9 +6,6 @@ group in one buffer.  Neither survives a key that holds a third of all rows.
 Here rows are range-partitioned over (keys, order), so a large key spans as
 many partitions as it needs; what travels between partitions is one small
 summary row per (partition, key).
-
-A frame that a count proves to have at most ``SMALL_ROWS`` rows takes the plain
-window or aggregate: one task can hold it, and the extra jobs would cost more.
 """
 
 from __future__ import annotations
@@ -19,14 +16,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import bounded_broadcast, fits
 from millrace.scratch import keep
 
 _POS = "__pos"      # partition number in the high bits, row number in the low 33
 _PART = "__part"
 _TIE = "__tie"
 
-SMALL_ROWS = 2_000_000
 _ROW_BITS = 33      # layout of monotonically_increasing_id
 
 
@@ -58,8 +53,7 @@ def _same_keys(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Colum
 
 
 def row_index(
-    df: DataFrame, order: Sequence[str], name: str = "idx", spread_ties: bool = False,
-    small_rows: int = SMALL_ROWS // 20,
+    df: DataFrame, order: Sequence[str], name: str = "idx", spread_ties: bool = False
 ) -> DataFrame:
     """Consecutive index 0, 1, 2, ... over the whole frame in ``order``.
 
@@ -70,9 +64,6 @@ def row_index(
     """
     if spread_ties:
         df = keep(df, "index-input")
-    if fits(df, small_rows):
-        number = F.row_number().over(Window.orderBy(*order))
-        return df.withColumn(name, (number - 1).cast("bigint"))
     placed = _placed(df, [], order, "index", spread_ties)
     parts = placed.groupBy(_PART).agg(F.count("*").alias("__n"), F.min(_POS).alias("__first"))
     before = F.coalesce(
@@ -89,14 +80,11 @@ def row_index(
 
 def row_position(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position",
-    spread_ties: bool = False, small_rows: int = SMALL_ROWS,
+    spread_ties: bool = False,
 ) -> DataFrame:
     """Position 1, 2, 3, ... of every row inside its key; see ``row_index``."""
     if spread_ties:
         df = keep(df, "position-input")
-    if fits(df, small_rows):
-        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        return df.withColumn(name, number.cast("bigint"))
     placed = _placed(df, keys, order, "position", spread_ties)
     parts = placed.groupBy(_PART, *keys).agg(
         F.count("*").alias("__n"), F.min(_POS).alias("__first")
@@ -108,9 +96,8 @@ def row_position(
         parts.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n"),
         "position-parts",
     )
-    small = bounded_broadcast(parts)
     return (
-        placed.join(small, _same_keys(placed, small, [_PART, *keys]))
+        placed.join(parts, _same_keys(placed, parts, [_PART, *keys]))
         .withColumn(name, (placed[_POS] - F.col("__first") + F.col("__before") + 1))
         .select(*[placed[c] for c in df.columns], name)
     )
@@ -121,41 +108,43 @@ _WANTED = "named_struct('q', q, '__lo', __lo, '__hi', __hi, '__frac', __frac)"
 
 def exact_percentiles(
     df: DataFrame, keys: Sequence[str], value: str, quantiles: Sequence[float],
-    accuracy: int = 20_000, small_rows: int = SMALL_ROWS,
+    accuracy: int = 20_000,
 ) -> DataFrame:
     """Rows (keys, q, value): linear-interpolated quantiles, exact at any group size.
 
-    On large data: three narrow scans and hardly any shuffle: a sketch brackets every quantile
+    Three narrow scans and hardly any shuffle: a sketch brackets every quantile
     within a few ranks in ``accuracy``, one pass counts the rows below each
     bracket, one pass sorts the rows inside.  The counts show whether a bracket
-    holds its quantile; if one does not, or there are too many keys to ship the
-    brackets, the whole column is sorted instead.
+    holds its quantile; if one does not, the whole column is sorted instead.
+    A quantile that is asked for twice gives two rows.
     """
     data = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v"))
-    if fits(data, small_rows):
-        exact = F.percentile("__v", F.array(*[F.lit(float(q)) for q in quantiles]))
-        qs = F.array(*[F.lit(float(q)) for q in quantiles])
-        return data.groupBy(*keys).agg(exact.alias("__found")).select(
-            *keys, F.inline(F.arrays_zip(qs.alias("q"), F.col("__found").alias(value)))
-        )
-    found = _bracketed(data, keys, quantiles, accuracy)
+    asked = [float(q) for q in quantiles]
+    distinct = sorted(set(asked))
+    found = _bracketed(data, keys, distinct, accuracy)
     if found is None:
         counted = data.groupBy(*keys, "__v").agg(F.count("*").alias("__w"))
         place = "q * (__total - 1)"
         wanted = (
-            f"transform(array({', '.join(repr(float(q)) + 'D' for q in quantiles)}), q -> "
+            f"transform(array({', '.join(repr(q) + 'D' for q in distinct)}), q -> "
             f"named_struct('q', q, '__lo', floor({place}), '__hi', ceil({place}), "
             f"'__frac', {place} - floor({place})))"
         )
         found = _values_at(counted, keys, wanted)
-    between = (F.col("__high") - F.col("__low")) * F.col("__frac")
-    return found.select(*keys, "q", (F.col("__low") + between).alias(value))
+    low, high = F.col("__low").cast("double"), F.col("__high").cast("double")
+    # between equal infinities there is nothing to interpolate
+    point = F.when((low == high) | (F.col("__frac") == 0), low).otherwise(low + (high - low) * F.col("__frac"))
+    out = found.select(*keys, "q", point.alias(value))
+    if len(distinct) < len(asked):
+        times = F.create_map(*[F.lit(x) for q in distinct for x in (q, asked.count(q))])
+        out = out.select("*", F.explode(F.sequence(F.lit(1), times[F.col("q")])).alias("__again")).drop("__again")
+    return out
 
 
 def _bracketed(
     data: DataFrame, keys: Sequence[str], quantiles: Sequence[float], accuracy: int
 ) -> DataFrame | None:
-    """(keys, q, __frac, __low, __high) from the rows near each quantile, or None."""
+    """(keys, q, __frac, __low, __high) from the rows near each of the distinct quantiles, or None."""
     edge = 2.0 / accuracy
     points = sorted(
         {p for q in quantiles for p in (q - edge, q + edge) if 0 < p < 1}
@@ -167,14 +156,12 @@ def _bracketed(
         ),
         "sketch",
     )
-    if not fits(sketch):
-        return None
 
     def attach(rows: DataFrame, small: DataFrame, *names: str) -> DataFrame:
         """Columns of the one ``small`` row that has the row's keys."""
         if not keys:
             return rows.withColumns({n: small.select(n).scalar() for n in names})
-        other = F.broadcast(small.select(*keys, *names))
+        other = small.select(*keys, *names)
         return rows.join(other, _same_keys(rows, other, keys)).select(
             *[rows[c] for c in rows.columns], *names
         )
@@ -225,7 +212,7 @@ def _bracketed(
         "quantiles",
     )
     hit = found.where(F.col("__low").isNotNull() & F.col("__high").isNotNull()).count()
-    return found if hit == sketch.count() * len(set(quantiles)) else None
+    return found if hit == sketch.count() * len(quantiles) else None
 
 
 def _values_at(counted: DataFrame, groups: Sequence[str], wanted: str) -> DataFrame:
@@ -253,8 +240,7 @@ def _values_at(counted: DataFrame, groups: Sequence[str], wanted: str) -> DataFr
         .select(_PART, *groups, "__before", "__here"),
         "quantile-parts",
     )
-    small = bounded_broadcast(parts)
-    rows = placed.join(small, _same_keys(placed, small, [_PART, *groups])).select(
+    rows = placed.join(parts, _same_keys(placed, parts, [_PART, *groups])).select(
         placed[_PART], *[placed[g] for g in groups], "__v", "__w", "__before", "__here"
     )
     upto = Window.partitionBy(_PART, *groups).orderBy("__v").rowsBetween(

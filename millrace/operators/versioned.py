@@ -11,6 +11,9 @@ What a change costs:
 * rollback   no data at all; the new version lists the old segments
 * update, delete, merge   rewrite only the segments that hold matching rows
 
+With ``keys``, a commit is laid out in folders by the hash of the keys and each folder is a
+segment, so a change of few keys rewrites few folders and no others.
+
 One writer at a time: a second writer that publishes the same version number
 fails, because the folder already exists, and leaves the table as it was.
 """
@@ -27,7 +30,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.joins import bounded_broadcast
 from millrace.scratch import keep
 
 _HISTORY = T.StructType([
@@ -41,6 +43,10 @@ _HISTORY = T.StructType([
 ])
 
 
+_FOLDER = "__folder"
+FOLDERS = 16
+
+
 class SchemaMismatch(ValueError):
     """The rows to write do not have the table's columns and types."""
 
@@ -65,9 +71,12 @@ def _nullable(schema: T.StructType) -> T.StructType:
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str):
+    """``keys`` and ``folders`` say how this writer lays out its commits; readers need neither."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = (), folders: int = FOLDERS):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.keys, self.folders = tuple(keys), folders
 
     # -- reading ----------------------------------------------------------
 
@@ -102,10 +111,18 @@ class VersionedTable:
 
     # -- committing -------------------------------------------------------
 
-    def _store(self, df: DataFrame) -> str:
-        segment = uuid.uuid4().hex
-        df.write.mode("error").parquet(f"{self.path}/segments/{segment}")
-        return segment
+    def _store(self, df: DataFrame) -> list[str]:
+        """New segments with the rows, at most ``folders`` of them."""
+        commit = uuid.uuid4().hex
+        path = f"{self.path}/segments/{commit}"
+        if not self.keys:
+            df.write.mode("error").parquet(path)
+            return [commit]
+        folder = F.pmod(F.xxhash64(*self.keys), F.lit(self.folders)).cast("int")
+        df.withColumn(_FOLDER, folder).write.mode("error").partitionBy(_FOLDER).parquet(path)
+        whole = T.StructType([*df.schema.fields, T.StructField(_FOLDER, T.IntegerType())])
+        used = self.spark.read.schema(whole).parquet(path).select(_FOLDER).distinct().collect()
+        return sorted(f"{commit}/{_FOLDER}={r[0]}" for r in used)
 
     def _publish(
         self, number: int, operation: str, segments: Sequence[str], schema: T.StructType,
@@ -124,7 +141,7 @@ class VersionedTable:
 
     def create(self, df: DataFrame) -> int:
         """First version."""
-        return self._publish(0, "create", [self._store(df)], _nullable(df.schema))
+        return self._publish(0, "create", self._store(df), _nullable(df.schema))
 
     def _checked(self, df: DataFrame, schema: T.StructType) -> DataFrame:
         have, want = _types(df.schema), _types(schema)
@@ -153,13 +170,13 @@ class VersionedTable:
         if source is not None and self.has_batch(source, batch_id):
             return v.number
         return self._publish(
-            v.number + 1, "append", [*v.segments, self._store(df)], schema, source, batch_id
+            v.number + 1, "append", [*v.segments, *self._store(df)], schema, source, batch_id
         )
 
     def overwrite(self, df: DataFrame) -> int:
         """Replace all rows (and the schema); earlier versions stay readable."""
         v = self._version()
-        return self._publish(v.number + 1, "overwrite", [self._store(df)], _nullable(df.schema))
+        return self._publish(v.number + 1, "overwrite", self._store(df), _nullable(df.schema))
 
     def rollback(self, version: int) -> int:
         """New version with the rows of an older one."""
@@ -179,7 +196,7 @@ class VersionedTable:
         return [r[0] for r in names.toLocalIterator()]
 
     def _tagged(self, v: Version) -> DataFrame:
-        place = F.regexp_extract(F.col("_metadata.file_path"), r"/segments/([^/]+)/", 1)
+        place = F.regexp_extract(F.col("_metadata.file_path"), rf"/segments/([^/]+(?:/{_FOLDER}=[0-9]+)?)/", 1)
         return self._scan(v.segments, v.schema).withColumn("__segment", place)
 
     def _rewrite(
@@ -192,7 +209,7 @@ class VersionedTable:
         left = [s for s in v.segments if s not in touched]
         fresh = []
         if touched:
-            fresh.append(self._store(change(self._scan(touched, v.schema))))
+            fresh = self._store(change(self._scan(touched, v.schema)))
         return self._publish(v.number + 1, operation, [*left, *fresh], v.schema)
 
     def update(self, condition: str, values: dict[str, Column | object]) -> int:
@@ -233,7 +250,7 @@ class VersionedTable:
         twice = not_null.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
         if twice.first() is not None:
             raise DuplicateSourceKeys(f"source holds a key twice: {', '.join(keys)}")
-        wanted = bounded_broadcast(not_null.select(*keys))
+        wanted = not_null.select(*keys)
         touched: list[str] = []
         if v.segments:
             touched = self._segments_of(
@@ -244,5 +261,5 @@ class VersionedTable:
             stay = self._scan(touched, v.schema).join(wanted, list(keys), "left_anti")
             fresh = stay.select(*v.schema.names).unionByName(fresh)
         return self._publish(
-            v.number + 1, "merge", [*left, self._store(fresh)], v.schema, source, batch_id
+            v.number + 1, "merge", [*left, *self._store(fresh)], v.schema, source, batch_id
         )

@@ -71,29 +71,40 @@ _QUANTILES = f"""
     FROM lineitem GROUP BY l_returnflag"""
 
 
-def _quantiles(spark, sf_dir, **sizes):
+@query("agg_quantiles", _QUANTILES)
+def agg_quantiles(spark, sf_dir):
     points = charts.quantile_plot(
-        table(spark, sf_dir, "lineitem"), "l_extendedprice", QS, ["l_returnflag"], **sizes
+        table(spark, sf_dir, "lineitem"), "l_extendedprice", QS, ["l_returnflag"]
     )
     return points.withColumn("l_extendedprice", F.round("l_extendedprice", 6))
 
 
-@query("agg_quantiles", _QUANTILES)
-def agg_quantiles(spark, sf_dir):
-    return _quantiles(spark, sf_dir)
-
-
-@query("agg_quantiles_spread", _QUANTILES)
-def agg_quantiles_spread(spark, sf_dir):
-    """The way for large data, whatever the size."""
-    return _quantiles(spark, sf_dir, small_rows=0)
-
-
-@query("agg_quantiles_approx")
+@query("agg_quantiles_approx", f"""
+    SELECT l_returnflag, unnest([{_QS_SQL}])::DOUBLE AS q, true AS in_bounds
+    FROM (SELECT DISTINCT l_returnflag FROM lineitem)""")
 def agg_quantiles_approx(spark, sf_dir):
-    return charts.quantile_plot_approx(
-        table(spark, sf_dir, "lineitem"), "l_extendedprice", QS, ["l_returnflag"]
+    """Whether each value's rank is within 1 / accuracy of what was asked for."""
+    lines, accuracy = table(spark, sf_dir, "lineitem"), 10_000
+    points = charts.quantile_plot_approx(lines, "l_extendedprice", QS, ["l_returnflag"], accuracy)
+    points = points.withColumnRenamed("l_extendedprice", "found")
+    ranks = lines.join(F.broadcast(points), "l_returnflag").groupBy("l_returnflag", "q").agg(
+        F.avg((F.col("l_extendedprice") < F.col("found")).cast("int")).alias("below"),
+        F.avg((F.col("l_extendedprice") <= F.col("found")).cast("int")).alias("upto"), F.count("*").alias("n"),
     )
+    slack = F.lit(1.0) / accuracy + 1 / F.col("n")
+    return ranks.select("l_returnflag", "q", (
+        (F.col("below") - slack <= F.col("q")) & (F.col("q") <= F.col("upto") + slack)).alias("in_bounds"))
+
+
+@query("agg_qq_normal", """
+    SELECT q, round(v, 6) AS l_quantity, round(n, 4) AS normal
+    FROM (SELECT unnest([0.1, 0.25, 0.5, 0.75, 0.9])::DOUBLE AS q,
+                 unnest(quantile_cont(l_quantity, [0.1, 0.25, 0.5, 0.75, 0.9])) AS v,
+                 unnest([-1.2815515655446004, -0.6744897501960817, 0.0, 0.6744897501960817, 1.2815515655446004]) AS n
+          FROM lineitem)""")
+def agg_qq_normal(spark, sf_dir):
+    points = charts.qq_normal(table(spark, sf_dir, "lineitem"), "l_quantity", (0.1, 0.25, 0.5, 0.75, 0.9))
+    return points.select("q", F.round("l_quantity", 6).alias("l_quantity"), F.round("normal", 4).alias("normal"))
 
 
 @query("agg_qq", f"""
@@ -151,12 +162,11 @@ def agg_density2d(spark, sf_dir):
 
 
 @query("scatter_sample", """
-    SELECT o_custkey, o_totalprice, o_orderpriority, o_orderstatus FROM orders
-    WHERE substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) < '40000000'""")
+    SELECT o_custkey, o_totalprice, o_orderpriority, o_orderstatus FROM orders""")
 def scatter_sample(spark, sf_dir):
     return charts.scatter_sample(
         table(spark, sf_dir, "orders"), ["o_orderkey"],
-        ["o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus"], 0.25,
+        ["o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus"], 1,
     )
 
 
@@ -176,19 +186,9 @@ _POSITIONS = """
     FROM lineitem"""
 
 
-def _positions(spark, sf_dir, **sizes):
+@query("win_row_position", _POSITIONS)
+def win_row_position(spark, sf_dir):
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
     keys = ["l_returnflag", "l_linestatus"]
     rows = table(spark, sf_dir, "lineitem").select(*keys, *order)
-    return ordered.row_position(rows, keys, order, **sizes).drop("l_suppkey", "l_shipdate")
-
-
-@query("win_row_position", _POSITIONS)
-def win_row_position(spark, sf_dir):
-    return _positions(spark, sf_dir)
-
-
-@query("win_row_position_spread", _POSITIONS)
-def win_row_position_spread(spark, sf_dir):
-    """The way for large data, whatever the size."""
-    return _positions(spark, sf_dir, small_rows=0)
+    return ordered.row_position(rows, keys, order).drop("l_suppkey", "l_shipdate")

@@ -25,17 +25,24 @@ def join_left_outer(spark, sf_dir):
 
 
 @query("join_salted", """
-    SELECT l_returnflag, meaning, count(*) AS n, round(sum(l_quantity), 2) AS sum_qty
-    FROM lineitem LEFT JOIN (SELECT o_orderkey, o_orderstatus AS meaning FROM orders)
-      ON l_orderkey = o_orderkey
-    GROUP BY ALL""")
+    WITH l AS (SELECT CASE WHEN l_linestatus = 'F' THEN 0 ELSE l_orderkey END AS k, l_quantity FROM lineitem),
+    o AS (SELECT o_orderkey AS k, o_orderstatus AS meaning FROM orders WHERE o_orderpriority <> '1-URGENT'
+          UNION ALL SELECT 0, r_name FROM region
+          UNION ALL SELECT -1, o_orderstatus FROM orders WHERE o_orderpriority = '1-URGENT')
+    SELECT l.k = 0 AS hot, meaning, count(*) AS n, round(sum(l_quantity), 2) AS sum_qty
+    FROM l LEFT JOIN o ON l.k = o.k GROUP BY ALL""")
 def join_salted(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_quantity")
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.col("o_orderstatus").alias("meaning")
-    )
-    joined = joins.salted_join(lines, orders, [("l_orderkey", "o_orderkey")], "left")
-    return joined.groupBy("l_returnflag", "meaning").agg(
+    """Half of the left rows share a key, a fifth of the right rows another one; lines of
+    urgent orders have no partner."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linestatus") == "F", F.lit(0)).otherwise(F.col("l_orderkey")).alias("k"), "l_quantity")
+    orders = table(spark, sf_dir, "orders")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    names = orders.where(~urgent).select(F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("meaning"))
+    names = names.union(table(spark, sf_dir, "region").select(F.lit(0).cast("long"), "r_name"))
+    names = names.union(orders.where(urgent).select(F.lit(-1).cast("long"), "o_orderstatus"))
+    joined = joins.salted_join(lines, names, [("k", "key")], "left")
+    return joined.groupBy((F.col("k") == 0).alias("hot"), "meaning").agg(
         F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("sum_qty")
     )
 
@@ -51,25 +58,15 @@ _ZIPPED = """
     FROM l LEFT JOIN o ON idx = k"""
 
 
-def _zipped(spark, sf_dir, **sizes):
+@query("join_positional", _ZIPPED)
+def join_positional(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(*ROW)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return joins.positional_join(lines, orders, ROW, ["o_orderkey"], **sizes).select(
+    return joins.positional_join(lines, orders, ROW, ["o_orderkey"]).select(
         "idx", "l_orderkey", "l_partkey", "l_quantity", "o_orderkey", "o_totalprice"
     )
 
 
-@query("join_positional", _ZIPPED)
-def join_positional(spark, sf_dir):
-    return _zipped(spark, sf_dir)
-
-
-@query("join_positional_spread", _ZIPPED)
-def join_positional_spread(spark, sf_dir):
-    """The way for large data, whatever the size."""
-    return _zipped(spark, sf_dir, small_rows=0)
-
-
 @query("join_federated", """
     SELECT s_name, s_nationkey, c_acctbal AS salary
     FROM supplier JOIN customer ON s_suppkey = c_custkey ORDER BY salary DESC, s_name""")
@@ -93,7 +90,7 @@ def join_federated(spark, sf_dir):
 def join_broadcast(spark, sf_dir):
     nation = table(spark, sf_dir, "nation")
     joined = joins.broadcast_join(
-        table(spark, sf_dir, "customer"), nation, [("c_nationkey", "n_nationkey")], max_rows=1_000
+        table(spark, sf_dir, "customer"), nation, [("c_nationkey", "n_nationkey")]
     )
     return joined.groupBy("n_name").agg(
         F.max("c_name").alias("last_name"), F.round(F.avg("c_acctbal"), 6).alias("avg_bal")

@@ -36,8 +36,8 @@ def _timed(stream):
 def stream_file_source(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     path = scratch.new_path(spark, "arriving")
-    sinks.write_csv(events.repartition("event_type"), path)
-    stream = files.stream_csv(spark, path, events.schema, files_per_trigger=1_000)
+    sinks.write_csv(events.repartition(5, "event_id"), path)
+    stream = files.stream_csv(spark, path, events.schema, files_per_trigger=2)
     return _written(stream, "file-stream")
 
 
@@ -133,12 +133,13 @@ def multi_hop(spark, sf_dir):
     return naive_times(activity, *_TIMES)
 
 
-@query("batch_plus_stream", f"{_EVENTS} UNION ALL {_EVENTS}")
+@query("batch_plus_stream", f"{_EVENTS} UNION ALL {_EVENTS} UNION ALL {_EVENTS} WHERE value > 50")
 def batch_plus_stream(spark, sf_dir):
+    """A batch load and two streams, each with its own checkpoint, in one table."""
     target = VersionedTable(spark, scratch.new_path(spark, "vt"))
     target.create(table(spark, sf_dir, "events"))
-    stream = _events(spark, sf_dir)
-    tables.append_stream(stream, target, runs.new_checkpoint(stream), source="events")
+    for stream in (_events(spark, sf_dir), _events(spark, sf_dir).where("value > 50")):
+        tables.append_stream(stream, target, runs.new_checkpoint(stream))
     return target.read()
 
 
@@ -156,11 +157,10 @@ def batch_plus_stream(spark, sf_dir):
 def stream_upsert(spark, sf_dir):
     columns = ["user_id", "event_id", "ts", "event_type", "value"]
     views = table(spark, sf_dir, "events").where("event_type = 'view'").select(*columns)
-    target = VersionedTable(spark, scratch.new_path(spark, "vt"))
+    target = VersionedTable(spark, scratch.new_path(spark, "vt"), keys=["user_id"])
     target.create(dedupe(views, ["user_id"], ["ts", "event_id"]))
     stream = _events(spark, sf_dir).where("event_type <> 'view'").select(*columns)
     tables.upsert_stream(
-        stream, target, ["user_id"], ["ts", "event_id"], runs.new_checkpoint(stream),
-        source="events",
+        stream, target, ["user_id"], ["ts", "event_id"], runs.new_checkpoint(stream)
     )
     return target.read()

@@ -11,8 +11,8 @@ from millrace.queries.registry import query, table
 from millrace.sources import sinks
 
 
-def _table_of(spark, df) -> VersionedTable:
-    versions = VersionedTable(spark, scratch.new_path(spark, "vt"))
+def _table_of(spark, df, *keys: str) -> VersionedTable:
+    versions = VersionedTable(spark, scratch.new_path(spark, "vt"), keys)
     versions.create(df)
     return versions
 
@@ -64,6 +64,7 @@ def vt_update(spark, sf_dir):
         table(spark, sf_dir, "orders").select(
             "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"
         ),
+        "o_orderkey",
     )
     versions.update("o_totalprice > 100000", {"o_orderstatus": "BIG"})
     return versions.read()
@@ -76,7 +77,7 @@ def vt_delete(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(
         "event_id", F.nullif("event_type", F.lit("error")).alias("event_type")
     )
-    versions = _table_of(spark, events)
+    versions = _table_of(spark, events, "event_id")
     versions.delete("event_type = 'view'")
     return versions.read()
 
@@ -87,7 +88,7 @@ def vt_delete(spark, sf_dir):
     SELECT o_orderkey, 'X', round(o_totalprice * 2, 2) FROM orders WHERE o_orderstatus <> 'P'""")
 def vt_merge(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    versions = _table_of(spark, orders.where("o_orderstatus <> 'O'"))
+    versions = _table_of(spark, orders.where("o_orderstatus <> 'O'"), "o_orderkey")
     versions.merge(
         orders.where("o_orderstatus <> 'P'").select(
             "o_orderkey", F.lit("X").alias("o_orderstatus"),
@@ -99,15 +100,18 @@ def vt_merge(spark, sf_dir):
 
 
 @query("vt_history", """
+    WITH twice AS (
+      SELECT s_acctbal, 0 AS since FROM supplier
+      UNION ALL SELECT s_acctbal, 1 FROM supplier WHERE s_nationkey < 10)
     SELECT v.version, v.operation, count(*) AS n_rows
     FROM (VALUES (0::BIGINT, 'create'), (1::BIGINT, 'append'), (2::BIGINT, 'delete')) AS v(version, operation),
-         supplier
-    WHERE v.version <> 2 OR s_acctbal >= 0
+         twice
+    WHERE since <= v.version AND (v.version <> 2 OR s_acctbal >= 0)
     GROUP BY ALL""")
 def vt_history(spark, sf_dir):
     supplier = table(spark, sf_dir, "supplier")
     versions = _table_of(spark, supplier)
-    versions.append(supplier.limit(0))
+    versions.append(supplier.where("s_nationkey < 10"))
     versions.delete("s_acctbal < 0")
     counts = versions.read(0).agg(F.count("*").alias("n_rows")).withColumn("version", F.lit(0))
     for v in (1, 2):

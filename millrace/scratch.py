@@ -1,7 +1,7 @@
 """Intermediate tables in the folder that all executors share.
 
-The cluster names that folder in ``spark.checkpoint.dir``.  A local folder is
-made only where the setting is absent (tests on one machine).
+The cluster names that folder in ``spark.checkpoint.dir``.  Only in local mode, where
+the driver is the one executor, a folder is made if the setting is absent.
 """
 
 from __future__ import annotations
@@ -15,9 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
+class NoSharedFolder(RuntimeError):
+    """A cluster without a folder that all executors share."""
+
+
 def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(SETTING, None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise NoSharedFolder(f"set {SETTING} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set(SETTING, root)
     return root.rstrip("/")

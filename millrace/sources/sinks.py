@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_TAKEN = 50_000
-
 EXACT_TIMES = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -50,17 +48,20 @@ def write_parquet(
 
 
 def write_first_rows(df: DataFrame, path: str, n: int, mode: str = "error") -> None:
-    """Write ``n`` rows, whichever come first.
+    """Write ``n`` rows, the first ones of the frame's partitions in their order.
 
-    ``take`` opens only as many partitions as it needs.  ``limit`` before a
-    write runs all of them and sends ``n`` rows of each to one task; it is left
-    for row counts that should not pass through the driver.
+    One pass counts the rows per partition; each partition then knows how many of its own
+    it has to write, and all write in parallel.  ``df`` should be a scan or a kept frame,
+    whose partitions are the same both times.
     """
-    if n <= MAX_TAKEN:
-        some = df.sparkSession.createDataFrame(df.take(n), df.schema)
-    else:
-        some = df.limit(n)
-    some.write.mode(mode).parquet(path)
+    place = df.withColumn("__place", F.monotonically_increasing_id())
+    part = F.shiftright("__place", 33)
+    counts = place.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    quota = counts.withColumn("__quota", F.lit(n) - F.coalesce(before, F.lit(0))).where("__quota > 0")
+    own = F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))
+    some = place.withColumn("__part", part).join(quota, "__part").where(own < F.col("__quota"))
+    some.select(*df.columns).write.mode(mode).parquet(path)
 
 
 def save_default(df: DataFrame, path: str, mode: str = "overwrite", **options: str) -> None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import parsing
 from millrace.operators import aggregates, charts, columns, filters, joins, ordered, sets
+from millrace.scratch import keep
 
 
 def test_word_count_keeps_empty_words_and_case(spark):
@@ -117,34 +118,48 @@ def test_salted_join_refuses_what_it_cannot_do(spark):
         joins.salted_join(df, df, [("id", "id")], "full")
 
 
-def test_broadcast_join_checks_the_size(spark):
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti", "right", "full"])
+def test_broadcast_join_checks_the_bytes(spark, how):
     left = spark.range(100).toDF("a")
     right = spark.range(50).toDF("b")
-    small = joins.broadcast_join(left, right, [("a", "b")], max_rows=50)
-    large = joins.broadcast_join(left, right, [("a", "b")], max_rows=49)
+    size = joins.text_bytes(right)
+    small = joins.broadcast_join(left, right, [("a", "b")], how, max_bytes=size)
+    large = joins.broadcast_join(left, right, [("a", "b")], how, max_bytes=size - 1)
     assert rows(small) == rows(large)
-    assert "ResolvedHint (strategy=broadcast)" in small._jdf.queryExecution().analyzed().toString()
-    assert joins.fits(right, 50) and not joins.fits(right, 49)
+    hint = "ResolvedHint (strategy=broadcast)"
+    assert hint in small._jdf.queryExecution().analyzed().toString()
+    assert hint not in large._jdf.queryExecution().analyzed().toString()
 
 
-@pytest.mark.parametrize("small_rows", [0, 100])
-def test_positional_join(spark, small_rows):
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join_splits_keys_that_are_hot_on_either_side(spark, how):
+    left = spark.range(900).select(F.when(F.col("id") < 400, 1).when(F.col("id") < 600, 2).when(F.col("id") == 899, None).otherwise(F.col("id")).alias("k"), "id").repartition(3)
+    right = spark.range(300).select(F.when(F.col("id") < 100, 2).when(F.col("id") < 200, 3).otherwise(F.col("id") * 4).alias("j"), F.col("id").alias("r")).repartition(3)
+    one = spark.createDataFrame([(1, -1), (700, -2)], "j int, r int")
+    right = right.select(F.col("j").cast("int"), F.col("r").cast("int")).union(one)
+    left, right = keep(left), keep(right)
+    salted = joins.salted_join(left, right, [("k", "j")], how, salts=4, hot_share=0.2)
+    plain = left.join(right, left["k"] == right["j"], how)
+    assert salted.columns == plain.columns and rows(salted) == rows(plain)
+    hot = joins.hot_keys(right, ["j"], 0.2).collect()
+    assert sorted(r["j"] for r in hot) == [2, 3]
+
+
+def test_positional_join(spark):
     left = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "k int, v string").repartition(3)
     right = spark.createDataFrame([(20,), (10,)], "w int").repartition(2)
-    got = joins.positional_join(left, right, ["k"], ["w"], small_rows=small_rows)
+    got = joins.positional_join(left, right, ["k"], ["w"])
     assert rows(got.select("idx", "v", "w")) == [(0, "a", 10), (1, "b", 20), (2, "c", None)]
 
 
 # -- ordered --------------------------------------------------------------
 
 
-@pytest.mark.parametrize("small_rows", [0, 5000])
-def test_row_position_counts_through_a_hot_key_and_null_keys(spark, small_rows):
+def test_row_position_counts_through_a_hot_key_and_null_keys(spark):
     df = spark.range(2000).select(
         F.when(F.col("id") % 3 < 2, "hot").when(F.col("id") % 2 == 0, "cold").alias("k"), "id"
     )
-    got = ordered.row_position(
-        df.repartition(6), ["k"], ["id"], small_rows=small_rows).collect()
+    got = ordered.row_position(df.repartition(6), ["k"], ["id"]).collect()
     seen: dict = {}
     for r in got:
         seen.setdefault(r["k"], []).append((r["id"], r["position"]))
@@ -155,12 +170,12 @@ def test_row_position_counts_through_a_hot_key_and_null_keys(spark, small_rows):
 
 def test_index_numbers_copies_too(spark):
     df = spark.createDataFrame([(1,)] * 500 + [(2,)] * 3, "x int").repartition(4)
-    got = ordered.row_index(df, ["x"], spread_ties=True, small_rows=0).collect()
+    got = ordered.row_index(df, ["x"], spread_ties=True).collect()
     assert sorted(r["idx"] for r in got) == list(range(503))
     assert sorted(r["idx"] for r in got if r["x"] == 2) == [500, 501, 502]
 
 
-@pytest.mark.parametrize("way", ["brackets", "sort", "small"])
+@pytest.mark.parametrize("way", ["brackets", "sort"])
 def test_percentiles_are_exact_for_hot_values_and_single_rows(spark, monkeypatch, way):
     import numpy as np
 
@@ -170,8 +185,7 @@ def test_percentiles_are_exact_for_hot_values_and_single_rows(spark, monkeypatch
     qs = [0.0, 0.1, 0.25, 0.5, 0.77, 1.0]
     if way == "sort":
         monkeypatch.setattr(ordered, "_bracketed", lambda *a: None)
-    small = 5000 if way == "small" else 0
-    found = ordered.exact_percentiles(df, ["k"], "x", qs, small_rows=small)
+    found = ordered.exact_percentiles(df, ["k"], "x", qs)
     got = {(r["k"], r["q"]): r["x"] for r in found.collect()}
     assert len(got) == 3 * len(qs)
     for q in qs:
@@ -183,11 +197,22 @@ def test_percentiles_are_exact_for_hot_values_and_single_rows(spark, monkeypatch
 def test_percentiles_survive_a_sketch_that_misses(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).cast("double").alias("x"))
     got = {r["q"]: r["x"] for r in
-           ordered.exact_percentiles(
-               df, [], "x", [0.3, 0.5, 0.999], accuracy=3, small_rows=0).collect()}
+           ordered.exact_percentiles(df, [], "x", [0.3, 0.5, 0.999], accuracy=3).collect()}
     assert got == {q: pytest.approx(q * 4999) for q in (0.3, 0.5, 0.999)}
 
 
+@pytest.mark.parametrize("way", ["brackets", "sort"])
+def test_percentiles_of_infinities_and_repeated_quantiles(spark, monkeypatch, way):
+    inf = float("inf")
+    if way == "sort":
+        monkeypatch.setattr(ordered, "_bracketed", lambda *a: None)
+    df = spark.createDataFrame([(float(i),) for i in range(10)] + [(inf,), (inf,)], "x double")
+    got = rows(ordered.exact_percentiles(df, [], "x", [0.5, 1.0, 0.5]))
+    assert got == [(0.5, 5.5), (0.5, 5.5), (1.0, inf)]
+    low = spark.createDataFrame([(-inf,), (-inf,), (1.0,)], "x double")
+    assert rows(ordered.exact_percentiles(low, [], "x", [0.0, 0.5, 1.0])) == [(0.0, -inf), (0.5, -inf), (1.0, 1.0)]
+
+
 # -- charts ---------------------------------------------------------------
 
 

@@ -105,9 +105,11 @@ def test_default_format_is_parquet(spark, folder):
 
 
 def test_first_rows(spark, folder):
-    df = spark.range(100)
-    sinks.write_first_rows(df, folder, 7)
-    assert spark.read.parquet(folder).count() == 7
+    df = spark.range(0, 100, 1, 8)
+    sinks.write_first_rows(df, folder, 30)
+    assert rows(spark.read.parquet(folder)) == rows(spark.range(30))
+    sinks.write_first_rows(df, folder, 0, mode="overwrite")
+    assert spark.read.parquet(folder).count() == 0
     sinks.write_first_rows(df, folder, 1_000, mode="overwrite")
     assert spark.read.parquet(folder).count() == 100
 
@@ -166,3 +168,20 @@ def test_ddl(spark):
     ddl.create_database(spark, other, scratch.new_path(spark, "db"))
     ddl.drop_database(spark, other, cascade=True)
     assert not spark.catalog.databaseExists(other)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace as Fake
+
+    from millrace import scratch
+
+    def session(master, folder):
+        kept = {scratch.SETTING: folder} if folder else {}
+        return Fake(conf=Fake(get=lambda k, d: kept.get(k, d), set=kept.__setitem__), sparkContext=Fake(master=master))
+
+    for master in ("yarn", "spark://host:7077", "k8s://https://host", "local-cluster[2,1,1024]"):
+        with pytest.raises(scratch.NoSharedFolder):
+            scratch.shared_root(session(master, None))
+        assert scratch.shared_root(session(master, "hdfs:///shared/")) == "hdfs:///shared"
+    for master in ("local", "local[4]", "local[*]"):
+        assert scratch.shared_root(session(master, None))

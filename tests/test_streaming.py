@@ -120,10 +120,31 @@ def test_batch_rows_and_streamed_rows_share_a_table(spark, folder):
     _events(spark, range(5)).repartition(2).write.parquet(folder)
     checkpoint = scratch.new_path(spark, "ck")
     for _ in range(2):
-        tables.append_stream(
-            _stream(spark, folder, maxFilesPerTrigger=1), target, checkpoint, source="s"
-        )
+        tables.append_stream(_stream(spark, folder, maxFilesPerTrigger=1), target, checkpoint)
     assert target.read().count() == 8
+    # a second stream counts its batches from 0 again and still adds its rows
+    other = scratch.new_path(spark, "other")
+    _events(spark, range(4)).coalesce(1).write.parquet(other)
+    for _ in range(2):
+        tables.append_stream(_stream(spark, other), target, checkpoint + "-other")
+    assert target.read().count() == 12
+
+
+def test_micro_batches_run_on_until_stopped(spark, folder):
+    target = VersionedTable(spark, scratch.new_path(spark, "vt"))
+    target.create(_events(spark, [1]))
+    _events(spark, range(3)).coalesce(1).write.parquet(folder)
+    running = tables.append_stream(
+        _stream(spark, folder), target, scratch.new_path(spark, "ck"), once=False, every="100 milliseconds"
+    )
+    try:
+        running.processAllAvailable()
+        assert running.isActive and target.read().count() == 4
+        _events(spark, range(2)).coalesce(1).write.mode("append").parquet(folder)
+        running.processAllAvailable()
+        assert target.read().count() == 6
+    finally:
+        running.stop()
 
 
 def test_upserts_keep_the_last_row_per_key(spark, folder):
@@ -134,7 +155,7 @@ def test_upserts_keep_the_last_row_per_key(spark, folder):
     checkpoint = scratch.new_path(spark, "ck")
 
     def go():
-        tables.upsert_stream(_stream(spark, folder), target, ["id"], ["at"], checkpoint, "s")
+        tables.upsert_stream(_stream(spark, folder), target, ["id"], ["at"], checkpoint)
         return rows(target.read().select("id", "kind"))
 
     want = [(1, "c"), (2, "d"), (9, "old")]

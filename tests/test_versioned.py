@@ -74,6 +74,28 @@ def test_changes_rewrite_only_touched_segments(vt, spark):
     assert set(vt.history().where("version = 3").first()["segments"]) == after
 
 
+def test_a_change_of_one_key_leaves_other_folders_alone(spark, folder):
+    table = VersionedTable(spark, folder, keys=["id"], folders=8)
+    table.create(spark.range(1000).withColumn("v", F.lit(1)).repartition(3))
+
+    def segments():
+        return set(table.history().orderBy(F.desc("version")).first()["segments"])
+
+    first = segments()
+    assert len(first) == 8
+    one = spark.createDataFrame([(77, 5)], "id bigint, v int")
+    for change in (lambda: table.merge(one, ["id"]), lambda: table.update("id = 77", {"v": 6}), lambda: table.delete("id = 78")):
+        before = segments()
+        change()
+        assert len(before & segments()) == 7 and len(segments()) == 8
+    assert table.read().count() == 999 and table.read().where("v = 6").count() == 1
+    before = segments()
+    table.merge(spark.createDataFrame([(5000, 1)], "id bigint, v int"), ["id"])
+    assert before < segments() and table.read().count() == 1000
+    table.delete("id >= 0")
+    assert table.read().count() == 0 and VersionedTable(spark, folder).read(0).count() == 1000
+
+
 def test_merge_replaces_inserts_and_is_idempotent(vt, spark):
     source = spark.createDataFrame([(3, 30), (7, 70), (None, 1)], "id bigint, customer_id int")
     vt.merge(source, ["id"])
