@@ -22,7 +22,7 @@ HEADLINE = (
     "agg_multi_key_count", "agg_max_avg", "agg_dedupe", "agg_describe", "agg_pivot",
     "agg_histogram", "agg_quantiles", "agg_box", "win_row_position", "sort_desc", "top_k",
     "fn_from_json", "sliding_window", "stream_sliding_append", "stream_upsert", "vt_merge",
-    "vt_update", "feat_scale", "ml_linreg_plain", "udf_score", "udf_group_fit", "retail_report",
+    "vt_update", "multi_hop", "feat_scale", "feature_pipeline", "ml_linreg_plain", "udf_score", "udf_group_fit", "retail_report",
 )
 
 

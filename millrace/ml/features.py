@@ -1,4 +1,4 @@
-"""Feature stages.  Estimators whose model lives on the driver check its size first."""
+"""Feature stages."""
 
 from __future__ import annotations
 
@@ -11,7 +11,6 @@ from pyspark.ml.feature import (
     StandardScaler,
     StopWordsRemover,
     StringIndexer,
-    StringIndexerModel,
     Tokenizer,
     UnivariateFeatureSelector,
     VectorAssembler,
@@ -23,18 +22,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_LABELS = 1_000_000
-MAX_VOCABULARY = 5_000_000
-
-
-class ModelTooLarge(ValueError):
-    """The fitted model would not fit on one machine."""
-
-
-def _bounded(values: DataFrame, bound: int, what: str) -> None:
-    if values.distinct().count() > bound:
-        raise ModelTooLarge(f"more than {bound} {what}")
+from millrace.operators.ordered import row_index
+from millrace.scratch import keep
 
+PART_ROWS = 100_000
 
 # -- text -----------------------------------------------------------------
 
@@ -51,8 +42,8 @@ def stop_words_remover(terms: str, out: str, words: Sequence[str] | None = None
     return remover.setStopWords(list(words)) if words else remover
 
 
-def vocabulary(df: DataFrame, terms: str, size: int, min_df: int = 1) -> list[str]:
-    """The ``size`` most frequent terms that occur in ``min_df`` rows or more.
+def vocabulary(df: DataFrame, terms: str, size: int | None = None, min_df: int = 1) -> list[str]:
+    """The ``size`` most frequent terms (all without a size) that occur in ``min_df`` rows or more.
 
     Equal counts are ordered by the term, so that every run picks the same ones.
     The list is the only thing that reaches the driver.
@@ -72,13 +63,12 @@ def vocabulary(df: DataFrame, terms: str, size: int, min_df: int = 1) -> list[st
         .agg(F.sum("uses").alias("uses"), F.sum("rows").alias("rows"))
         .where(F.col("rows") >= min_df)
         .orderBy(F.desc("uses"), "term")
-        .limit(size)
     )
-    return [r["term"] for r in top.collect()]
+    return [r["term"] for r in (top.limit(size) if size else top).collect()]
 
 
 def count_vectorizer(
-    df: DataFrame, terms: str, out: str, size: int, min_df: int = 1
+    df: DataFrame, terms: str, out: str, size: int | None = None, min_df: int = 1
 ) -> CountVectorizerModel:
     """Term counts over the fitted vocabulary."""
     return CountVectorizerModel.from_vocabulary(
@@ -88,30 +78,40 @@ def count_vectorizer(
 
 def word_vectors(
     df: DataFrame, terms: str, out: str, size: int = 2, min_count: int = 0,
-    seed: int = 7, parts: int | None = None, max_vocabulary: int = MAX_VOCABULARY,
+    seed: int = 7, parts: int | None = None,
 ) -> Word2VecModel:
     """Word embeddings; a row's vector is the mean of its words.
 
-    The library trains on one partition by default, i.e. all text in one task;
-    here on up to 64 (their models are averaged, so more would blur the result).
-    The vocabulary is broadcast each round, hence the bound.
+    The library trains on one partition by default, i.e. all text in one task; here on one
+    per ``PART_ROWS`` rows, a number that depends on the data and not on the cluster.  The
+    model, and so the vocabulary, is the library's and has to fit on one machine; a larger
+    ``min_count`` makes it smaller.
     """
-    _bounded(df.select(F.explode(terms)), max_vocabulary, "words; raise min_count")
     return Word2Vec(
         vectorSize=size, minCount=min_count, inputCol=terms, outputCol=out, seed=seed,
-        numPartitions=parts or min(df.sparkSession.sparkContext.defaultParallelism, 64),
+        numPartitions=parts or df.count() // PART_ROWS + 1,
     ).fit(df)
 
 
 # -- categories and numbers ----------------------------------------------
 
 
-def string_index(
-    df: DataFrame, column: str, out: str, max_labels: int = MAX_LABELS
-) -> StringIndexerModel:
-    """Most frequent label is 0, ties alphabetical; rows with null or unknown labels drop out."""
-    _bounded(df.select(column), max_labels, f"labels in {column}")
-    return StringIndexer(inputCol=column, outputCol=out, handleInvalid="skip").fit(df)
+class LabelIndex:
+    """Labels and their numbers as a table; as many labels as there are."""
+
+    def __init__(self, column: str, out: str, labels: DataFrame):
+        self.column, self.out, self.labels = column, out, labels
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Adds the number; rows with null or unknown labels drop out."""
+        own = self.labels.select(F.col("label").alias("__label"), F.col("idx").cast("double").alias(self.out))
+        return df.join(own, F.col(self.column).cast("string") == F.col("__label")).drop("__label")
+
+
+def string_index(df: DataFrame, column: str, out: str) -> LabelIndex:
+    """Most frequent label is 0, ties alphabetical."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("label")).agg((-F.count("*")).alias("__n"))
+    return LabelIndex(column, out, keep(row_index(counts, ["__n", "label"]), "labels"))
 
 
 def one_hot(index: str, out: str) -> OneHotEncoder:

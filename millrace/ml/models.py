@@ -165,8 +165,8 @@ def class_metrics(predicted: DataFrame, label: str = "label") -> dict[str, float
 
 
 def ranking_metrics(predicted: DataFrame, score: str = "rawPrediction", label: str = "label",
-                    bins: int = 1000) -> dict[str, float]:
-    """Area under the ROC curve; ``bins`` bounds the curve's points (0 keeps all)."""
+                    bins: int = 0) -> dict[str, float]:
+    """Area under the ROC curve, from all its points unless ``bins`` bounds them."""
     measure = BinaryClassificationEvaluator(
         rawPredictionCol=score, labelCol=label, metricName="areaUnderROC", numBins=bins
     )
@@ -182,6 +182,11 @@ def metric_rows(spark: SparkSession, metrics: Mapping[str, float]) -> DataFrame:
     return spark.createDataFrame(rows, "metric string, value double")
 
 
+def text_rows(spark: SparkSession, model) -> DataFrame:
+    """A tree model as text: rows (line, text)."""
+    return spark.createDataFrame(list(enumerate(model.toDebugString.splitlines())), "line int, text string")
+
+
 # -- search ---------------------------------------------------------------
 
 

@@ -53,9 +53,10 @@ def cleanse(
 
 
 def country_report(clean: DataFrame) -> DataFrame:
-    """Lines, quantity and revenue per country."""
+    """Lines, lines with a person, quantity and revenue per country."""
     return clean.groupBy("country_name").agg(
         F.count("*").alias("n_lines"),
+        F.count("work_class").alias("n_people"),
         F.sum("quantity").alias("quantity"),
         F.round(F.sum(F.col("unit_price") * F.col("quantity")), 2).alias("revenue"),
     )

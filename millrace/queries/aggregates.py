@@ -54,10 +54,10 @@ def agg_global_max(spark, sf_dir):
 
 
 @query("agg_multi_key_count", """
-    SELECT l_orderkey, l_shipdate, l_partkey, count(*) AS n FROM lineitem GROUP BY ALL""")
+    SELECT l_suppkey, l_returnflag, l_linestatus, l_quantity, count(*) AS n FROM lineitem GROUP BY ALL""")
 def agg_multi_key_count(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").groupBy(
-        "l_orderkey", "l_shipdate", "l_partkey"
+        "l_suppkey", "l_returnflag", "l_linestatus", "l_quantity"
     ).agg(F.count("*").alias("n"))
 
 

@@ -97,7 +97,7 @@ def agg_quantiles_approx(spark, sf_dir):
 
 
 @query("agg_qq_normal", """
-    SELECT q, round(v, 6) AS l_quantity, round(n, 4) AS normal
+    SELECT q, round(v, 6) AS l_quantity, round(n, 4)::DOUBLE AS normal
     FROM (SELECT unnest([0.1, 0.25, 0.5, 0.75, 0.9])::DOUBLE AS q,
                  unnest(quantile_cont(l_quantity, [0.1, 0.25, 0.5, 0.75, 0.9])) AS v,
                  unnest([-1.2815515655446004, -0.6744897501960817, 0.0, 0.6744897501960817, 1.2815515655446004]) AS n

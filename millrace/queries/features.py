@@ -47,7 +47,7 @@ def feat_tokens(spark, sf_dir):
 def feat_nostops(spark, sf_dir):
     docs = texts(spark, sf_dir, "text")
     terms = features.tokenizer("text", "terms").transform(docs)
-    kept = features.stop_words_remover("terms", "kept", STOP_WORDS).transform(terms)
+    kept = features.stop_words_remover("terms", "kept").transform(terms)  # the default list
     return kept.select(F.explode("kept").alias("term")).groupBy("term").agg(
         F.count("*").alias("n")
     )
@@ -72,14 +72,18 @@ def feat_count_vec(spark, sf_dir):
     return long.where("uses > 0")
 
 
-@query("feat_word2vec")
+@query("feat_word2vec", "SELECT p_partkey, p_name, true AS is_mean FROM part")
 def feat_word2vec(spark, sf_dir):
+    """Whether each part's vector is the mean of its words' vectors."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     terms = features.tokenizer("p_name", "terms").transform(part)
     model = features.word_vectors(terms, "terms", "vector")
-    return features.vector_columns(model.transform(terms), "vector", ["v0", "v1"]).select(
-        "p_partkey", "p_name", "v0", "v1"
-    )
+    words = features.vector_columns(model.getVectors(), "vector", ["w0", "w1"]).select("word", "w0", "w1")
+    means = terms.select("p_partkey", F.explode("terms").alias("word")).join(words, "word").groupBy("p_partkey").agg(
+        F.avg("w0").alias("m0"), F.avg("w1").alias("m1"))
+    own = features.vector_columns(model.transform(terms), "vector", ["v0", "v1"])
+    near = (F.abs(F.col("v0") - F.col("m0")) < 1e-5) & (F.abs(F.col("v1") - F.col("m1")) < 1e-5)
+    return own.join(means, "p_partkey").select("p_partkey", "p_name", near.alias("is_mean"))
 
 
 _SEGMENTS = """
@@ -221,6 +225,13 @@ def retail_rows(spark, sf_dir):
     part = table(spark, sf_dir, "part").selectExpr("p_partkey", "p_name AS description")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").selectExpr("n_nationkey", "n_name AS country_code")
+    # some lines come twice, the second time with a larger quantity; some once more without an
+    # age; some weights are no numbers
+    twice = lines.where("quantity < 5").withColumn("quantity", F.col("quantity") + 100)
+    no_age = lines.where("quantity > 45").withColumns({"age": F.lit(None).cast("string"), "quantity": F.lit(0)})
+    lines = lines.unionByName(twice).unionByName(no_age)
+    bad = F.when(F.col("final_weight") == "0.05", "five").otherwise(F.col("final_weight"))
+    lines = lines.withColumn("final_weight", bad)
     return (
         lines.join(part, F.col("stock_code") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -243,7 +254,7 @@ def wrangled_rows(spark, sf_dir):
 @query("wrangle", """
     SELECT l_orderkey AS invoice_num, l_partkey AS stock_code, n_name AS country_code,
            CAST(l_quantity AS INTEGER) AS quantity, p_name AS description,
-           CAST(l_suppkey AS FLOAT) AS cust_age, CAST(l_tax AS FLOAT) AS fin_wt,
+           CAST(l_suppkey AS FLOAT) AS cust_age, CAST(CASE WHEN l_tax = 0.05 THEN 0 ELSE l_tax END AS FLOAT) AS fin_wt,
            make_timestamp(2000 + (year(l_shipdate) % 100), month(l_shipdate), day(l_shipdate),
                           hour(l_shipdate), minute(l_shipdate), 0) AS invoice_time
     FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
@@ -255,12 +266,24 @@ def wrangle(spark, sf_dir):
     )
 
 
-@query("feature_pipeline")
+@query("feature_pipeline", """
+    WITH r AS (
+      SELECT l_orderkey AS invoice_num, l_partkey AS stock_code, n_name AS country,
+             CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS quantity, CAST(month(l_shipdate) AS VARCHAR) AS month,
+             CAST(round(l_extendedprice / l_quantity / 100, 2) > 10 AS INTEGER)::DOUBLE AS binarized_price
+      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey),
+    c AS (SELECT country, CAST(row_number() OVER (ORDER BY count(*) DESC, country) - 1 AS DOUBLE) AS country_indexed FROM r GROUP BY country),
+    q AS (SELECT quantity, CAST(row_number() OVER (ORDER BY count(*) DESC, quantity) - 1 AS DOUBLE) AS quantity_indexed FROM r GROUP BY quantity),
+    m AS (SELECT month, CAST(row_number() OVER (ORDER BY count(*) DESC, month) - 1 AS DOUBLE) AS month_indexed FROM r GROUP BY month)
+    SELECT invoice_num, stock_code, country_indexed, quantity_indexed, binarized_price, month_indexed, true AS scaled
+    FROM r JOIN c USING (country) JOIN q USING (quantity) JOIN m USING (month)""")
 def feature_pipeline(spark, sf_dir):
     out = feature_job.build_features(wrangled_rows(spark, sf_dir))
-    return features.vector_columns(out, "selected_features", ["selected"]).select(
+    raw, scaled = (features.vector_to_array(c) for c in ("features", "scaled_features"))
+    one = features.vector_to_array("selected_features")
+    return out.select(
         "invoice_num", "stock_code", "country_indexed", "quantity_indexed", "binarized_price",
-        "month_indexed", "selected",
+        "month_indexed", ((F.size(raw) == F.size(scaled)) & (F.get(scaled, 1) == F.get(one, 0))).alias("scaled"),
     )
 
 

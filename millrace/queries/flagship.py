@@ -11,15 +11,14 @@ ORDER = ("InvoiceNo", "InvoiceDate", "StockCode", "Quantity", "UnitPrice")
 
 
 def _clean(spark, sf_dir, with_income: bool):
-    """Order lines of two files as all-text retail rows, with country and person columns."""
+    """Order lines as all-text retail rows, with country and person columns."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation")
 
-    def lines(status: str):
+    def lines():
         return (
             table(spark, sf_dir, "lineitem")
-            .where(F.col("l_linestatus") == status)
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(customer, F.col("o_custkey") == F.col("c_custkey"))
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -49,9 +48,8 @@ def _clean(spark, sf_dir, with_income: bool):
         income = table(spark, sf_dir, "supplier").select(
             F.col("s_suppkey").cast("string").alias("age"), F.col("s_name").alias("workclass")
         )
-    both = [lines("F"), lines("O")]
     return cleanse.cleanse(
-        cleanse.integrate(both, countries, income, ORDER, ["workclass"]),
+        cleanse.integrate([lines()], countries, income, ORDER, ["workclass"]),
         order=["Quantity", "UnitPrice", "CustomerID"],
         types={"UnitPrice": "double", "Quantity": "double"},
         names={"InvoiceNo": "invoice_num", "StockCode": "stock_code",
@@ -66,12 +64,14 @@ _ROWS = """
       SELECT CAST(l_orderkey AS VARCHAR) AS invoice_num, CAST(l_linenumber AS VARCHAR) AS stock_code,
              strftime(l_shipdate, '%Y-%m') AS invoice_date, CAST(l_quantity AS VARCHAR) AS q,
              CAST(l_extendedprice AS VARCHAR) AS p, CAST(o_custkey AS VARCHAR) AS customer_id,
-             n_name, n_regionkey
+             n_name, n_regionkey,
+             row_number() OVER (ORDER BY CAST(l_orderkey AS VARCHAR), strftime(l_shipdate, '%Y-%m'), CAST(l_linenumber AS VARCHAR),
+                                CAST(l_quantity AS VARCHAR), CAST(l_extendedprice AS VARCHAR)) AS pos
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
         JOIN nation ON c_nationkey = n_nationkey),
     clean AS (
       SELECT invoice_num, stock_code, invoice_date, CAST(q AS DOUBLE) AS quantity,
-             CAST(p AS DOUBLE) AS unit_price, customer_id, r_name AS country_code,
+             CAST(p AS DOUBLE) AS unit_price, customer_id, r_name AS country_code, pos,
              CASE WHEN r_name IS NOT NULL THEN n_name END AS country_name
       FROM l LEFT JOIN (SELECT * FROM region WHERE r_name IN ('AFRICA', 'ASIA', 'EUROPE'))
         ON n_regionkey = r_regionkey
@@ -90,7 +90,8 @@ def retail_clean(spark, sf_dir):
 
 
 @query("retail_report", _ROWS + """
-    SELECT country_name, count(*) AS n_lines, sum(quantity) AS quantity,
+    SELECT country_name, count(*) AS n_lines,
+           count(*) FILTER (WHERE pos <= (SELECT count(*) FROM supplier)) AS n_people, sum(quantity) AS quantity,
            round(sum(unit_price * quantity), 2) AS revenue
     FROM clean GROUP BY country_name""")
 def retail_report(spark, sf_dir):

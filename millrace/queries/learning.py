@@ -11,11 +11,16 @@ from millrace.queries.registry import query, table, texts
 from millrace.queries.features import STOP_WORDS
 
 
+# A line's worth: mostly its quantity, with the price (which knows nothing of the quantity in
+# these tables) as noise.  Learners that work find the quantity.
+_WORTH = "(l_quantity * 1000 + l_extendedprice / 10)"
+
+
 def _lines(spark, sf_dir):
-    """features = [quantity / stddev], label = price; keys for the split."""
+    """features = [quantity / stddev], label = worth; keys for the split."""
     rows = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_shipdate", "l_quantity",
-        F.col("l_extendedprice").alias("label"),
+        F.expr(_WORTH).alias("label"),
     )
     vectors = features.assembler(["l_quantity"], "raw").transform(rows)
     scaled = features.scaler("raw", "features").fit(vectors).transform(vectors)
@@ -23,18 +28,22 @@ def _lines(spark, sf_dir):
 
 
 def _labelled(spark, sf_dir):
-    """features = [length, share of spaces] of a document, label = quality."""
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", F.col("n_chars").cast("double").alias("n_chars"),
-        (F.size(F.split("text", " ")) / F.greatest(F.col("n_chars"), F.lit(1))).alias("spaces"),
-    )
-    labels = table(spark, sf_dir, "labels").select(
-        "doc_id", F.col("quality").cast("double").alias("label")
+    """features = [quantity, discount], label = whether the worth is high."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_discount",
+        F.expr(f"double({_WORTH} > 30000)").alias("label"),
     )
-    rows = docs.join(labels, "doc_id")
-    vectors = features.assembler(["n_chars", "spaces"], "raw").transform(rows)
-    scaled = features.scaler("raw", "features").fit(vectors).transform(vectors)
-    return scaled.select("doc_id", "features", "label")
+    vectors = features.assembler(["l_quantity", "l_discount"], "features").transform(rows)
+    return vectors.select("l_orderkey", "l_partkey", "features", "label")
+
+
+_TEST = "substr(md5(l_orderkey || '|' || l_partkey), 1, 8) >= '{bound}'"
+_N_TEST = f"SELECT 'n' AS metric, count(*)::DOUBLE AS value FROM lineitem WHERE {_TEST}"
+
+
+def _laws(*names: str, bound: str = "cccccccc") -> str:
+    """SQL: as many predictions as there are test rows, and every law holds."""
+    return _N_TEST.format(bound=bound) + "".join(f" UNION ALL SELECT '{n}', 1.0::DOUBLE" for n in names)
 
 
 def _split_lines(spark, sf_dir):
@@ -43,30 +52,36 @@ def _split_lines(spark, sf_dir):
     )
 
 
-def _split_docs(spark, sf_dir, fraction: float = 0.8):
-    return models.stable_split(models.prepared(_labelled(spark, sf_dir)), ["doc_id"], fraction)
-
-
-def _regress(spark, sf_dir, learner, **extra):
+def _regress(spark, sf_dir, learner):
+    """Number of predictions for the test rows; whether they explain most of the variance."""
     train, test = _split_lines(spark, sf_dir)
     model = learner.fit(train)
-    found = models.regression_metrics(model.transform(test))
-    return model, models.metric_rows(spark, {**found, **extra})
+    predicted = model.transform(test)
+    r2 = models.regression_metrics(predicted)["r2"]
+    return model, models.metric_rows(spark, {"n": predicted.count(), "explains_most": r2 > 0.5})
 
 
 def _classify(spark, sf_dir, learner):
-    train, test = _split_docs(spark, sf_dir)
-    return models.metric_rows(spark, models.class_metrics(learner.fit(train).transform(test)))
+    """Number of predictions for the test rows; whether far more are right than the commoner
+    label would give."""
+    train, test = models.stable_split(
+        models.prepared(_labelled(spark, sf_dir)), ["l_orderkey", "l_partkey"], 0.8)
+    predicted = learner.fit(train).transform(test)
+    high = test.agg(F.avg("label")).first()[0]
+    right = models.class_metrics(predicted)["accuracy"]
+    return models.metric_rows(spark, {"n": predicted.count(), "beats_constant": right > max(high, 1 - high) + 0.1})
 
 
-@query("ml_linreg")
+@query("ml_linreg", "SELECT 'n' AS metric, count(*)::DOUBLE AS value FROM lineitem"
+       " UNION ALL SELECT 'near_plain_slope', 1.0::DOUBLE UNION ALL SELECT 'explains_most', 1.0::DOUBLE")
 def ml_linreg(spark, sf_dir):
-    model = models.linear_regression().fit(models.prepared(_lines(spark, sf_dir)))
-    summary = model.summary
+    """With the jobs' penalties, which hardly move a slope of thousands."""
+    lines = models.prepared(_lines(spark, sf_dir))
+    model = models.linear_regression().fit(lines)
+    plain = models.linear_regression(regParam=0.0, elasticNetParam=0.0, solver="normal").fit(lines)
+    near = abs(model.coefficients[0] / plain.coefficients[0] - 1) < 0.01
     return models.metric_rows(spark, {
-        "coefficient": model.coefficients[0], "intercept": model.intercept,
-        "rmse": summary.rootMeanSquaredError, "r2": summary.r2,
-    })
+        "n": model.summary.numInstances, "near_plain_slope": near, "explains_most": model.summary.r2 > 0.5})
 
 
 @query("ml_linreg_plain", """
@@ -85,128 +100,183 @@ def ml_linreg_plain(spark, sf_dir):
     )
 
 
-@query("ml_dt_reg")
+@query("ml_dt_reg", _laws("explains_most", "text_names_every_node"))
 def ml_dt_reg(spark, sf_dir):
     model, metrics = _regress(spark, sf_dir, models.tree_regressor())
-    text = spark.createDataFrame(
-        [("depth", float(model.depth)), ("nodes", float(model.numNodes)),
-         ("tree_text_lines", float(len(model.toDebugString.splitlines())))],
-        "metric string, value double",
-    )
-    return metrics.union(text)
-
-
-@query("ml_logreg")
+    text = model.toDebugString
+    leaves, splits = text.count("Predict:"), text.count("If (")
+    whole = leaves + splits == model.numNodes
+    return metrics.union(models.metric_rows(spark, {"text_names_every_node": whole}))
+
+
+@query("ml_tree_text", """
+    SELECT true AS numbered, 1::BIGINT AS headers""")
+def ml_tree_text(spark, sf_dir):
+    """The tree as text, a row a line: its first line names the model."""
+    model, _ = _regress(spark, sf_dir, models.tree_regressor())
+    lines = models.text_rows(spark, model)
+    return lines.agg(
+        (F.max("line") + 1 == F.count("*")).alias("numbered"),
+        F.count_if(F.col("text").startswith("DecisionTreeRegressionModel")).alias("headers"))
+
+
+@query("ml_logreg", """
+    SELECT 'auc' AS metric, 0.5::DOUBLE AS value UNION ALL SELECT 'coefficients', 0.0::DOUBLE
+    UNION ALL SELECT 'auc_light_penalty_high', 1.0::DOUBLE UNION ALL SELECT 'roc_rises', 1.0::DOUBLE""")
 def ml_logreg(spark, sf_dir):
-    docs = models.prepared(_labelled(spark, sf_dir).withColumn("name", F.col("label").cast("string")))
+    """The jobs' penalty (0.9 * 0.6) is larger than any slope of the loss of a label of 0 and 1
+    can be, at most 0.5, so it leaves a constant model; a light one finds the signal."""
+    rows = models.prepared(_labelled(spark, sf_dir).withColumn("name", F.col("label").cast("string")))
     stages = Pipeline(stages=[
         features.StringIndexer(inputCol="name", outputCol="target", handleInvalid="skip"),
         models.logistic_regression("target"),
     ])
-    summary = stages.fit(docs).stages[-1].summary
-    # The curve is thinned to about a thousand points by the library.
-    return summary.roc.withColumn("auc", F.lit(summary.areaUnderROC))
+    model = stages.fit(rows).stages[-1]
+    light = models.logistic_regression(regParam=0.01).fit(rows)
+    roc = light.summary.roc.collect()
+    rises = all(a["FPR"] <= b["FPR"] and a["TPR"] <= b["TPR"] for a, b in zip(roc, roc[1:]))
+    auc = models.ranking_metrics(light.transform(rows), bins=0)["auc"]
+    return models.metric_rows(spark, {
+        "auc": model.summary.areaUnderROC, "coefficients": sum(abs(c) for c in model.coefficients),
+        "auc_light_penalty_high": auc > 0.9, "roc_rises": rises})
 
 
-@query("ml_logreg_multi")
+@query("ml_logreg_multi", """
+    SELECT 'classes' AS metric, 3.0::DOUBLE AS value UNION ALL SELECT 'has_signal', 1.0::DOUBLE
+    UNION ALL SELECT 'beats_constant', 1.0::DOUBLE""")
 def ml_logreg_multi(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(
-        "lang", F.col("n_chars").cast("double").alias("n_chars"),
-        F.size(F.split("text", " ")).cast("double").alias("n_words"),
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_quantity", "l_discount",
+        F.expr(f"CASE WHEN {_WORTH} < 20000 THEN 'low' WHEN {_WORTH} < 40000 THEN 'middle' ELSE 'high' END").alias("band"),
     )
-    indexed = features.string_index(docs, "lang", "label").transform(docs)
+    indexed = features.string_index(lines, "band", "label").transform(lines)
     train = models.prepared(
-        features.assembler(["n_chars", "n_words"], "features").transform(indexed)
-        .select("features", "label")
-    )
+        features.assembler(["l_quantity", "l_discount"], "features").transform(indexed).select("features", "label"))
     model = models.multinomial_regression().fit(train)
-    rows = [
-        (int(c), float(model.interceptVector[c]), [float(x) for x in model.coefficientMatrix.toArray()[c]])
-        for c in range(model.numClasses)
-    ]
-    frame = spark.createDataFrame(rows, "class int, intercept double, coefficients array<double>")
-    return frame.withColumn("accuracy", F.lit(model.summary.accuracy))
+    commonest = train.groupBy("label").count().agg(F.max("count") / F.sum("count")).first()[0]
+    return models.metric_rows(spark, {
+        "classes": model.numClasses, "has_signal": abs(model.coefficientMatrix.toArray()).max() > 0,
+        "beats_constant": model.summary.accuracy > commonest})
 
 
-@query("ml_dt_cls")
+@query("ml_dt_cls", _laws("beats_constant"))
 def ml_dt_cls(spark, sf_dir):
     return _classify(spark, sf_dir, models.tree_classifier())
 
 
-@query("ml_nb")
+@query("ml_nb", f"""
+    SELECT CAST({_WORTH} > 30000 AS INTEGER) AS class, round(avg(l_quantity), 4) AS mean_quantity,
+           round(var_pop(l_quantity), 3) AS var_quantity, round(avg(l_discount), 6) AS mean_discount,
+           round(count(*) / (SELECT count(*) FROM lineitem), 6) AS prior
+    FROM lineitem GROUP BY 1""")
 def ml_nb(spark, sf_dir):
-    return _classify(spark, sf_dir, models.naive_bayes())
+    model = models.naive_bayes().fit(_labelled(spark, sf_dir))
+    theta, sigma = model.theta.toArray(), model.sigma.toArray()
+    found = [(c, float(theta[c][0]), float(sigma[c][0]), float(theta[c][1]), float(model.pi[c])) for c in range(2)]
+    return spark.createDataFrame(found, "class int, m double, v double, d double, p double").select(
+        "class", F.round("m", 4).alias("mean_quantity"), F.round("v", 3).alias("var_quantity"),
+        F.round("d", 6).alias("mean_discount"), F.round(F.exp("p"), 6).alias("prior"))
 
 
-@query("ml_svm")
+@query("ml_svm", _laws("beats_constant"))
 def ml_svm(spark, sf_dir):
     return _classify(spark, sf_dir, models.linear_svm())
 
 
-@query("ml_rf_reg")
+@query("ml_rf_reg", _laws("explains_most"))
 def ml_rf_reg(spark, sf_dir):
     return _regress(spark, sf_dir, models.forest_regressor())[1]
 
 
-@query("ml_rf_cls")
+@query("ml_rf_cls", _laws("beats_constant"))
 def ml_rf_cls(spark, sf_dir):
     return _classify(spark, sf_dir, models.forest_classifier())
 
 
-@query("ml_gbt_reg")
+@query("ml_gbt_reg", _laws("explains_most"))
 def ml_gbt_reg(spark, sf_dir):
     return _regress(spark, sf_dir, models.boosted_regressor())[1]
 
 
-@query("ml_gbt_cls")
+@query("ml_gbt_cls", _laws("beats_constant"))
 def ml_gbt_cls(spark, sf_dir):
     return _classify(spark, sf_dir, models.boosted_classifier())
 
 
-def _clustered(spark, sf_dir, learner):
+_CLUSTERS = """
+    SELECT 'n' AS metric, count(*)::DOUBLE AS value FROM lineitem
+    UNION ALL SELECT 'clusters', 3.0::DOUBLE UNION ALL SELECT 'misplaced', 0.0::DOUBLE
+    UNION ALL SELECT 'separated', 1.0::DOUBLE"""
+
+
+def _clustered(spark, sf_dir, learner, nearest: bool):
+    """Rows in clusters, number of clusters, rows that are nearer to another centre (flat
+    clusters only), whether the silhouette shows clusters at all."""
     rows = models.prepared(_lines(spark, sf_dir).select("features"))
     model = learner.fit(rows)
-    found = models.silhouette(model.transform(rows))
-    for i, center in enumerate(model.clusterCenters()):
-        found[f"center_{i}"] = float(center[0])
-    return models.metric_rows(spark, found)
+    placed = model.transform(rows)
+    centres = F.array(*[F.lit(float(c[0])) for c in model.clusterCenters()])
+    far = F.transform(centres, lambda c: F.abs(c - features.vector_to_array("features")[0]))
+    wrong = F.get(far, F.col("prediction")) > F.array_min(far) + 1e-9
+    sizes = placed.agg(F.count("prediction"), F.count_distinct("prediction"), F.count_if(wrong)).first()
+    shape = models.silhouette(placed)["silhouette"] > 0.4
+    return models.metric_rows(spark, {
+        "n": sizes[0], "clusters": sizes[1], "misplaced": sizes[2] if nearest else 0, "separated": shape})
 
 
-@query("ml_kmeans")
+@query("ml_kmeans", _CLUSTERS)
 def ml_kmeans(spark, sf_dir):
-    return _clustered(spark, sf_dir, models.k_means())
+    return _clustered(spark, sf_dir, models.k_means(), nearest=True)
 
 
-@query("ml_bisecting")
+@query("ml_bisecting", _CLUSTERS)
 def ml_bisecting(spark, sf_dir):
-    return _clustered(spark, sf_dir, models.bisecting_k_means())
+    return _clustered(spark, sf_dir, models.bisecting_k_means(), nearest=False)
 
 
-@query("ml_lda")
-def ml_lda(spark, sf_dir):
+def _topics(spark, sf_dir):
+    """Model, counted documents, vocabulary: all terms that two documents have."""
     docs = texts(spark, sf_dir, "doc_id", "text")
     terms = features.tokenizer("text", "terms").transform(docs)
     kept = features.stop_words_remover("terms", "kept", STOP_WORDS).transform(terms)
-    counter = features.count_vectorizer(kept, "kept", "features", size=1_000, min_df=2)
+    counter = features.count_vectorizer(kept, "kept", "features", min_df=2)
     counts = models.prepared(counter.transform(kept).select("doc_id", "features"))
-    topics = models.topics().fit(counts).describeTopics(3)
-    words = F.array(*[F.lit(w) for w in counter.vocabulary])
-    pairs = F.arrays_zip(
-        F.transform("termIndices", lambda i: F.get(words, i)).alias("term"),
-        F.col("termWeights").alias("weight"),
-    )
-    return topics.select("topic", F.inline(pairs))
+    return models.topics().fit(counts), counts, counter.vocabulary
 
 
-@query("ml_gmm")
+@query("ml_lda", """
+    SELECT unnest([0, 1])::INTEGER AS topic, 3::BIGINT AS terms, true AS falling""")
+def ml_lda(spark, sf_dir):
+    """Three terms a topic, the heaviest first."""
+    model, _, vocabulary = _topics(spark, sf_dir)
+    words = {i: w for i, w in enumerate(vocabulary)}
+    rows = [(r.topic, [words[i] for i in r.termIndices], [float(w) for w in r.termWeights]) for r in model.describeTopics(3).collect()]
+    frame = spark.createDataFrame(rows, "topic int, words array<string>, weights array<double>")
+    return frame.select("topic", F.size(F.array_distinct("words")).cast("bigint").alias("terms"),
+                        (F.col("weights") == F.sort_array("weights", asc=False)).alias("falling"))
+
+
+@query("ml_lda_mix", "SELECT doc_id, 2::INTEGER AS topics, true AS sums_to_one FROM documents")
+def ml_lda_mix(spark, sf_dir):
+    """Every document's mix of topics."""
+    model, counts, _ = _topics(spark, sf_dir)
+    mix = features.vector_to_array("topicDistribution")
+    total = F.aggregate(mix, F.lit(0.0), lambda a, x: a + x)
+    blank = total == 0  # a document without a known term has no mix
+    return model.transform(counts).select("doc_id", F.size(mix).alias("topics"), ((F.abs(total - 1) < 1e-6) | blank).alias("sums_to_one"))
+
+
+@query("ml_gmm", """
+    SELECT 3::BIGINT AS parts, 1.0::DOUBLE AS weights, round(avg(l_quantity) / stddev_samp(l_quantity), 2) AS mean
+    FROM lineitem""")
 def ml_gmm(spark, sf_dir):
+    """Weights sum to one, the parts' means average to the rows' mean."""
     rows = models.prepared(_lines(spark, sf_dir).select("features"))
     model = models.gaussian_mixture().fit(rows)
-    found = [
-        (i, float(w), float(g.mean[0]), float(g.cov.toArray()[0][0]))
-        for i, (w, g) in enumerate(zip(model.weights, model.gaussians))
-    ]
-    return spark.createDataFrame(found, "part int, weight double, mean double, variance double")
+    found = [(i, float(w), float(g.mean[0])) for i, (w, g) in enumerate(zip(model.weights, model.gaussians))]
+    parts = spark.createDataFrame(found, "part int, weight double, mean double")
+    return parts.agg(F.count("*").alias("parts"), F.round(F.sum("weight"), 6).alias("weights"),
+                     F.round(F.sum(F.col("weight") * F.col("mean")), 2).alias("mean"))
 
 
 def _purchases(spark, sf_dir):
@@ -236,23 +306,44 @@ def ml_ratings(spark, sf_dir):
     return _ratings(spark, sf_dir)
 
 
-@query("ml_als")
+_PAIRS = """
+    WITH r AS (SELECT o_custkey AS u, l_partkey AS i FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+               WHERE o_orderstatus <> 'P')"""
+
+
+@query("ml_als", _PAIRS + """,
+    s AS (SELECT *, substr(md5(u || '|' || i), 1, 8) < 'b3333333' AS train FROM r)
+    SELECT 'n' AS metric, count(*)::DOUBLE AS value FROM s
+    WHERE NOT train AND u IN (SELECT u FROM s WHERE train) AND i IN (SELECT i FROM s WHERE train)
+    UNION ALL SELECT 'in_scale', 1.0::DOUBLE""")
 def ml_als(spark, sf_dir):
+    """Predictions for the test pairs whose two sides were trained; those of others drop out."""
     train, test = models.stable_split(
         models.prepared(_ratings(spark, sf_dir)), ["user_id", "item_id"], 0.7
     )
     predicted = models.factors().fit(train).transform(test)
-    return models.metric_rows(spark, models.regression_metrics(predicted, "rating"))
+    rmse = models.regression_metrics(predicted, "rating")["rmse"]
+    return models.metric_rows(spark, {"n": predicted.count(), "in_scale": rmse < 50})
 
 
-@query("ml_recommend")
+@query("ml_recommend", _PAIRS + """
+    SELECT 'user' AS of, count(DISTINCT u) * 5 AS n, true AS known, true AS distinct_five FROM r
+    UNION ALL SELECT 'item', count(DISTINCT i) * 5, true, true FROM r""")
 def ml_recommend(spark, sf_dir):
-    model = models.factors().fit(models.prepared(_ratings(spark, sf_dir)))
-    items = models.top_items(model).select(F.lit("user").alias("of"), F.col("user_id").alias("id"),
-                                           F.col("item_id").alias("best"), "rating")
-    users = models.top_users(model).select(F.lit("item").alias("of"), F.col("item_id").alias("id"),
-                                           F.col("user_id").alias("best"), "rating")
-    return items.union(users)
+    """Five items a user and five users an item, all of them known, the best first."""
+    ratings = models.prepared(_ratings(spark, sf_dir))
+    model = models.factors().fit(ratings)
+
+    def laws(best, of, own, other):
+        known = best.join(ratings.select(F.col(other)).distinct().withColumn("known", F.lit(True)), other, "left")
+        per = known.groupBy(own).agg(
+            F.count("*").alias("n"), F.every(F.coalesce("known", F.lit(False))).alias("known"),
+            F.count_distinct(other).alias("distinct"))
+        return per.agg(F.sum("n").alias("n"), F.every("known").alias("known"),
+                       F.every(F.col("distinct") == 5).alias("distinct_five")).select(F.lit(of).alias("of"), "n", "known", "distinct_five")
+
+    return laws(models.top_items(model), "user", "user_id", "item_id").union(
+        laws(models.top_users(model), "item", "item_id", "user_id"))
 
 
 @query("ml_split", """
@@ -275,7 +366,12 @@ def ml_split(spark, sf_dir):
     UNION ALL SELECT 'mae', round(avg(abs(y - f)), 4) FROM p
     UNION ALL SELECT 'r2', round(1 - sum((y - f) * (y - f)) /
         (SELECT sum((y - (SELECT avg(y) FROM p)) * (y - (SELECT avg(y) FROM p))) FROM p), 4) FROM p
-    UNION ALL SELECT 'accuracy', round(avg(CASE WHEN (y > 50000) = (f > 50000) THEN 1 ELSE 0 END), 4) FROM p""")
+    UNION ALL SELECT 'accuracy', round(avg(CASE WHEN (y > 50000) = (f > 50000) THEN 1 ELSE 0 END), 4) FROM p
+    UNION ALL (
+      WITH r AS (SELECT y > 50000 AS hit, rank() OVER (ORDER BY f) AS low,
+                        count(*) OVER (PARTITION BY f) AS ties FROM p)
+      SELECT 'auc', round((sum(low + (ties - 1) / 2.0) FILTER (WHERE hit) - count(*) FILTER (WHERE hit) * (count(*) FILTER (WHERE hit) + 1) / 2.0)
+                          / (count(*) FILTER (WHERE hit) * count(*) FILTER (WHERE NOT hit)), 4) FROM r)""")
 def ml_metrics(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select(
         F.col("l_extendedprice").alias("label"),
@@ -286,27 +382,39 @@ def ml_metrics(spark, sf_dir):
         (F.col(c) > 50000).cast("double").alias(c) for c in ("label", "prediction")
     ])
     found["accuracy"] = models.class_metrics(high)["accuracy"]
+    scored = rows.select((F.col("label") > 50000).cast("double").alias("label"), "prediction")
+    found |= models.ranking_metrics(scored, score="prediction", bins=0)
     return models.metric_rows(spark, found).withColumn("value", F.round("value", 4))
 
 
-@query("ml_cv")
+@query("ml_cv", _laws("settings_12", "best_wins", "explains_most", bound="e6666666"))
 def ml_cv(spark, sf_dir):
-    train, _ = models.stable_split(
+    """The best of a grid, and how it does on the tenth of the rows that the search never saw."""
+    train, test = models.stable_split(
         models.prepared(_lines(spark, sf_dir)), ["l_orderkey", "l_partkey"], 0.9
     )
     grid = {"regParam": [0.1, 0.01], "fitIntercept": [False, True],
             "elasticNetParam": [0.0, 0.5, 1.0]}
     learner = models.linear_regression()
-    return models.grid_search(learner, models.regression_evaluator(), train, grid)[1]
+    best, tried = models.grid_search(learner, models.regression_evaluator(), train, grid)
+    predicted = best.transform(test)
+    found = tried.agg(F.count("*"), F.min_by("setting", "metric")).first()
+    return models.metric_rows(spark, {
+        "n": predicted.count(), "settings_12": found[0] == 12,
+        "best_wins": f"fitIntercept={best.getFitIntercept()}" in found[1],
+        "explains_most": models.regression_metrics(predicted)["r2"] > 0.5})
 
 
-@query("ml_forest_cv")
+@query("ml_forest_cv", """
+    SELECT count(*) * 16 // count(*) AS settings, true AS in_range, true AS good FROM lineitem""")
 def ml_forest_cv(spark, sf_dir):
     train = models.prepared(_labelled(spark, sf_dir))
     grid = {"maxDepth": [3, 5], "numTrees": [5, 10], "impurity": ["gini", "entropy"],
             "minInstancesPerNode": [1, 3]}
     learner = models.forest_classifier()
-    return models.grid_search(learner, models.class_evaluator(), train, grid)[1]
+    tried = models.grid_search(learner, models.class_evaluator(), train, grid)[1]
+    return tried.agg(F.count_distinct("setting").alias("settings"), F.every(F.col("metric").between(0, 1)).alias("in_range"),
+                     (F.max("metric") > 0.8).alias("good"))
 
 
 @query("ml_batch_score", """

@@ -85,10 +85,17 @@ def fn_to_json(spark, sf_dir):
     return parsed.select("key", "m.*")
 
 
-@query("fn_rand")
+@query("fn_rand", """
+    SELECT c_custkey, true AS in_range,
+           round(CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 7) AS BIGINT) / 268435456.0::DOUBLE * c_custkey * 10000, 2) AS salary
+    FROM customer""")
 def fn_rand(spark, sf_dir):
+    """A seeded random share of id * 10000, and the same arithmetic with a hash in its place."""
+    drawn = F.rand(10) * F.col("c_custkey") * 10000
+    share = F.conv(F.substring(F.md5(F.col("c_custkey").cast("string")), 1, 7), 16, 10).cast("double") / 268435456
     return table(spark, sf_dir, "customer").select(
-        "c_custkey", (F.rand(10) * F.col("c_custkey") * 10000).alias("salary")
+        "c_custkey", drawn.between(0, F.col("c_custkey") * 10000).alias("in_range"),
+        F.round(share * F.col("c_custkey") * 10000, 2).alias("salary"),
     )
 
 

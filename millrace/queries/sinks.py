@@ -104,9 +104,13 @@ def insert_overwrite(spark, sf_dir):
     return spark.table(name)
 
 
-@query("partition_counts")
+@query("partition_counts", "SELECT count(*) AS n_rows, 0::BIGINT AS torn_keys FROM lineitem")
 def partition_counts(spark, sf_dir):
-    return sinks.partition_rows(table(spark, sf_dir, "lineitem").repartition("l_orderkey"))
+    """Rows over all partitions, and keys that lie in more than one."""
+    dealt = table(spark, sf_dir, "lineitem").repartition("l_orderkey")
+    torn = dealt.withColumn("part", F.spark_partition_id()).groupBy("l_orderkey").agg(
+        F.count_distinct("part").alias("parts")).where("parts > 1").agg(F.count("*")).scalar()
+    return sinks.partition_rows(dealt).agg(F.sum("n_rows").alias("n_rows")).select("n_rows", torn.alias("torn_keys"))
 
 
 @query("limit_write", "SELECT least(count(*), 10000) AS n FROM lineitem")
