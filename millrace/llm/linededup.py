@@ -17,6 +17,8 @@ and lose lines each on their own.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,65 +30,89 @@ MIN_DOCS = 5
 CONSTANT = 0.5
 SIMILARITY = 0.75
 FIELD = "<*>"
+#: Size of the leaf filter, and of one of the maps that it is put together from.
+FILTER_BITS = 24
+MAP_BYTES = 4096
 BLANKS = "[ \\t\\r\\f\\x0B]+"
 
 
 def masked(line: Column) -> Column:
-    """Tokens joined by one space, variable fields as ``FIELD``."""
-    even = F.trim(F.regexp_replace(line, BLANKS, " "))
-    return F.when(even.rlike("[0-9]"), F.regexp_replace(even, "[^ ]*[0-9][^ ]*", FIELD)).otherwise(even)
-
-
-def _lines(docs: DataFrame) -> DataFrame:
-    """Stored: one narrow row a line, without the text."""
-    lines = docs.select("doc_id", F.xxhash64("text").alias("body"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    lines = lines.select("doc_id", "body", "pos", masked(F.col("line")).alias("line"))
-    n = F.length("line") - F.length(F.translate("line", " ", "")) + 1
-    return keep(
-        lines.withColumn("n", n).where(F.col("n") >= MIN_TOKENS)
-        .select("doc_id", "body", "pos", "n", F.xxhash64(F.substring_index("line", " ", LEADING)).alias("lead"), F.unhex(F.md5("line")).alias("line")),
-        "lines")
-
-
-def _generalised(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """line, template of the lines ``wanted`` (n, lead, line, copies, doc_id, body): those whose
-    leaves hold more than one line.  Their tokens come from one document each."""
-    where = wanted.groupBy("doc_id", "body").agg(F.collect_set("line").alias("lines"))
-    held = docs.withColumn("body", F.xxhash64("text")).alias("d").join(
-        where.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.body") == F.col("w.body")))
-    found = (
-        held.select("lines", F.explode(F.split("text", "\n")).alias("raw")).select("lines", masked(F.col("raw")).alias("masked"))
-        .withColumn("line", F.unhex(F.md5("masked"))).where(F.array_contains("lines", F.col("line")))
-        .select("line", "masked").dropDuplicates(["line"])
-    )
-    tokens = keep(
-        wanted.drop("doc_id", "body").join(found, "line")
-        .select("n", "lead", "line", "copies", F.posexplode(F.split("masked", " ")).alias("pos", "token")), "tokens")
-    leaves = wanted.groupBy("n", "lead").agg(F.sum("copies").alias("all"))
+    """A line of tokens joined by one space, with its variable fields as ``FIELD``."""
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[^ ]*[0-9][^ ]*", FIELD)).otherwise(line)
+
+
+def _even(text: Column) -> Column:
+    """One space wherever blanks stand."""
+    odd = reduce(lambda a, b: a | b, [F.contains(text, F.lit(x)) for x in ("  ", "\t", "\r", "\f", "\x0b")])
+    return F.when(odd, F.regexp_replace(text, BLANKS, " ")).otherwise(text)
+
+
+def _lines() -> Column:
+    """Array of (pos, line (masked), n, lead, slot) of a text's lines that may belong to a
+    template.  Step by step in arrays, so that each step is computed once a line; later
+    filters on columns would repeat them."""
+    lines = F.transform(F.transform(F.split(_even(F.col("text")), "\n"), F.trim), masked)
+
+    def parsed(line: Column, pos: Column) -> Column:
+        n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+        return F.struct(pos.alias("pos"), line.alias("line"), n.alias("n"), F.xxhash64(F.substring_index(line, " ", LEADING)).alias("lead"))
+
+    long = F.filter(F.transform(lines, parsed), lambda x: x["n"] >= MIN_TOKENS)
+    return F.transform(long, lambda x: x.withField("slot", F.pmod(F.xxhash64(x["n"], x["lead"]), F.lit(1 << FILTER_BITS))))
+
+
+def _crowded(docs: DataFrame) -> bytes:
+    """Bitmap of the slots of leaves that hold ``MIN_DOCS`` lines or more.
+
+    It has ``FILTER_BITS`` hash values, so 2 MB whatever the input; that is what reaches the
+    driver and the tasks.  It lets some lines of other leaves through, and loses none.
+    """
+    leaves = docs.select(F.explode(_lines()).alias("x")).groupBy("x.n", "x.lead").agg(F.count("*").alias("all"), F.first("x.slot").alias("slot"))
+    slots = leaves.where(F.col("all") >= MIN_DOCS).select("slot")
+    maps = slots.groupBy(F.expr("bitmap_bucket_number(slot)").alias("bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("map"))
+    bits = bytearray((1 << FILTER_BITS) // 8 + MAP_BYTES)
+    for r in maps.toLocalIterator():
+        bits[r.bucket * MAP_BYTES:(r.bucket + 1) * MAP_BYTES] = r.map
+    return bytes(bits)
+
+
+def _is_in(bits: bytes, slot: Column) -> Column:
+    # the library's buckets of 8 * MAP_BYTES slots start with 1: 0 is alone in bucket 0
+    bucket = F.when(slot > 0, 1 + F.floor((slot - 1) / (8 * MAP_BYTES))).otherwise(F.lit(0))
+    bit = F.when(slot > 0, (slot - 1) % (8 * MAP_BYTES)).otherwise(F.lit(0))
+    byte = F.conv(F.hex(F.substr(F.lit(bits), (bucket * MAP_BYTES + F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    return F.getbit(byte, (bit % 8).cast("int")) == 1
+
+
+def _templates(lines: DataFrame) -> DataFrame:
+    """line, template of distinct lines ``lines`` (n, lead, line, text, copies): lines of one
+    leaf share a template if they are alike enough."""
+    leaves = lines.groupBy("n", "lead").agg(F.sum("copies").alias("all"), F.count("*").alias("distinct")).where(F.col("all") >= MIN_DOCS)
+    placed = keep(lines.join(leaves, ["n", "lead"]), "leaves")
+    tokens = placed.where("distinct > 1").select("n", "lead", "line", "copies", "all", F.posexplode(F.split("text", " ")).alias("pos", "token"))
     constant = (
-        tokens.groupBy("n", "lead", "pos", "token").agg(F.sum("copies").alias("have")).join(leaves, ["n", "lead"])
+        tokens.groupBy("n", "lead", "pos", "token", "all").agg(F.sum("copies").alias("have"))
         .where(F.col("have") >= CONSTANT * F.col("all")).select("n", "lead", "pos", "token", F.lit(True).alias("constant"))
     )
     kept = F.filter(F.array_sort(F.collect_list(F.struct("pos", F.when(F.col("constant"), F.col("token")).alias("token")))), lambda x: x["token"].isNotNull())
-    return (
+    general = (
         tokens.join(constant, ["n", "lead", "pos", "token"], "left")
         .groupBy("n", "lead", "line").agg(kept.alias("kept"))
         .where(F.size("kept") >= SIMILARITY * F.col("n"))
         .select("line", F.unhex(F.md5(F.to_json(F.struct("n", "lead", "kept")))).alias("template"))
     )
+    return placed.select("line").join(general, "line", "left").select("line", F.coalesce("template", "line").alias("template"))
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """doc_id, body, drop (positions from 1) of the documents (doc_id, text) that lose lines.
     ``body`` tells apart the texts of rows that repeat a doc_id."""
-    lines = _lines(docs)
-    per_line = keep(lines.groupBy("n", "lead", "line").agg(
-        F.count("*").alias("copies"), F.min(F.struct("doc_id", "body")).alias("of")), "leaves")
-    leaf = per_line.groupBy("n", "lead").agg(F.sum("copies").alias("all"), F.count("*").alias("distinct"))
-    crowded = leaf.where(F.col("all") >= MIN_DOCS)
-    candidates = keep(per_line.join(crowded, ["n", "lead"]).select("n", "lead", "line", "copies", "distinct", "of.*"), "leaves")
-    general = _generalised(docs, candidates.where("distinct > 1").drop("distinct"))
-    templates = keep(candidates.select("line").join(general, "line", "left").select("line", F.coalesce("template", "line").alias("template")), "templates")
+    bits = _crowded(docs)
+    some = F.filter(_lines(), lambda x: _is_in(bits, x["slot"]))
+    lines = docs.select("doc_id", F.xxhash64("text").alias("body"), F.explode(some).alias("x"))
+    lines = keep(lines.select("doc_id", "body", "x.pos", "x.n", "x.lead", F.col("x.line").alias("text"), F.unhex(F.md5("x.line")).alias("line")), "lines")
+    distinct = lines.groupBy("n", "lead", "line").agg(F.count("*").alias("copies"), F.first("text").alias("text"))
+    templates = keep(_templates(distinct), "templates")
     spots = keep(lines.select("doc_id", "body", "pos", "line").join(templates, "line").select("doc_id", "body", "pos", "template"), "spots")
     recurring = (
         spots.select("doc_id", "template").distinct()
