@@ -30,6 +30,11 @@ from millrace.scratch import keep
 SEED = 42
 WORDS = 3
 RADIUS = 3
+#: Fingerprints of a text where groups of near duplicates are asked for, and the share of
+#: their bits that may differ.  Texts whose shingles of five words are alike to 0.8 differ in
+#: about 0.117 of the bits.
+PRINTS = 6
+SHARE = 0.135
 #: Bit ranges of the blocks: [0, 12), [12, 25), ...
 EDGES = (0, 12, 25, 38, 51, 64)
 MASKS = tuple(
@@ -38,24 +43,47 @@ MASKS = tuple(
 )
 
 
-def fingerprint(text: str | None) -> int:
-    """Unsigned fingerprint of a text."""
+def _hashes(text: str | None) -> np.ndarray:
+    """Hashes of a text's shingles, repeats included."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     line = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = [0, *(ends[:-1] + 1).tolist()]
     ends = ends.tolist()
     h = xxhash.xxh64_intdigest
     if len(words) <= WORDS:
-        return h(line, SEED)
-    hashes = [h(line[a:b], SEED) for a, b in zip(starts, ends[WORDS - 1:])]
-    bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        return np.array([h(line, SEED)], np.uint64)
+    return np.array([h(line[a:b], SEED) for a, b in zip(starts, ends[WORDS - 1:])], np.uint64)
+
+
+def _majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     over = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
     return int(np.packbits(over, bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None) -> int:
+    """Unsigned fingerprint of a text."""
+    return _majority(_hashes(text))
+
+
+def wide(text: str | None, prints: int) -> list[int]:
+    """Several fingerprints of the same shingles, the first one as above, the others from
+    remixed hashes.  Together they estimate the similarity of two texts closely."""
+    hashes, out = _hashes(text), []
+    for k in range(prints):
+        mixed = hashes ^ (hashes >> np.uint64(31)) if k else hashes
+        if k:
+            mixed = (mixed + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)
+            mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            mixed ^= mixed >> np.uint64(32)
+        out.append(_majority(mixed))
+    return out
+
+
 def fingerprints(text: Column) -> Column:
     """Fingerprint as a signed 64-bit integer of the same bits."""
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -101,8 +129,9 @@ class BKTree:
 
 def shard_links(values: list[int], radius: int) -> list[tuple[int, int]]:
     """Links that join the values into the components their distances make: a spanning
-    forest, at most one link a value."""
-    tree, root = BKTree(), []
+    forest, at most one link a value.  A search ends once a value is joined to all components
+    there are, so a large group of near copies costs no more than its size."""
+    tree, root, out, parts = BKTree(), [], [], 0
 
     def top(i: int) -> int:
         while root[i] != i:
@@ -110,66 +139,90 @@ def shard_links(values: list[int], radius: int) -> list[tuple[int, int]]:
             i = root[i]
         return i
 
-    out = []
     for value in values:
-        near = list(tree.within(value, radius))
+        near: dict[int, int] = {}  # component -> a node of it within the radius
+        for at in tree.within(value, radius):
+            near.setdefault(top(at), at)
+            if len(near) == parts:
+                break
         own = tree.add(value)
-        if own == len(root):
-            root.append(own)
-        for at in near:
-            a, b = top(at), top(own)
-            if a != b:
-                root[b] = a
-                out.append((tree.values[at], value))
+        if own < len(root):
+            continue  # the same value again
+        root.append(own)
+        for part, at in near.items():
+            root[part] = own
+            out.append((tree.values[at], value))
+        parts += 1 - len(near)
     return out
 
 
+def shards(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[np.ndarray]:
+    """The columns' values of each run of rows that agree in ``pair`` and ``key``, from sorted
+    batches; runs of one row are left out."""
+    rest = np.empty((len(columns), 0), np.int64)
+    for batch in (*batches, None):
+        if batch is not None:
+            rest = np.concatenate([rest, np.stack([batch.column(k).to_numpy().astype(np.int64) for k in columns])], axis=1)
+            if not rest.shape[1]:
+                continue
+        new = np.flatnonzero((np.diff(rest[0]) != 0) | (np.diff(rest[1]) != 0)) + 1
+        cuts = np.r_[0, new, rest.shape[1]]
+        if batch is not None:
+            cuts = cuts[:-1]  # the last run may go on in the next batch
+        for i in np.flatnonzero(np.diff(cuts) > 1):
+            yield rest[:, cuts[i]:cuts[i + 1]]
+        rest = rest[:, cuts[-1]:]
+
+
 def links(nodes: DataFrame, fp: str = "fp", radius: int = RADIUS) -> DataFrame:
     """Links (a, b) between distinct fingerprints that join whatever lies within the radius."""
     if radius > 3:
         raise ValueError("five blocks prove distances up to 3 only")
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = F.array(*[F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) for m in MASKS])
     dealt = (
         nodes.select(F.col(fp).alias("fp"))
-        .select("fp", F.posexplode(keys).alias("pair", "key"))
+        .select("fp", F.posexplode(_keys(F.col("fp"))).alias("pair", "key"))
         .repartition(parts, "pair", "key").sortWithinPartitions("pair", "key", "fp")
     )
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = np.empty((3, 0), np.int64)
-        for batch in (*batches, None):
-            if batch is not None:
-                rest = np.concatenate([rest, np.stack([batch.column(k).to_numpy().astype(np.int64) for k in ("pair", "key", "fp")])], axis=1)
-                if not rest.shape[1]:
-                    continue
-            new = np.flatnonzero((np.diff(rest[0]) != 0) | (np.diff(rest[1]) != 0)) + 1
-            cuts = np.r_[0, new, rest.shape[1]]
-            if batch is not None:
-                cuts = cuts[:-1]  # the last shard may go on in the next batch
-            found = []
-            for i in np.flatnonzero(np.diff(cuts) > 1):
-                found += shard_links(rest[2, cuts[i]:cuts[i + 1]].view(np.uint64).tolist(), radius)
-            rest = rest[:, cuts[-1]:]
-            if found:
+        for shard in shards(batches, ["pair", "key", "fp"]):
+            if found := shard_links(shard[2].view(np.uint64).tolist(), radius):
                 both = np.array(found, np.uint64).view(np.int64)
                 yield pa.record_batch({"a": both[:, 0], "b": both[:, 1]})
 
     return dealt.mapInArrow(joined, "a long, b long").distinct()
 
 
-def _grouped(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id, body, fp, component_id and its first row (doc_id, body) of every row."""
-    own = keep(docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("body"), fingerprints(F.col(text)).alias("fp")), "simhash")
-    # null ids come last
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body")
-    nodes = keep(own.groupBy("fp").agg(F.min(order).alias("first")), "simhash")
-    edges = keep(links(nodes), "simhash")
-    tops = components(edges)
-    named = nodes.join(tops.withColumnRenamed("node", "fp"), "fp", "left").withColumn("top", F.coalesce("top", "fp"))
-    names = named.groupBy("top").agg(F.min("first").alias("first"))
-    of = keep(named.drop("first").join(names, "top").select("fp", "first"), "simhash")
-    return own.join(of, "fp").select("doc_id", "body", "fp", F.col("first.doc_id").alias("component_id"), "first")
+def _keys(fp: Column) -> Column:
+    """A fingerprint's bits in each pair of blocks."""
+    return F.array(*[fp.bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) for m in MASKS])
+
+
+def wide_links(nodes: DataFrame, prints: int, radius: int) -> DataFrame:
+    """Links (a, b) between the ids of ``nodes`` (id, fps: distinct arrays of fingerprints) that
+    agree in two blocks of one fingerprint and differ in at most ``radius`` bits of all.
+
+    Ids and blocks are dealt out first; only where two nodes meet do the fingerprints follow.
+    """
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = F.concat(*[_keys(F.col("fps")[k]) for k in range(prints)])
+    dealt = nodes.select("id", F.posexplode(keys).alias("pair", "key"))
+    met = dealt.groupBy("pair", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    some = keep(dealt.join(met, ["pair", "key"], "left_semi"), "simhash")
+    whole = (
+        some.join(nodes, "id").select("pair", "key", "id", *[F.col("fps")[k].alias(f"f{k}") for k in range(prints)])
+        .repartition(parts, "pair", "key").sortWithinPartitions("pair", "key", "id")
+    )
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in shards(batches, ["pair", "key", "id", *[f"f{k}" for k in range(prints)]]):
+            raw = np.ascontiguousarray(shard[3:].T)
+            of = {int.from_bytes(row.tobytes(), "little"): i for row, i in zip(raw, shard[2].tolist())}
+            if found := shard_links(list(of), radius):
+                yield pa.record_batch({"a": pa.array([of[a] for a, _ in found], pa.int64()), "b": pa.array([of[b] for _, b in found], pa.int64())})
+
+    return whole.mapInArrow(joined, "a long, b long").distinct()
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -177,12 +230,35 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 
     A null doc_id takes part: it is in a component, but never its name unless all are null.
     """
-    return _grouped(docs, doc_id, text).select("doc_id", "fp", "component_id")
+    own = keep(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text)).alias("fp")), "simhash")
+    nodes = keep(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash")
+    edges = keep(links(nodes), "simhash")
+    named = nodes.join(components(edges).withColumnRenamed("node", "fp"), "fp", "left").withColumn("top", F.coalesce("top", "fp"))
+    names = named.groupBy("top").agg(F.min("first").alias("component_id"))
+    of = keep(named.join(names, "top").select("fp", "component_id"), "simhash")
+    return own.join(of, "fp").select("doc_id", "fp", "component_id")
+
 
+def first_of_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                    prints: int = PRINTS, share: float = SHARE) -> DataFrame:
+    """The row of each group of near duplicates with the smallest doc_id (null ids last); one
+    of them if rows repeat.
 
-def first_of_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The row of each component with the smallest doc_id; one of them if rows repeat."""
-    firsts = _grouped(docs, doc_id, text).select(F.col("first.doc_id").alias("__id"), F.col("first.body").alias("__key")).distinct()
+    Here ``prints`` fingerprints stand for a text and link at ``share`` of their bits or fewer,
+    which is a similarity of about 0.8 or more in shingles of five words.
+    """
+    def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([np.array(wide(t, prints), np.uint64).view(np.int64) for t in batch], dtype=object)
+
+    fps = F.pandas_udf(of, "array<long>", F.PandasUDFType.SCALAR_ITER)
+    order = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("body"))
+    own = keep(docs.select(order.alias("row"), fps(text).alias("fps")), "simhash")
+    nodes = keep(own.groupBy("fps").agg(F.min("row").alias("first")).withColumn("id", F.monotonically_increasing_id()), "simhash")
+    edges = keep(wide_links(nodes.select("id", "fps"), prints, int(share * 64 * prints)), "simhash")
+    named = nodes.select("id", "first").join(components(edges).withColumnRenamed("node", "id"), "id", "left")
+    firsts = named.groupBy(F.coalesce("top", "id").alias("top")).agg(F.min("first").alias("first"))
+    firsts = firsts.select(F.col("first.doc_id").alias("__id"), F.col("first.body").alias("__key")).distinct()
     rows = docs.withColumn("__body", F.xxhash64(text))
     return (
         rows.join(firsts, F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__body") == F.col("__key")), "left_semi")

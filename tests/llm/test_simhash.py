@@ -22,7 +22,7 @@ def plain(text):
     return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
 
 
-def brute(prints):
+def brute(prints, radius=3):
     """Smallest reachable id of each (id, fingerprint)."""
     top = {i: i for i, _ in prints}
 
@@ -33,7 +33,7 @@ def brute(prints):
 
     for k, (i, a) in enumerate(prints):
         for j, b in prints[:k]:
-            if (a ^ b).bit_count() <= 3:
+            if (a ^ b).bit_count() <= radius:
                 x, y = sorted((find(i), find(j)))
                 top[y] = x
     return {i: find(i) for i in top}
@@ -89,6 +89,33 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_near_copies_leave_one(docs):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(900)]
+    rows = [(g * 100, " ".join(rng.choice(words) for _ in range(300))) for g in range(30)]
+    for g, (i, text) in enumerate(list(rows)):
+        for k in range(1, 4):
+            own = text.split(" ")
+            for _ in range(2):  # alike to about 0.93 in five words
+                own[rng.randrange(300)] = rng.choice(words)
+            rows.append((i + k, " ".join(own)))
+    left = {r.doc_id for r in simhash.first_of_groups(docs(rows)).collect()}
+    assert {g * 100 for g in range(30)} <= left and len(left) <= 33
+
+
+def test_search_ends_early_and_joins_all(spark):
+    rng = random.Random(9)
+    values = list({sum(1 << b for b in rng.sample(range(64), 4)) for _ in range(500)})
+    of = {v: i for i, v in enumerate(values)}
+    found = simhash.shard_links(values, 6)
+    want = brute(list(enumerate(values)), 6)
+    top = list(range(len(values)))
+    for a, b in found:
+        x, y = top[of[a]], top[of[b]]
+        top = [min(x, y) if t in (x, y) else t for t in top]
+    assert top == [want[i] for i in range(len(values))] and len(found) < len(values)
+
+
 def test_nulls_repeats_and_empties(docs):
     rows = [(5, "same words here and there"), (5, "same words here and there"), (2, "same words here and there"), (None, "same words here and there"),
             (7, None), (8, ""), (9, " \n"), (None, "quite other words stand here"), (3, "x " * 5000)]
