@@ -23,7 +23,7 @@ ENCODERS: dict[tuple[str, str], "Encoder"] = {}
 MASK = (1 << 64) - 1
 STEP = 0x9E3779B97F4A7C15
 #: Pre-tokens a worker remembers before it starts afresh; bounds its memory.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -135,12 +135,20 @@ def worker_encoder(path: str, pattern: str, shared) -> Encoder:
     return ENCODERS[path, pattern]
 
 
-def encoder(spark: SparkSession, ranks_path: str, pattern: str):
-    """Column function: string -> ids, as the bytes of little-endian unsigned 32-bit
-    integers.  The driver reads the vocabulary (its size is fixed by the file, some tens
-    of thousands of entries) and hands it to the workers."""
+def decoded(ids: bytes | None, pieces: dict[int, bytes]) -> bytes:
+    return b"".join(map(pieces.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+
+
+def _shared(spark: SparkSession, ranks_path: str):
+    """Ranks, perfect hash, and the bytes of each rank.  The driver reads the vocabulary (its size
+    is fixed by the file, some tens of thousands of entries) and hands it to the workers."""
     ranks = read_ranks(ranks_path)
-    shared = spark.sparkContext.broadcast((ranks, PerfectHash(ranks)))
+    return spark.sparkContext.broadcast((ranks, PerfectHash(ranks)))
+
+
+def encoder(spark: SparkSession, ranks_path: str, pattern: str):
+    """Column function: string -> ids, as the bytes of little-endian unsigned 32-bit integers."""
+    shared = _shared(spark, ranks_path)
 
     def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         of = worker_encoder(ranks_path, pattern, shared)
@@ -155,14 +163,26 @@ def decoder(spark: SparkSession, ranks_path: str):
     shared = spark.sparkContext.broadcast({r: b for b, r in read_ranks(ranks_path).items()})
 
     def decode(ids: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        piece = shared.value.__getitem__
         for batch in ids:
-            yield pd.Series(
-                [b"".join(map(piece, np.frombuffer(x or b"", "<u4").tolist())) for x in batch],
-                dtype=object)
+            yield pd.Series([decoded(x, shared.value) for x in batch], dtype=object)
 
     return F.pandas_udf(decode, "binary", F.PandasUDFType.SCALAR_ITER)
 
 
+def round_trip(spark: SparkSession, ranks_path: str, pattern: str):
+    """Column function: string -> struct of its ids and of the bytes that they decode to, in one
+    worker, which then holds one vocabulary and one batch."""
+    shared = _shared(spark, ranks_path)
+
+    def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        of = worker_encoder(ranks_path, pattern, shared)
+        pieces = {r: b for b, r in of.rank.items()}
+        for batch in texts:
+            ids = [of.encode(t) for t in batch]
+            yield pd.DataFrame({"ids": ids, "decoded": [decoded(x, pieces) for x in ids]})
+
+    return F.pandas_udf(both, "ids binary, decoded binary", F.PandasUDFType.SCALAR_ITER)
+
+
 def count(ids: Column) -> Column:
     return (F.octet_length(ids) / 4).cast("long")

@@ -58,10 +58,9 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encode, decode = bpe.encoder(spark, RANKS, public_tokenizers.PATTERN), bpe.decoder(spark, RANKS)
-    ids = docs.select("doc_id", encode("text").alias("ids"))
-    return ids.select("doc_id", bpe.count(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-                      F.sha2(decode("ids"), 256).alias("decoded_sha256"))
+    both = docs.select("doc_id", bpe.round_trip(spark, RANKS, public_tokenizers.PATTERN)("text").alias("x"))
+    return both.select("doc_id", bpe.count(F.col("x.ids")).alias("n_tokens"), F.sha2("x.ids", 256).alias("ids_sha256"),
+                       F.sha2("x.decoded", 256).alias("decoded_sha256"))
 
 
 @query
