@@ -25,6 +25,7 @@ documents.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +38,12 @@ from millrace.scratch import keep
 LENGTH = 50
 KMER = 24
 #: Bytes of text in a block, that are scanned at a time, and per bucket.
-BLOCK = 4 << 20
-CHUNK = 1 << 20
-BUCKET = 16 << 20
+BLOCK = 3 << 20
+CHUNK = 1 << 19
+BUCKET = 8 << 20
+#: Segments in a suffix array and spans that are worked on at a time, about.
+SEGMENTS = 1 << 14
+SPANS = 1 << 19
 KEY_BITS = 48
 LAST = np.iinfo(np.int64).max
 _U = np.uint64
@@ -230,7 +234,7 @@ def _sent_segments(blocks: DataFrame, suspects: DataFrame, buckets: int, length:
             to = _bucketed(key, buckets)
             cuts = np.flatnonzero(np.r_[True, to[1:] != to[:-1]])
             for a, b in zip(cuts, [*cuts[1:], len(to)]):
-                raw, places = block.raw, {}
+                raw, places = block.raw, {}  # of one bucket at a time
                 for j, (s, e) in enumerate(zip(start[a:b].tolist(), end[a:b].tolist()), int(a)):
                     places.setdefault(raw[s:e], []).append(j)
                 order = np.array([j for js in places.values() for j in js])
@@ -246,13 +250,49 @@ def _sent_segments(blocks: DataFrame, suspects: DataFrame, buckets: int, length:
         sent, "bucket long, block long, keys binary, sizes binary, text binary, times binary, docs binary, ids binary, starts binary")
 
 
+def repeated_windows(text: bytes, ends: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of strings that follow each other in ``text``: string and offset of the windows of
+    ``length`` bytes whose hash another window has too.  Only they can start a repeat."""
+    data = np.frombuffer(text, np.uint8)
+    hashes, places, first = [], [], 0
+    while first < len(sizes):
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + CHUNK, "right")))
+        begin = int(ends[first] - sizes[first])
+        part = data[begin:int(ends[last - 1])].astype(_U)
+        h = np.zeros(len(part) - length + 1, _U)
+        have = 1  # part[i] stands for the bytes from i to i + have
+        while have * 2 <= min(length, 8):
+            part = part[:-have] | (part[have:] << _U(8 * have))
+            have *= 2
+        for at in (*range(0, length - have, have), length - have):
+            h *= _U(0x9E3779B97F4A7C15)
+            h ^= h >> _U(29)
+            h += part[at:at + len(h)]
+        h *= _U(0xD6E8FEB86659FD93)
+        h ^= h >> _U(32)
+        count = sizes[first:last] - length + 1
+        begins = ends[first:last] - sizes[first:last] - begin
+        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        hashes.append(h[at + np.repeat(begins, count)])
+        places.append((np.repeat(np.arange(first, last), count), at))
+        first = last
+    h = np.concatenate(hashes)
+    order = np.argsort(h)
+    same = h[order[1:]] == h[order[:-1]]
+    hit = np.zeros(len(h), bool)
+    hit[order[1:][same]] = True
+    hit[order[:-1][same]] = True
+    of, offset = (np.concatenate(x) for x in zip(*places))
+    return of[hit], offset[hit]
+
+
 def suffix_array(text: bytes, ends: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of strings that follow each other in ``text``: the suffixes of ``length`` bytes or more
-    in sorted order (string, offset), the common prefix of each with the one before, and the
-    byte to its left (256 at a string's start)."""
-    count = sizes - length + 1
-    of = np.repeat(np.arange(len(sizes)), count)
-    offset = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+    """Of strings that follow each other in ``text``: the suffixes that may start a repeat of
+    ``length`` bytes or more, in sorted order (string, offset), the common prefix of each with
+    the one before, and the byte to its left (256 at a string's start)."""
+    of, offset = repeated_windows(text, ends, sizes, length)
+    if not len(of):
+        return of, offset, offset, offset
     start = (ends - sizes)[of] + offset
     size = sizes[of] - offset
     longest = int(size.max())
@@ -282,7 +322,7 @@ def suffix_array(text: bytes, ends: np.ndarray, sizes: np.ndarray, length: int)
     return of[order], offset, common, np.where(offset > 0, data[start - 1].astype(np.int64), 256)
 
 
-def maximal_repeats(common: np.ndarray, left: np.ndarray, first: np.ndarray, length: int) -> list[tuple[int, int, int, int]]:
+def maximal_repeats(common: np.ndarray, left: np.ndarray, first: np.ndarray, length: int) -> Iterator[tuple[int, int, int, int]]:
     """(start, end, prefix, least) of each interval of the common-prefix tree with a prefix of
     ``length`` or more and different left neighbours.  ``first`` has a number per suffix;
     ``least`` is its minimum over the interval.
@@ -290,7 +330,6 @@ def maximal_repeats(common: np.ndarray, left: np.ndarray, first: np.ndarray, len
     One pass with a stack of open intervals; a closed interval hands its left neighbour (-1 if
     there are several) and its minimum to the one around it.
     """
-    out = []
     edges = np.flatnonzero(common < length)
     for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(common)]):
         if b - a < 2:
@@ -306,7 +345,7 @@ def maximal_repeats(common: np.ndarray, left: np.ndarray, first: np.ndarray, len
                 mark = mark if mark == top[2] and mark != 256 else -1
                 least, start = min(least, top[3]), top[1]
                 if mark == -1:
-                    out.append((start, a + i + 1, top[0], least))
+                    yield start, a + i + 1, top[0], least
             if not up:
                 continue
             if stack and stack[-1][0] == up:
@@ -315,76 +354,114 @@ def maximal_repeats(common: np.ndarray, left: np.ndarray, first: np.ndarray, len
                 top[3] = min(least, top[3])
             else:
                 stack.append([up, start, mark, least])
-    return out
+
+
+def _joined(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The spans' union in each document."""
+    if not len(doc):
+        return doc, begin, end
+    order = np.lexsort((begin, doc))
+    doc, begin, end = doc[order], begin[order], end[order]
+    other = np.r_[True, doc[1:] != doc[:-1]]
+    base = (np.cumsum(other) - 1) << 32
+    reach = np.maximum.accumulate(end + base) - base
+    new = np.flatnonzero(other | np.r_[True, begin[1:] > reach[:-1]])
+    return doc[new], begin[new], reach[np.r_[new[1:], len(doc)] - 1]
+
+
+def _merged(spans: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """segment, start, end, least: what overlaps with an equal segment and ``least`` in one."""
+    of, least, start, end = (np.concatenate(x) for x in zip(*spans))
+    if not len(of):
+        return of, start, end, least
+    order = np.lexsort((least, of))
+    of, least, start, end = of[order], least[order], start[order], end[order]
+    group = np.cumsum(np.r_[False, (of[1:] != of[:-1]) | (least[1:] != least[:-1])])
+    head = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    group, start, end = _joined(group, start, end)
+    return of[head[group]], start, end, least[head[group]]
+
+
+def _spans(names: list[bytes], keys: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """segment, start, end, least of what repeats in the segments ``names``: it goes from all
+    documents larger than ``least``."""
+    sizes = np.array([len(s) for s in names], np.int64)
+    # a segment that stands in several documents repeats as a whole
+    spans = [(np.arange(len(sizes)), first, np.zeros(len(sizes), np.int64), sizes)]
+    # segments that share their anchor with others go into a suffix array, some anchors at a time
+    order = np.argsort(keys, kind="stable")
+    new = np.flatnonzero(np.r_[True, keys[order[1:]] != keys[order[:-1]]])
+    many = np.diff(np.r_[new, len(order)])
+    new, many = new[many > 1], many[many > 1]
+    turn = np.cumsum(many) // SEGMENTS
+    for part in np.split(np.arange(len(new)), np.flatnonzero(np.diff(turn)) + 1) if len(new) else []:
+        inner = np.concatenate([order[new[i]:new[i] + many[i]] for i in part])
+        own = sizes[inner]
+        of, offset, common, left = suffix_array(b"".join(names[i] for i in inner.tolist()), np.cumsum(own), own, length)
+        of = inner[of]
+        batch: list[tuple[int, int, int, int]] = []
+        room = SPANS
+        for found in chain(maximal_repeats(common, left, first[of], length), [None]):
+            if found is not None:
+                batch.append(found)
+                room -= found[1] - found[0]
+            if batch and (found is None or room <= 0):
+                a, b, prefix, least = (np.array(x, np.int64) for x in zip(*batch))
+                wide = np.repeat(np.arange(len(a)), b - a)
+                at = np.arange(len(wide)) - np.repeat(np.cumsum(b - a) - (b - a), b - a) + a[wide]
+                seg, start, end, low = _merged([(of[at], least[wide], offset[at], offset[at] + prefix[wide])])
+                spans.append((seg, low, start, end))
+                batch, room = [], SPANS
+    return _merged(spans)
 
 
 def _resolved(group: pa.Table, length: int) -> pa.Table:
-    """block, docs, starts, ends: what goes, from one bucket's segments."""
+    """block, docs, starts, ends: what goes, from one bucket's segments.
+
+    A block's places are unpacked for that block alone, since a string of few letters may stand
+    in millions of them."""
+    def of_row(k: int, name: str) -> bytes:
+        return group.column(name)[k].as_py()
+
     number: dict[bytes, int] = {}
-    keys, parts = [], []
-    for k, row in enumerate(group.to_pylist()):
-        text, key = zstandard.decompress(row["text"]), _unpack(row["keys"], "<u8").tolist()
-        at, own = 0, []
-        for size, of in zip(_unpack(row["sizes"], "<u2").tolist(), key):
+    keys, rows, ids = [], [], []
+    for k in range(group.num_rows):
+        text, at, own = zstandard.decompress(of_row(k, "text")), 0, []
+        for size, key in zip(_unpack(of_row(k, "sizes"), "<u2").tolist(), _unpack(of_row(k, "keys"), "<u8").tolist()):
             seg = text[at:at + size]
             at += size
             if (i := number.get(seg)) is None:
                 i = number[seg] = len(number)
-                keys.append(of)
+                keys.append(key)
             own.append(i)
-        uid = np.repeat(np.array(own, np.int64), _unpack(row["times"], "<u4"))
-        parts.append((uid, np.full(len(uid), k), _unpack(row["docs"], "<u4").astype(np.int64), _unpack(row["ids"], "<i8"), _unpack(row["starts"], "<u4").astype(np.int64)))
-    uid, block, doc, ids, start = (np.concatenate(x) for x in zip(*parts))
-    order = np.argsort(uid, kind="stable")
-    uid, block, doc, ids, start = uid[order], block[order], doc[order], ids[order], start[order]
-    bounds = np.searchsorted(uid, np.arange(len(number) + 1))
-    first = np.minimum.reduceat(ids, bounds[:-1])
-    sizes = np.array([len(s) for s in number], np.int64)
-    # a segment that stands in several documents repeats as a whole
-    spans = [(np.arange(len(sizes)), np.zeros(len(sizes), np.int64), sizes, first)]
-    # segments that share their anchor with others go into the suffix array
-    keys = np.array(keys, _U)
-    _, back, shared = np.unique(keys, return_inverse=True, return_counts=True)
-    inner = np.flatnonzero(shared[back] > 1)
-    if len(inner):
-        names = list(number)
-        own = sizes[inner]
-        of, offset, common, left = suffix_array(b"".join(names[i] for i in inner.tolist()), np.cumsum(own), own, length)
-        of = inner[of]
-        found = maximal_repeats(common, left, first[of], length)
-        if found:
-            a, b, prefix, least = (np.array(x, np.int64) for x in zip(*found))
-            wide = np.repeat(np.arange(len(a)), b - a)
-            at = np.arange(len(wide)) - np.repeat(np.cumsum(b - a) - (b - a), b - a) + a[wide]
-            spans.append((of[at], offset[at], prefix[wide], least[wide]))
-    of, offset, size, least = (np.concatenate(x) for x in zip(*spans))
-    # of each segment's spans at one offset only those matter that a longer one with as early
-    # a document does not hold
-    order = np.lexsort((least, -size, offset, of))
-    of, offset, size, least = of[order], offset[order], size[order], least[order]
-    again = np.r_[False, (of[1:] == of[:-1]) & (offset[1:] == offset[:-1]) & (least[1:] >= least[:-1])] if len(of) else np.empty(0, bool)
-    of, offset, size, least = of[~again], offset[~again], size[~again], least[~again]
-    times = bounds[of + 1] - bounds[of]
-    wide = np.repeat(np.arange(len(of)), times)
-    at = np.arange(len(wide)) - np.repeat(np.cumsum(times) - times, times) + bounds[of[wide]]
-    gone = ids[at] > least[wide]
-    at, wide = at[gone], wide[gone]
-    begin = start[at] + offset[wide]
-    end = begin + size[wide]
-    order = np.lexsort((begin, doc[at], block[at]))
-    b, d, begin, end = block[at][order], doc[at][order], begin[order], end[order]
-    # join what overlaps, so that a bucket sends each place once
-    place = np.r_[True, (b[1:] != b[:-1]) | (d[1:] != d[:-1])] if len(b) else np.empty(0, bool)
-    base = (np.cumsum(place) - 1) * (1 << 32)
-    reach = np.maximum.accumulate(end + base) - base if len(b) else end
-    new = np.flatnonzero(place | np.r_[True, begin[1:] > reach[:-1]]) if len(b) else np.empty(0, np.int64)
-    stop = reach[np.r_[new[1:], len(b)] - 1] if len(b) else reach
-    b, d, begin = b[new], d[new], begin[new]
-    found, cut = np.unique(b, return_index=True)
-    split = lambda x: [_pack(y.astype("<u4")) for y in np.split(x, cut[1:])] if len(found) else []
-    blocks = group.column("block").to_pylist()
-    return pa.table({"block": pa.array([blocks[i] for i in found], pa.int64()), "docs": pa.array(split(d), pa.binary()),
-                     "starts": pa.array(split(begin), pa.binary()), "ends": pa.array(split(stop), pa.binary())})
+        times = _unpack(of_row(k, "times"), "<u4").astype(np.int64)
+        rows.append((np.array(own, np.int64), times))
+        ids.append(np.minimum.reduceat(_unpack(of_row(k, "ids"), "<i8"), np.cumsum(times) - times))
+    first = np.full(len(number), LAST, np.int64)
+    for (own, _), least in zip(rows, ids):
+        first[own] = np.minimum(first[own], least)
+    of, offset, stop, least = _spans(list(number), np.array(keys, _U), first, length)
+    del number, keys, ids
+    bounds = np.searchsorted(of, np.arange(len(first) + 1))
+    out = []
+    for k, (own, times) in enumerate(rows):
+        seg = np.repeat(own, times)
+        doc, start, name = _unpack(of_row(k, "docs"), "<u4"), _unpack(of_row(k, "starts"), "<u4"), _unpack(of_row(k, "ids"), "<i8")
+        parts = []
+        turn = np.cumsum(bounds[seg + 1] - bounds[seg]) // SPANS
+        for lo, hi in pairwise([0, *(np.flatnonzero(np.diff(turn)) + 1).tolist(), len(seg)]):
+            part = slice(lo, hi)
+            low, many = bounds[seg[part]], bounds[seg[part] + 1] - bounds[seg[part]]
+            place = np.repeat(np.arange(len(many)), many)
+            at = np.arange(len(place)) - np.repeat(np.cumsum(many) - many, many) + low[place]
+            gone = name[part][place] > least[at]
+            place, at = place[gone], at[gone]
+            begin = start[part][place].astype(np.int64)
+            parts.append(_joined(doc[part][place].astype(np.int64), begin + offset[at], begin + stop[at]))
+        doc, begin, end = _joined(*(np.concatenate(x) for x in zip(*parts)))
+        if len(doc):
+            out.append({"block": of_row(k, "block"), "docs": _pack(doc.astype("<u4")), "starts": _pack(begin.astype("<u4")), "ends": _pack(end.astype("<u4"))})
+    return pa.Table.from_pylist(out, pa.schema([("block", pa.int64()), ("docs", pa.binary()), ("starts", pa.binary()), ("ends", pa.binary())]))
 
 
 def _cut(left: pa.Table, right: pa.Table) -> pa.Table:
