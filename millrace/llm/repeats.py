@@ -40,10 +40,10 @@ KMER = 24
 #: Bytes of text in a block, that are scanned at a time, and per bucket.
 BLOCK = 3 << 20
 CHUNK = 1 << 19
-BUCKET = 8 << 20
+BUCKET = 4 << 20
 #: Segments in a suffix array and spans that are worked on at a time, about.
-SEGMENTS = 1 << 14
-SPANS = 1 << 19
+SEGMENTS = 1 << 12
+SPANS = 1 << 17
 KEY_BITS = 48
 LAST = np.iinfo(np.int64).max
 _U = np.uint64
