@@ -7,13 +7,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, langid, linededup, neighbours, repeats, sharding, simhash, urlrules, warc
+from millrace.llm import alignment, bpe, decontaminate, langid, linededup, neighbours, repeats, sharding, simhash, urlrules, warc
 from millrace.scratch import new_path
 
 QUERIES = {}
 ORACLES = {}
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 LISTED = (
     urlrules.Listed("allow", "org", "/"),
     urlrules.Listed("block", "example.org", "/es/"),
@@ -108,3 +110,9 @@ def op2_latent(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "cosine", "lcs", "answered")
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align(spark, docs, BYTE_RANKS, public_tokenizers.PATTERN, PIECES, digest=True)
