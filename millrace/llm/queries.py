@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import alignment, bpe, decontaminate, langid, linededup, neighbours, packing, repeats, sharding, simhash, urlrules, warc
+from millrace.llm import alignment, bpe, decontaminate, langid, linededup, neighbours, packing, repeats, sharding, simhash, urlrules, warc, whitening
 from millrace.scratch import new_path
 
 QUERIES = {}
@@ -123,3 +123,8 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     pieces = packing.pack(spark, docs, BYTE_RANKS, public_tokenizers.PATTERN, {"<|endoftext|>": 50256}, end_id=1)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 4)
