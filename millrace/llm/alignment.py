@@ -27,6 +27,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -92,6 +93,12 @@ class Span:
 NOTHING = Span(*[np.zeros(0, np.int64)] * 4)
 
 
+@lru_cache(maxsize=1)
+def _names(size: int) -> np.ndarray:
+    """Ids below ``size`` in decimal digits, three times: with a comma, a bar, a semicolon behind."""
+    return np.array([f"{i}{s}" for s in ",|;" for i in range(size)], object)
+
+
 def rendered(span: Span, common: np.ndarray) -> str:
     """Groups of ids, ``a1,a2|b1;a3|b2,b3``, of a span that begins and ends at a common end."""
     of_a, of_b = np.searchsorted(common, span.ends_a), np.searchsorted(common, span.ends_b)
@@ -103,14 +110,15 @@ def rendered(span: Span, common: np.ndarray) -> str:
     signs = np.zeros(len(ids), np.int64)
     signs[np.cumsum(in_a + in_b) - 1] = 2
     signs[np.cumsum(in_a + in_b) - in_b - 1] = 1
-    text = "".join(f"{i}{s}" for i, s in zip(ids.tolist(), map(",|;".__getitem__, signs.tolist())))
-    return text[:-1]
+    size = 1 << max(16, int(ids.max(initial=0)).bit_length())
+    return "".join(_names(size)[signs * size + ids].tolist())[:-1]
 
 
 def links(span: Span, size_b: int) -> np.ndarray:
     """Pairs of overlapping tokens as id of A times ``size_b`` plus id of B.  Between two
     neighbouring ends, of A or of B, lies exactly one such pair."""
-    ends = np.union1d(span.ends_a, span.ends_b)
+    ends = np.sort(np.concatenate([span.ends_a, span.ends_b]), kind="stable")
+    ends = ends[np.diff(ends, append=-1) != 0]
     return span.a[np.searchsorted(span.ends_a, ends)] * size_b + span.b[np.searchsorted(span.ends_b, ends)]
 
 

@@ -39,6 +39,7 @@ class ByteBPE:
             self.pieces[i] = piece
         for string, i in self.special.items():
             self.pieces[i] = string.encode()
+        self.pieces = np.array(self.pieces, object)
 
     def _short(self, text: str) -> list[int]:
         return self.own.encode(text, allowed_special="all") if self.special else self.own.encode_ordinary(text)
@@ -84,6 +85,7 @@ class PieceBPE:
                 continue
             self.pieces.append(piece.replace("▁", " ").encode())
             self.neighbours.update(zip(piece, piece[1:]))
+        self.pieces = np.array(self.pieces, object)
 
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.own.encode(text) if text else [], np.int64)
@@ -96,5 +98,6 @@ class PieceBPE:
         return (before.replace(" ", "▁"), after.replace(" ", "▁")) not in self.neighbours
 
 
-def join(pieces: list[bytes], ids: np.ndarray) -> bytes:
-    return b"".join(map(pieces.__getitem__, ids.tolist()))
+def join(pieces: np.ndarray, ids: np.ndarray) -> bytes:
+    """The bytes of tokens one behind the other; ``pieces`` are those of each id."""
+    return b"".join(pieces[ids].tolist())

@@ -59,10 +59,13 @@ def brute_text(text):
         return 0, 0, [], []
     a, b = (list(ranges(x)) for x in both)
     common = sorted({e for *_, e in a} & {e for *_, e in b})
-    groups, low = [], 0
-    for high in common:
-        groups.append(tuple(",".join(str(i) for i, s, e in side if low < e <= high) for side in (a, b)))
-        low = high
+    groups = [([], []) for _ in common]
+    for side, tokens_of in enumerate((a, b)):
+        at = 0
+        for i, _, e in tokens_of:
+            groups[at][side].append(str(i))
+            at += e == common[at]
+    groups = [tuple(map(",".join, g)) for g in groups]
     links, j = [], 0
     for i, s, e in a:
         while b[j][2] <= s:
