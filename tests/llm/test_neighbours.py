@@ -22,23 +22,52 @@ def run(df, asked, k):
     return {(r.query_id, r.rank): (r.vec_id, r.score) for r in neighbours.nearest(df, asked, k).collect()}
 
 
-def test_recall_and_scores(spark, sf_dir):
-    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()
-    ids = np.array([r.vec_id for r in rows])
-    data = np.array([r.embedding for r in rows], float)
+def recall(out, ids, data, asked, k=5):
+    """Share of the true nearest found; scores must be exact, ranks gapless."""
     unit = data / np.linalg.norm(data, axis=1, keepdims=True)
-    out = QUERIES["op4_kdtree"](spark, sf_dir).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
     hits = total = 0
-    for q in ids[ids % 50 == 0]:
-        cosine = unit @ unit[ids == q][0]
-        cosine[ids == q] = -9
-        best = set(ids[np.lexsort((ids, -cosine))[:5]])
-        own = sorted((r.rank, r.vec_id, r.score) for r in out if r.query_id == q)
-        assert [r[0] for r in own] == [1, 2, 3, 4, 5]
-        assert all(abs(s - cosine[ids == v][0]) < 1e-12 for _, v, s in own)
+    place = {v: i for i, v in enumerate(ids.tolist())}
+    for q in asked:
+        cosine = unit @ unit[place[q]]
+        cosine[place[q]] = -9
+        best = set(ids[np.lexsort((ids, -cosine))[:k]].tolist())
+        own = sorted(by[q])
+        assert [r[0] for r in own] == list(range(1, k + 1))
+        assert all(abs(s - cosine[place[v]]) < 1e-12 for _, v, s in own)
         hits += len(best & {v for _, v, _ in own})
-        total += 5
-    assert hits / total >= 0.95
+        total += k
+    return hits / total
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01", "sf0.1"])
+def test_recall_and_scores(spark, sf_dir, size):
+    folder = sf_dir.replace("sf0.001", size)
+    rows = [r for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect() if r.embedding is not None]
+    ids = np.array([r.vec_id for r in rows])
+    found = recall(QUERIES["op4_kdtree"](spark, folder).collect(), ids, np.array([r.embedding for r in rows], float), ids[ids % 50 == 0])
+    assert found >= 0.95
+
+
+def test_clusters_in_many_cells(spark, vectors, monkeypatch):
+    """Queries of a cluster leave the cells of all others alone, and lose nothing by it."""
+    monkeypatch.setattr(neighbours, "SHARD_ROWS", 60)
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 7)
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((20, 16)) * 9
+    data = np.array([centres[i % 20] + 0.3 * rng.standard_normal(16) for i in range(1200)])
+    df = vectors([(i, v.tolist()) for i, v in enumerate(data)])
+    out = neighbours.nearest(df, df.where("vec_id % 10 = 3"), 5).collect()
+    assert recall(out, np.arange(1200), data, range(3, 1200, 10)) >= 0.95
+
+
+def test_repeated_ids_are_one_candidate_each(vectors):
+    df = vectors([(0, [1.0, 0.0])] + [(7, [1.0, 0.01 * i]) for i in range(6)] + [(20 + i, [1.0, 0.5 + i]) for i in range(6)])
+    got = run(df, df.where("vec_id = 0"), 5)
+    assert [got[0, r][0] for r in range(1, 6)] == [7, 20, 21, 22, 23]
+    assert got[0, 1][1] == 1.0
 
 
 def test_chi_square_and_its_inverse():
@@ -47,17 +76,19 @@ def test_chi_square_and_its_inverse():
     assert neighbours.chi_square(5000, 8) == 1
 
 
-def test_tree_gives_every_point_in_order():
-    points = np.random.default_rng(1).standard_normal((500, 3))
-    tree = neighbours.KDTree(points)
-    tree.prepare()
-    query = np.array([0.1, 0.2, 0.3])
-    seen, last = [], 0.0
-    for d, at in tree.cells(query):
-        assert d >= last and ((points[at] - query) ** 2).sum(axis=1).min() >= d - 1e-12
-        last = d
-        seen += at.tolist()
-    assert sorted(seen) == list(range(500))
+@pytest.mark.parametrize("points", [np.random.default_rng(1).standard_normal((500, 3)), np.zeros((100, 2)),
+                                    np.r_[np.zeros((90, 2)), np.arange(20).reshape(10, 2)], np.ones((1, 2))])
+def test_tree_has_every_point_in_its_box(points):
+    tree = neighbours.KDTree(points, 16)
+    starts = [0, *tree.ends[:-1]]
+    assert sorted(tree.order.tolist()) == list(range(len(points)))
+    for leaf, (a, b) in enumerate(zip(starts, tree.ends)):
+        own = points[tree.order[a:b]]
+        assert (tree.leaf_of(own) == leaf).all()
+        assert b - a <= 16 or (own == own[0]).all()
+        assert (own >= tree.low[leaf]).all() and (own <= tree.high[leaf]).all()
+    far = neighbours.box_distances(tree.low, tree.high, points)
+    assert (far[np.arange(len(points)), tree.leaf_of(points)] == 0).all()
 
 
 def test_ties_and_many_equal_vectors(vectors):
