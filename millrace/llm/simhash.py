@@ -10,18 +10,10 @@ costs one node.  Two fingerprints within the radius of 3 differ in at most 3 of
 bits, so they agree on two whole blocks: each of the 10 pairs of blocks deals the nodes out by
 the value of those blocks, and every such shard gets a BK-tree of its own.  A shard hands out
 what joins its trees, at most one link a node, never all pairs.
-
-The pipeline asks for more than bits can tell: texts link if their sets of five-word shingles
-have a Jaccard similarity of 4/5 or more, exactly.  Sets that alike share one of the first
-fifth of their shingles in any order common to all, so each shingle there is a key under which
-texts meet (rare ones come first).  Lengths, places in the order and the bits in which
-two 512-bit parity maps differ (never more than the sets' elements do) are bounds that rule
-out pairs for certain; what is left is counted out on the sets.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -29,9 +21,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.llm.components import components
 from millrace.scratch import keep
@@ -39,23 +30,6 @@ from millrace.scratch import keep
 SEED = 42
 WORDS = 3
 RADIUS = 3
-#: Fingerprints of a text for an estimate of the similarity, and the share of their bits that
-#: may differ.  Texts whose shingles of five words are alike to 0.8 differ in about 0.117 of
-#: the bits.
-PRINTS = 6
-SHARE = 0.135
-#: Near duplicates: words of a shingle, and the least Jaccard similarity as a fraction.
-SET_WORDS = 5
-ALIKE = (4, 5)
-#: 64-bit words of a parity map; keys of a text that the first round looks at, and rows that it
-#: compares a row with there.
-MAP_WORDS = 8
-FIRST_KEYS = 8
-NEAR = 2
-#: Texts whose shingles are counted to see which ones are frequent, and how many of these are
-#: remembered.  They decide how fast the search is, not what it finds.
-COUNTED = 10_000
-FREQUENT = 1 << 15
 #: Bit ranges of the blocks: [0, 12), [12, 25), ...
 EDGES = (0, 12, 25, 38, 51, 64)
 MASKS = tuple(
@@ -91,20 +65,6 @@ def fingerprint(text: str | None) -> int:
     return _majority(_hashes(text))
 
 
-def wide(text: str | None, prints: int) -> list[int]:
-    """Several fingerprints of the same shingles, the first one as above, the others from
-    remixed hashes.  Together they estimate the similarity of two texts closely."""
-    hashes, out = _hashes(text), []
-    for k in range(prints):
-        mixed = hashes ^ (hashes >> np.uint64(31)) if k else hashes
-        if k:
-            mixed = (mixed + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)
-            mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            mixed ^= mixed >> np.uint64(32)
-        out.append(_majority(mixed))
-    return out
-
-
 def fingerprints(text: Column) -> Column:
     """Fingerprint as a signed 64-bit integer of the same bits."""
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -220,149 +180,13 @@ def _keys(fp: Column) -> Column:
     return F.array(*[fp.bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) for m in MASKS])
 
 
-def shingle_set(text: str | None) -> np.ndarray:
-    """Sorted distinct hashes of a text's shingles of ``SET_WORDS`` words."""
-    return np.unique(_hashes(text, SET_WORDS))
-
-
-def parity_map(own: np.ndarray) -> np.ndarray:
-    """Bit by bit whether an odd number of the set's elements fall on it.  Two maps differ in at
-    most as many bits as the sets in elements."""
-    odd = np.bincount((own % np.uint64(64 * MAP_WORDS)).astype(np.int64), minlength=64 * MAP_WORDS) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
-
-
-def prefix(own: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The shingles of a set, in the common order, one of which any set alike enough has in its
-    own prefix.  The order is by the count among ``frequent`` (sorted), then by hash."""
-    seen = np.zeros(len(own), np.int64)
-    if len(frequent) and len(own):
-        at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
-        seen = np.where(frequent[at] == own, counts[at], 0)
-    least = -(-ALIKE[0] * len(own) // ALIKE[1])
-    return own[np.lexsort((own, seen))][:len(own) - least + 1]
-
-
-def _frequent(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that are frequent in a sample of the texts (sorted hashes), and their counts
-    there; at most ``FREQUENT`` of them."""
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t in batch.column(0):
-                yield pa.record_batch({"h": pa.array(shingle_set(t.as_py()).view(np.int64))})
-
-    total = docs.count()
-    some = docs.select(text).sample(min(1.0, COUNTED / max(1, total)), seed=SEED)
-    top = some.mapInArrow(of, "h long").groupBy("h").count().where("count > 2").orderBy(F.desc("count"), "h").limit(FREQUENT).collect()
-    hashes, counts = np.array([r.h for r in top], np.int64).view(np.uint64), np.array([r["count"] for r in top], np.int64)
-    order = np.argsort(hashes)
-    return hashes[order], counts[order]
-
-
-def whole_runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[np.ndarray]:
-    """The columns' values (columns x rows) of sorted batches, cut where the first column
-    changes."""
-    rest = []
-    for batch in (*batches, None):
-        if batch is None:
-            break
-        if not batch.num_rows:
-            continue
-        new = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in columns])
-        if rest and rest[-1][0, -1] != new[0, 0]:
-            yield np.concatenate(rest, axis=1)
-            rest = []
-        cut = int(np.searchsorted(new[0], new[0, -1]))
-        if cut:
-            yield np.concatenate([*rest, new[:, :cut]], axis=1)
-            rest = []
-        rest.append(new[:, cut:])
-    if rest:
-        yield np.concatenate(rest, axis=1)
-
-
-def possible_pairs(rows: np.ndarray, near: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids of the pairs that meet under a key, are in different components, and that no bound
-    rules out.  ``rows``: key, n, id, pos, component, parity map, sorted by key and n; each is
-    compared with the ``near`` rows before it or (None) with all of them."""
-    key, n, ids, pos, part = rows[:5]
-    maps = np.ascontiguousarray(rows[5:].T).view(np.uint64)
-    start = np.searchsorted(key, key)
-    at = np.arange(len(key))
-    step = 1
-    while near is None or step <= near:
-        at = at[at - step >= start[at]]
-        # what is before an even shorter text is shorter still
-        at = at[ALIKE[1] * n[at - step] >= ALIKE[0] * n[at]]
-        if not len(at):
-            return
-        i, j = at, at - step
-        both = n[i] + n[j]
-        most = np.minimum(pos[i], pos[j]) + 1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1
-        fits = (part[i] != part[j]) & (most * sum(ALIKE) >= ALIKE[0] * both)
-        i, j, both = i[fits], j[fits], both[fits]
-        differ = np.bitwise_count(maps[i] ^ maps[j]).sum(axis=1, dtype=np.int64)
-        fits = differ * sum(ALIKE) <= (ALIKE[1] - ALIKE[0]) * both
-        if fits.any():
-            yield ids[i[fits]], ids[j[fits]]
-        step += 1
-
-
-def _candidates(met: DataFrame, nodes: DataFrame, near: int | None) -> DataFrame:
-    """Distinct pairs (a, b) of ids that may be alike.  ``met``: key, id, pos; ``nodes``: id, n,
-    bits, part."""
-    parts = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    maps = [F.col("bits")[k].alias(f"f{k}") for k in range(MAP_WORDS)]
-    columns = ["key", "n", "id", "pos", "part", *[f"f{k}" for k in range(MAP_WORDS)]]
-    dealt = (
-        met.join(nodes, "id").select("key", "n", "id", "pos", "part", *maps)
-        .repartition(parts, "key").sortWithinPartitions("key", "n", "id")
-    )
-
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in whole_runs(batches, columns):
-            for i, j in possible_pairs(rows, near):
-                yield pa.record_batch({"a": np.minimum(i, j), "b": np.maximum(i, j)})
-
-    return dealt.mapInArrow(found, "a long, b long").distinct()
-
-
-def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose sets (id, own) have a Jaccard similarity of ``ALIKE`` or more."""
-    both = pairs.join(sets.selectExpr("id AS a", "own AS x"), "a").join(sets.selectExpr("id AS b", "own AS y"), "b")
-    shared = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("same"), (F.size("x") + F.size("y")).alias("both"))
-    return shared.where(sum(ALIKE) * F.col("same") >= ALIKE[0] * F.col("both")).select("a", "b")
-
-
-def jaccard_links(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Links (a, b) that join all ``nodes`` (id, first, n, bits, keys: of distinct sets) that are
-    alike into components.
-
-    The first round looks at neighbours in length under a text's first keys only, which joins
-    large groups of copies at a few pairs a row; the second one at all that still is apart.
-    """
-    keys = nodes.select("id", F.posexplode("keys").alias("pos", "key"))
-    meets = keys.withColumn("m", F.count("*").over(Window.partitionBy("key"))).where("m > 1").drop("m")
-    met = keep(meets, "simhash")
-    some = keep(nodes.join(met.select("id").distinct(), "id", "left_semi").select("id", "first", "n", "bits"), "simhash")
-
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t.as_py()).view(np.int64) for t in batch.column("text")]
-            yield pa.record_batch({"id": batch.column("id"), "own": pa.array(sets, pa.list_(pa.int64()))})
-
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("body"))
-    first = some.select("id", F.col("first.doc_id").alias("__id"), F.col("first.body").alias("__body"))
-    texts = texts.join(first, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("body") == F.col("__body"))).select("id", "text")
-    sets = keep(texts.dropDuplicates(["id"]).mapInArrow(of, "id long, own array<long>"), "simhash")
-    pairs = keep(_candidates(met.where(F.col("pos") < FIRST_KEYS), some.select("id", "n", "bits", F.col("id").alias("part")), NEAR), "simhash")
-    links = keep(_alike(pairs, sets), "simhash")
-    tops = components(links).withColumnRenamed("node", "id")
-    parts = keep(some.join(tops, "id", "left").select("id", "n", "bits", F.coalesce("top", "id").alias("part")), "simhash")
-    split = Window.partitionBy("key")
-    apart = met.join(parts.select("id", "part"), "id").withColumn("least", F.min("part").over(split)).withColumn("last", F.max("part").over(split))
-    pairs = keep(_candidates(apart.where("least <> last").select("key", "id", "pos"), parts, None), "simhash")
-    return links.union(_alike(pairs, sets))
+def _components_of(own: DataFrame, order: Column) -> DataFrame:
+    """(fp, first): for each fingerprint of ``own`` the least ``order`` of its component."""
+    nodes = keep(own.groupBy("fp").agg(F.min(order).alias("first")), "simhash")
+    edges = keep(links(nodes), "simhash")
+    named = nodes.join(components(edges).withColumnRenamed("node", "fp"), "fp", "left").withColumn("top", F.coalesce("top", "fp"))
+    names = named.groupBy("top").agg(F.min("first").alias("first"))
+    return keep(named.drop("first").join(names, "top").select("fp", "first"), "simhash")
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -371,38 +195,20 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     A null doc_id takes part: it is in a component, but never its name unless all are null.
     """
     own = keep(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text)).alias("fp")), "simhash")
-    nodes = keep(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash")
-    edges = keep(links(nodes), "simhash")
-    named = nodes.join(components(edges).withColumnRenamed("node", "fp"), "fp", "left").withColumn("top", F.coalesce("top", "fp"))
-    names = named.groupBy("top").agg(F.min("first").alias("component_id"))
-    of = keep(named.join(names, "top").select("fp", "component_id"), "simhash")
+    of = _components_of(own, F.col("doc_id")).withColumnRenamed("first", "component_id")
     return own.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
 def first_of_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The row of each group of near duplicates with the smallest doc_id (null ids last); one
-    of them if rows repeat.  Texts without words are one group."""
-    frequent, counts = _frequent(docs, text)
-    order = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("body"))
-    rows = docs.select(order.alias("row"), F.col(text).alias("text"))
-    kind = T.StructType([rows.schema["row"], T.StructField("digest", T.BinaryType()), T.StructField("n", T.LongType()),
-                         T.StructField("bits", T.ArrayType(T.LongType())), T.StructField("keys", T.ArrayType(T.LongType()))])
-
-    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t.as_py()) for t in batch.column("text")]
-            yield pa.record_batch({
-                "row": batch.column("row"), "digest": pa.array([hashlib.md5(x.tobytes()).digest() for x in sets], pa.binary()),
-                "n": pa.array([len(x) for x in sets], pa.int64()), "bits": pa.array([parity_map(x) for x in sets], pa.list_(pa.int64())),
-                "keys": pa.array([prefix(x, frequent, counts).view(np.int64) for x in sets], pa.list_(pa.int64()))})
-
-    same = [F.first(c).alias(c) for c in ("n", "bits", "keys")]
-    distinct = rows.mapInArrow(parsed, kind).groupBy("digest").agg(F.min("row").alias("first"), *same).drop("digest")
-    nodes = keep(distinct.withColumn("id", F.monotonically_increasing_id()), "simhash")
-    edges = keep(jaccard_links(docs, nodes, doc_id, text), "simhash")
-    named = nodes.select("id", "first").join(components(edges).withColumnRenamed("node", "id"), "id", "left")
-    firsts = named.groupBy(F.coalesce("top", "id").alias("top")).agg(F.min("first").alias("first"))
-    firsts = firsts.select(F.col("first.doc_id").alias("__id"), F.col("first.body").alias("__key")).distinct()
+    """The row of each group with the smallest doc_id (null ids last, then by a hash of the text); one of
+    them if rows repeat.  Texts without words are one group.
+
+    One pass makes the fingerprints; texts move once, to meet the ids that stay.
+    """
+    own = keep(docs.select(
+        F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("body")).alias("row"),
+        fingerprints(F.col(text)).alias("fp")), "simhash")
+    firsts = _components_of(own, F.col("row")).select(F.col("first.doc_id").alias("__id"), F.col("first.body").alias("__key")).distinct()
     rows = docs.withColumn("__body", F.xxhash64(text))
     return (
         rows.join(firsts, F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__body") == F.col("__key")), "left_semi")
