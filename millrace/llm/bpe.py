@@ -9,21 +9,25 @@ from __future__ import annotations
 
 import base64
 import heapq
+import struct
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-#: A worker's encoder, kept from task to task.
-ENCODERS: dict[tuple[str, str], "Encoder"] = {}
 MASK = (1 << 64) - 1
 STEP = 0x9E3779B97F4A7C15
-#: Pre-tokens a worker remembers before it starts afresh; bounds its memory.
-REMEMBERED = 200_000
+#: Pre-tokens of a generation; a task remembers two generations at most.
+REMEMBERED = 150_000
+#: Bytes of text of which a task holds ids and pieces before they become Arrow's.
+SLICE = 4 << 20
+#: Bits of a heap's entry that are the place, the rest are the rank.
+PLACE = 40
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -80,26 +84,35 @@ class PerfectHash:
 
 def merge(piece: bytes, rank: dict[bytes, int]) -> list[int]:
     """Ids of a piece: again and again the pair of neighbours of least rank (the leftmost
-    of equals) becomes one part.  Parts are a linked list, pairs wait in a heap; a pair of
-    which a side has changed since is passed over."""
-    n = len(piece)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank.get(piece[i:i + 2])) is not None]
+    of equals) becomes one part.  Parts are a linked list, pairs wait in a heap; ``pair`` has the
+    rank of the pair that begins at a place now, so one that has changed since is passed over."""
+    n, get = len(piece), rank.get
+    after, before = list(range(1, n + 1)), list(range(-1, n))
+    pair = [get(piece[i:i + 2], -1) for i in range(n - 1)]
+    pair.append(-1)
+    heap = [r << PLACE | i for i, r in enumerate(pair) if r >= 0]
     heapq.heapify(heap)
-    gone = bytearray(n)
+    place = (1 << PLACE) - 1
     while heap:
-        _, i, end = heapq.heappop(heap)
-        j = after[i] if not gone[i] else n
-        if j >= n or after[j] != end:
+        top = heapq.heappop(heap)
+        i = top & place
+        if pair[i] != top >> PLACE:
             continue
-        gone[j] = 1
-        after[i] = end
+        j = after[i]
+        end = after[i] = after[j]
+        pair[j] = -1
         if end < n:
             before[end] = i
-            if (r := rank.get(piece[i:after[end]])) is not None:
-                heapq.heappush(heap, (r, i, after[end]))
-        if (k := before[i]) >= 0 and (r := rank.get(piece[k:end])) is not None:
-            heapq.heappush(heap, (r, k, end))
+            r = pair[i] = get(piece[i:after[end]], -1)
+            if r >= 0:
+                heapq.heappush(heap, r << PLACE | i)
+        else:
+            pair[i] = -1
+        k = before[i]
+        if k >= 0:
+            r = pair[k] = get(piece[k:end], -1)
+            if r >= 0:
+                heapq.heappush(heap, r << PLACE | k)
     ids, i = [], 0
     while i < n:
         ids.append(rank[piece[i:after[i]]])
@@ -107,81 +120,110 @@ def merge(piece: bytes, rank: dict[bytes, int]) -> list[int]:
     return ids
 
 
-class Encoder(dict):
-    """Pre-token -> its ids as little-endian unsigned 32-bit integers, remembered."""
+class Encoder:
+    """Pre-tokens and their ids as little-endian unsigned 32-bit integers, remembered in two
+    generations: when the young one is full it becomes the old one, and what nobody asked for
+    since is forgotten."""
 
-    def __init__(self, ranks: dict[bytes, int], whole: PerfectHash, pattern: str):
-        super().__init__()
-        self.rank, self.whole = ranks, whole
+    def __init__(self, ranks: dict[bytes, int], whole: PerfectHash, pattern: str, remembered: int = REMEMBERED):
+        self.rank, self.whole, self.remembered = ranks, whole, remembered
         self.split = regex.compile(pattern).findall
-
-    def __missing__(self, token: str) -> bytes:
-        piece = token.encode()
-        one = self.whole.get(piece)
-        ids = [one] if one is not None else merge(piece, self.rank)
-        if len(self) >= REMEMBERED:
-            self.clear()
-        out = self[token] = np.array(ids, "<u4").tobytes()
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _ids(self, token: str) -> bytes:
+        out = self.young.get(token)
+        if out is not None:
+            return out
+        out = self.old.get(token)
+        if out is None:
+            piece = token.encode()
+            one = self.whole.get(piece)
+            ids = (one,) if one is not None else merge(piece, self.rank)
+            out = struct.pack(f"<{len(ids)}I", *ids)
+        if len(self.young) >= self.remembered:
+            self.young, self.old = {}, self.young
+        self.young[token] = out
         return out
 
     def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, self.split(text))) if text else b""
+        if not text:
+            return b""
+        tokens = self.split(text)
+        found = list(map(self.young.get, tokens))
+        if None in found:
+            found = [self._ids(t) if f is None else f for t, f in zip(tokens, found)]
+        return b"".join(found)
 
 
-def worker_encoder(path: str, pattern: str, shared) -> Encoder:
-    if (path, pattern) not in ENCODERS:
-        ENCODERS.clear()
-        ENCODERS[path, pattern] = Encoder(*shared.value, pattern)
-    return ENCODERS[path, pattern]
+def pieces_of(ranks: dict[bytes, int]) -> list[bytes]:
+    """The bytes of each id."""
+    out = [b""] * (max(ranks.values(), default=-1) + 1)
+    for piece, i in ranks.items():
+        out[i] = piece
+    return out
 
 
-def decoded(ids: bytes | None, pieces: dict[int, bytes]) -> bytes:
-    return b"".join(map(pieces.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+def decoded(ids: bytes | None, pieces: np.ndarray) -> bytes:
+    return b"".join(pieces[np.frombuffer(ids or b"", "<u4")].tolist())
 
 
 def _shared(spark: SparkSession, ranks_path: str):
-    """Ranks, perfect hash, and the bytes of each rank.  The driver reads the vocabulary (its size
-    is fixed by the file, some tens of thousands of entries) and hands it to the workers."""
+    """Ranks and perfect hash.  The driver reads the vocabulary (its size is fixed by the file, some
+    tens of thousands of entries) and hands it to the workers."""
     ranks = read_ranks(ranks_path)
     return spark.sparkContext.broadcast((ranks, PerfectHash(ranks)))
 
 
+def sliced(batch: pa.Array) -> Iterator[list]:
+    """The values of a batch, some ``SLICE`` bytes at a time."""
+    size = pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(size) // SLICE)) + 1).tolist(), len(size)]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a).to_pylist()
+
+
 def encoder(spark: SparkSession, ranks_path: str, pattern: str):
     """Column function: string -> ids, as the bytes of little-endian unsigned 32-bit integers."""
     shared = _shared(spark, ranks_path)
 
-    def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        of = worker_encoder(ranks_path, pattern, shared)
+    def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        of = Encoder(*shared.value, pattern)
         for batch in texts:
-            yield pd.Series([of.encode(t) for t in batch], dtype=object)
+            yield pa.concat_arrays([pa.array([of.encode(t) for t in part], pa.binary()) for part in sliced(batch)])
 
-    return F.pandas_udf(encode, "binary", F.PandasUDFType.SCALAR_ITER)
+    return F.arrow_udf(encode, "binary")
 
 
 def decoder(spark: SparkSession, ranks_path: str):
     """Column function: ids (bytes as from ``encoder``) -> the bytes of the text."""
-    shared = spark.sparkContext.broadcast({r: b for b, r in read_ranks(ranks_path).items()})
+    shared = spark.sparkContext.broadcast(pieces_of(read_ranks(ranks_path)))
 
-    def decode(ids: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def decode(ids: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        pieces = np.array(shared.value, object)
         for batch in ids:
-            yield pd.Series([decoded(x, shared.value) for x in batch], dtype=object)
+            yield pa.concat_arrays([pa.array([decoded(x, pieces) for x in part], pa.binary()) for part in sliced(batch)])
 
-    return F.pandas_udf(decode, "binary", F.PandasUDFType.SCALAR_ITER)
+    return F.arrow_udf(decode, "binary")
 
 
 def round_trip(spark: SparkSession, ranks_path: str, pattern: str):
     """Column function: string -> struct of its ids and of the bytes that they decode to, in one
-    worker, which then holds one vocabulary and one batch."""
+    worker, which then holds one vocabulary and a slice of a batch beside what it hands on."""
     shared = _shared(spark, ranks_path)
 
-    def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        of = worker_encoder(ranks_path, pattern, shared)
-        pieces = {r: b for b, r in of.rank.items()}
+    def both(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        of = Encoder(*shared.value, pattern)
+        pieces = np.array(pieces_of(of.rank), object)
         for batch in texts:
-            ids = [of.encode(t) for t in batch]
-            yield pd.DataFrame({"ids": ids, "decoded": [decoded(x, pieces) for x in ids]})
-
-    return F.pandas_udf(both, "ids binary, decoded binary", F.PandasUDFType.SCALAR_ITER)
+            out = []
+            for part in sliced(batch):
+                ids = [of.encode(t) for t in part]
+                out.append(pa.StructArray.from_arrays(
+                    [pa.array(ids, pa.binary()), pa.array([decoded(x, pieces) for x in ids], pa.binary())], names=["ids", "decoded"]))
+            yield pa.concat_arrays(out)
+
+    return F.arrow_udf(both, "ids binary, decoded binary")
 
 
 def count(ids: Column) -> Column:

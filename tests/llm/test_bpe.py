@@ -46,6 +46,14 @@ def test_merge_matches_the_library_piece_by_piece(ranks, twin):
         assert bpe.merge(piece.encode(), ranks) == twin._encode_single_piece(piece.encode()) or len(piece) == 1
 
 
+def test_generations_forget_and_change_nothing(ranks, twin):
+    few = bpe.Encoder(ranks, bpe.PerfectHash(ranks), public_tokenizers.PATTERN, remembered=3)
+    text = "some words come again and others not, some words do; zqxv zqxv again zqxv others"
+    for _ in range(3):
+        assert ids(few.encode(text)) == twin.encode_ordinary(text)
+    assert len(few.young) <= 3 and len(few.old) <= 3
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet=st.characters(exclude_categories=["Cs"])))
 def test_texts(encode, twin, text):
