@@ -6,41 +6,62 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import linededup as ld
 
 
+def tokens(line):
+    even = re.sub("[ \t\r\f\x0b]+", " ", line).strip(" ")
+    return tuple(re.sub("[^ ]*[0-9][^ ]*", ld.FIELD, even).split(" "))
+
+
+def split(group, levels):
+    """The groups of a list of distinct lines (tuples of one length) after so many splits."""
+    if not levels:
+        return [group]
+    n = len(group)
+    at = [Counter(t[i] for t in group) for i in range(len(group[0]))]
+    enough = lambda k: k >= 2 and k >= ld.SHARE * n
+    best = max(range(ld.LEADING, len(at)), key=lambda i: (max(at[i].values()) if enough(max(at[i].values())) and max(at[i].values()) < n else 0, -i))
+    top = max(at[best].values())
+    if not enough(top) or top == n:
+        return [group]
+    parts = defaultdict(list)
+    for t in group:
+        parts[t[best] if enough(at[best][t[best]]) else None].append(t)
+    return [g for p in parts.values() for g in split(p, levels - 1)]
+
+
 def plain(rows):
     """Texts after the drop, for (doc_id, text) rows."""
-    def tokens(line):
-        even = re.sub("[ \t\r\f\x0b]+", " ", line).strip(" ")
-        return tuple(re.sub("[^ ]*[0-9][^ ]*", ld.FIELD, even).split(" "))
-
-    lines = Counter(t for _, x in rows if x is not None for t in map(tokens, x.split("\n")) if len(t) >= ld.MIN_TOKENS)
-    leaf, at = Counter(), defaultdict(Counter)
-    for t, n in lines.items():
-        key = len(t), t[:ld.LEADING]
-        leaf[key] += n
-        for i, w in enumerate(t):
-            at[key, i][w] += n
-
-    def template(t):
-        key = len(t), t[:ld.LEADING]
-        if leaf[key] < ld.MIN_DOCS:
-            return None
-        kept = tuple(w if at[key, i][w] >= ld.CONSTANT * leaf[key] else None for i, w in enumerate(t))
-        return (key, kept) if sum(w is not None for w in kept) >= ld.SIMILARITY * len(t) else (key, t, "own")
+    distinct = {t for _, x in rows if x is not None for t in map(tokens, x.split("\n")) if t != ("",)}
+    leaves = defaultdict(list)
+    for t in sorted(distinct):
+        if len(t) > ld.LEADING:
+            leaves[len(t), t[:ld.LEADING]].append(t)
+    general = {}
+    for leaf in leaves.values():
+        for group in split(leaf, ld.LEVELS) if len(leaf) > 1 else ():
+            kept = tuple(w[0] if len(set(w)) == 1 else None for w in zip(*group))
+            if len(group) > 1 and sum(w is not None for w in kept) >= ld.SIMILARITY * len(kept):
+                general |= {t: ("general", kept) for t in group}
+
+    def templates(line):
+        t = tokens(line)
+        return [] if t == ("",) else [t, general[t]] if t in general else [t]
 
     docs = defaultdict(set)
     for i, x in rows:
-        for t in map(tokens, (x or "").split("\n")):
-            if len(t) >= ld.MIN_TOKENS and template(t):
-                docs[template(t)].add(i)
-    gone = {k: min((i for i in v if i is not None), default=None) for k, v in docs.items() if len(v) >= ld.MIN_DOCS}
+        for y in (x or "").split("\n"):
+            for k in templates(y):
+                docs[k].add(i)
+    need = lambda k: 2 if k[0] != "general" and len(k) >= ld.LONG else ld.MIN_DOCS
+    first = {k: min((i for i in v if i is not None), default=None) for k, v in docs.items() if len(v) >= need(k)}
     out = []
     for i, x in rows:
-        own = [] if x is None else [y for y in x.split("\n") if not (len(tokens(y)) >= ld.MIN_TOKENS and template(tokens(y)) in gone and gone[template(tokens(y))] != i)]
+        own = [] if x is None else [y for y in x.split("\n") if all(first.get(k, i) == i for k in templates(y))]
         out.append((i, None if x is None else "\n".join(own)))
     return sorted(out, key=str)
 
@@ -70,11 +91,40 @@ def test_variable_fields_make_one_template(docs):
     assert all(got[i] == rows[i][1].split("\n")[1] for i in range(1, 6))
 
 
-def test_short_inner_and_rare_lines_stay(docs):
-    rows = [(i, "two words") for i in range(9)] + [(20, "again and again here\n" * 9), *[(30 + i, "only four documents have it") for i in range(4)]]
+def test_inner_and_rare_lines_stay(docs):
+    rows = [(20, "again and again here\n" * 9), *[(30 + i, "only four documents have it") for i in range(4)]]
     assert run(docs(rows)) == sorted(rows, key=str)
 
 
+def test_short_lines_recur_as_they_are(docs):
+    rows = [(i, f"Read more\nhome\n\nown {'abcdefghi'[i] * 3}") for i in range(9)]
+    got = dict(run(docs(rows)))
+    assert got[0] == rows[0][1] and all(got[i] == f"\nown {'abcdefghi'[i] * 3}" for i in range(1, 9))
+
+
+def test_long_lines_recur_from_two_documents_on(docs):
+    long = "a passage of quite some words that two documents share"
+    rows = [(1, long), (2, f"x\n{long}"), (3, "short line of two"), (4, "short line of two")]
+    assert dict(run(docs(rows))) == {1: long, 2: "x", 3: "short line of two", 4: "short line of two"}
+
+
+@pytest.mark.parametrize("noise", [0, 40])
+def test_several_templates_of_a_leaf(docs, noise):
+    """Three templates with names in the same leaf, one line with very many copies, and lines that
+    are like none."""
+    rng = random.Random(3)
+    name = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(9))
+    width, frames = 9, ["the user said hello to {} in big halls", "the user said goodbye as {} left small rooms", "the user said nothing of {} over long weeks"]
+    rows = [(i, "\n".join(f.format(name()) for f in frames)) for i in range(30)]
+    rows += [(100 + i, "the user said one hot line again and again") for i in range(200)]
+    rows += [(400 + i, "the user said " + " ".join(name() for _ in range(width - 3))) for i in range(noise)]
+    got = dict(run(docs(rows)))
+    assert all(got[i] == "" for i in range(1, 30)) and got[0] == rows[0][1]
+    assert got[100] == "the user said one hot line again and again" and all(got[100 + i] == "" for i in range(1, 200))
+    assert all(got[400 + i] == rows[230 + i][1] for i in range(noise))
+    assert sorted(got.items(), key=str) == plain(rows)
+
+
 def test_nulls_repeats_empties_and_clashes(docs):
     line = "the same line everywhere\t again "
     rows = [(None, line), (None, line), (1, line), (1, line + "\nmore of it"), (2, None), (3, ""), *[(i, line) for i in range(10, 15)], (16, "\n" * 5000 + line)]
