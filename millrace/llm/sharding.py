@@ -2,8 +2,10 @@
 
 Nodes start dealt out evenly.  In each round nodes wish themselves to the shard where most
 of their neighbours are; a shard takes what it has room for, and pairs of shards may always
-swap as many nodes as both directions wish for.  In the end shards are levelled: shard sizes
-in rows differ by one at most, surplus nodes and nodes without links fill the gaps.
+swap as many nodes as both directions wish for.  Rounds end when nobody moves, or when the
+links that are not cut have not become more for ``PATIENCE`` rounds; the best round counts.  In
+the end shards are levelled: shard sizes in rows differ by one at most, surplus nodes and nodes
+without links fill the gaps.
 
 DataFrame work only.  A node with very many neighbours costs one row per shard after partial
 counts.  Null or repeated ids and null texts are rows like any other; a null text counts as
@@ -20,7 +22,8 @@ from pyspark.sql import functions as F
 from millrace.llm.numbering import numbered
 from millrace.scratch import keep
 
-ROUNDS = 5
+#: Rounds without a better cut before propagation ends.
+PATIENCE = 4
 
 
 def star_links(nodes: DataFrame, node: str, group: str) -> DataFrame:
@@ -29,28 +32,35 @@ def star_links(nodes: DataFrame, node: str, group: str) -> DataFrame:
     return nodes.join(hubs, group).where(F.col(node) != F.col("a")).select("a", F.col(node).alias("b"))
 
 
-def propagate(links: DataFrame, shards: int, room: int, rounds: int = ROUNDS) -> DataFrame:
+def propagate(links: DataFrame, shards: int, room: int, patience: int = PATIENCE) -> DataFrame:
     """node, shard of the linked nodes.  ``room``: nodes that a shard may hold."""
     both = keep(links.union(links.selectExpr("b", "a")), "links")
     spread = F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int")
     state = keep(both.select(F.col("a").alias("node")).distinct().withColumn("shard", spread), "labels")
-    for k in range(rounds):
+    best_state, most, since, k = state, -1, 0, 0
+    while True:
         seen = both.join(state.select(F.col("node").alias("b"), "shard"), "b").groupBy("a", "shard").agg(F.count("*").alias("n"))
         best = seen.groupBy(F.col("a").alias("node")).agg(F.max(F.struct("n", (-F.col("shard")).alias("last"))).alias("best"), F.map_from_entries(F.collect_list(F.struct("shard", "n"))).alias("near"))
         wish = (
             state.join(best, "node")
             .withColumn("to", (-F.col("best.last")).cast("int"))
-            .withColumn("gain", F.col("best.n") - F.coalesce(F.element_at("near", F.col("shard")), F.lit(0)))
+            .withColumn("here", F.coalesce(F.element_at("near", F.col("shard")), F.lit(0)))
             # half of the nodes may move in a round, so that neighbours don't change places
-            .withColumn("moves", (F.col("gain") > 0) & (F.xxhash64("node", F.lit(k)) % 2 == 0))
-            .select("node", "shard", "to", "moves")
+            .withColumn("wants", F.col("best.n") > F.col("here"))
+            .withColumn("moves", F.col("wants") & (F.xxhash64("node", F.lit(k)) % 2 == 0))
+            .select("node", "shard", "to", "here", "wants", "moves")
         )
         wish = keep(wish, "labels")
-        held = {r.shard: r.n for r in state.groupBy("shard").agg(F.count("*").alias("n")).collect()}
-        want = {(r.shard, r.to): r.n for r in wish.where("moves").groupBy("shard", "to").agg(F.count("*").alias("n")).collect()}
-        if not want:
-            break
-        free = {j: max(0, room - held.get(j, 0)) for j in range(shards)}
+        # one row for each pair of shards
+        counts = wish.groupBy("shard", "to").agg(
+            F.count("*").alias("n"), F.sum("here").alias("here"), F.count_if("wants").alias("wants"), F.count_if("moves").alias("moves")).collect()
+        uncut = sum(r.here for r in counts)
+        most, best_state, since = (uncut, state, 0) if uncut > most else (most, best_state, since + 1)
+        if not any(r.wants for r in counts) or since >= patience:
+            return best_state
+        held = {j: sum(r.n for r in counts if r.shard == j) for j in range(shards)}
+        want = {(r.shard, r.to): r.moves for r in counts if r.moves}
+        free = {j: max(0, room - held[j]) for j in range(shards)}
         asked = {j: sum(n for (_, to), n in want.items() if to == j) for j in range(shards)}
         share = [
             (i, j, min(1.0, (min(n, want.get((j, i), 0)) + free[j] * n / asked[j]) / n)) for (i, j), n in want.items()
@@ -61,7 +71,7 @@ def propagate(links: DataFrame, shards: int, room: int, rounds: int = ROUNDS) ->
             wish.join(F.broadcast(quota), ["shard", "to"], "left")
             .select("node", F.when(F.col("moves") & (chance < F.col("share")), F.col("to")).otherwise(F.col("shard")).alias("shard")),
             "labels")
-    return state
+        k += 1
 
 
 def levelled(nodes: DataFrame, state: DataFrame, shards: int) -> DataFrame:
@@ -82,11 +92,11 @@ def levelled(nodes: DataFrame, state: DataFrame, shards: int) -> DataFrame:
     return placed.union(filled)
 
 
-def assign(nodes: DataFrame, links: DataFrame, shards: int, rounds: int = ROUNDS) -> DataFrame:
+def assign(nodes: DataFrame, links: DataFrame, shards: int) -> DataFrame:
     """node, shard, slot (0, 1, ... in each shard) of every row of ``nodes`` (node, unique).
     ``links`` (a, b): each pair of neighbours once."""
     total = nodes.count()
-    state = propagate(links, shards, total // shards, rounds)
+    state = propagate(links, shards, total // shards)
     final = keep(levelled(nodes, state, shards), "shards")
     return numbered(final, "shard", "node", "slot", total)
 
@@ -99,8 +109,8 @@ def cut(links: DataFrame, placed: DataFrame) -> DataFrame:
 
 def equal_texts(docs: DataFrame, text: str = "text") -> DataFrame:
     """Stored: node (unique), all columns but the text, size, text_crc32, and the digest by
-    which equal texts are linked."""
+    which equal texts are linked.  Columns of these names are replaced."""
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     return keep(docs.select(
-        F.monotonically_increasing_id().alias("node"), *[c for c in docs.columns if c != text],
+        F.monotonically_increasing_id().alias("node"), *[c for c in docs.columns if c not in (text, "node", "size", "text_crc32", "digest")],
         (F.octet_length(body) + 8).cast("long").alias("size"), F.crc32(body).alias("text_crc32"), F.md5(body).alias("digest")), "texts")
