@@ -1,7 +1,8 @@
 """WARC archives: a deterministic sharded writer and its reader.
 
-One record a row, sorted by key.  Keys are cut into ranges of about equal payload; a range
-is written by one task as a run of files that roll when they are full.  Headers and digests
+One record a row, sorted by key and payload digest.  Quantiles of these, weighted by payload bytes, cut
+the rows into ranges; a range is written by one task as a run of files that roll when they are
+full.  Only rows that agree in key and payload cannot be cut apart.  Headers and digests
 are made anew from the row, nothing depends on clocks, tasks or attempts, so equal input gives
 equal files.  A file is written under a temporary name in ``_temporary`` and then renamed; the
 manifest, one row a file, is committed after all files, and the reader refuses a folder whose
@@ -21,9 +22,10 @@ import base64
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +39,8 @@ RANGE_BYTES = 16 << 20
 ROLL_BYTES = 4 << 20
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-CELLS = 4096
+#: Places at which ranges may begin, about: the driver and every task have them all.
+POINTS = 1 << 16
 SALTS = 32
 MANIFEST = "file string, records long, bytes long, sha256 string"
 
@@ -106,20 +109,46 @@ class _Roll:
             yield self.name, self.records, self.bytes, self.sha.hexdigest()
 
 
-def _ranges(rows: DataFrame, range_bytes: int) -> DataFrame:
-    """cell, part: which range each cell of keys belongs to.  At most ``CELLS`` cells of equal
-    width with their bytes come to the driver, whatever the input."""
-    low, high = rows.agg(F.min("key"), F.max("key")).first()
-    width = 1 if low is None else (high - low) // CELLS + 1
-    cell = F.coalesce(F.floor((F.col("key") - (low or 0)) / width), F.lit(-1)).cast("long")
-    cells = rows.groupBy(cell.alias("cell")).agg(F.sum("n").alias("bytes")).orderBy("cell").collect()
-    ends = list(accumulate(r.bytes for r in cells))
-    parts = [0]
-    for i in range(1, len(cells)):
-        full = ends[i] - (ends[parts.index(parts[-1]) - 1] if parts.index(parts[-1]) else 0) > range_bytes
-        parts.append(parts[-1] + full)
-    of = rows.sparkSession.createDataFrame([(r.cell, p) for r, p in zip(cells, parts)], "cell long, part int")
-    return of, cell, (parts[-1] + 1 if cells else 1)
+def _below(points: list[tuple], keys: pa.Array, digests: pa.Array) -> np.ndarray:
+    """How many of the sorted points (key or None first, digest) are not above each row's."""
+    order = [(k is not None, k or 0, d) for k, d in points]
+    return np.array([bisect_right(order, (k is not None, k or 0, d)) for k, d in zip(keys.to_pylist(), digests.to_pylist())], np.int32)
+
+
+def _ranges(rows: DataFrame, range_bytes: int):
+    """Column function (key, digest) -> number of the range, and how many ranges there are.
+
+    Points chosen by a hash of key and digest, ``POINTS`` at the most (about), cut all rows into cells,
+    dense keys, one hot key and null keys alike; neighbouring cells make a range up to
+    ``range_bytes``.  The same rows give the same points, however they are partitioned."""
+    spark = rows.sparkSession
+    apart = rows.count() // POINTS + 1
+    chosen = rows.where(F.pmod(F.xxhash64("key", "digest"), F.lit(apart)) == 0).select("key", "digest").distinct()
+    points = sorted(((r.key, r.digest) for r in chosen.toLocalIterator()), key=lambda p: (p[0] is not None, p[0] or 0, p[1]))
+    shared = spark.sparkContext.broadcast(points)
+
+    def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(points) + 1, np.int64)
+        for batch in batches:
+            total += np.bincount(_below(shared.value, batch.column(0), batch.column(1)), batch.column(2).to_numpy(), len(total)).astype(np.int64)
+        cells = np.flatnonzero(total)
+        yield pa.record_batch({"cell": pa.array(cells.astype(np.int32)), "bytes": pa.array(total[cells])})
+
+    weights = rows.select("key", "digest", F.col("n").cast("long")).mapInArrow(weighed, "cell int, bytes long").groupBy("cell").agg(F.sum("bytes").alias("bytes"))
+    bytes_of = {r.cell: r.bytes for r in weights.toLocalIterator()}
+    part, held, parts = 0, 0, []
+    for cell in range(len(points) + 1):
+        more = bytes_of.get(cell, 0)
+        if held and held + more > range_bytes:
+            part, held = part + 1, 0
+        held += more
+        parts.append(part)
+    of = spark.sparkContext.broadcast(np.array(parts, np.int32))
+
+    def number(keys: pa.Array, digests: pa.Array) -> pa.Array:
+        return pa.array(of.value[_below(shared.value, keys, digests)])
+
+    return F.arrow_udf(number, "int"), part + 1
 
 
 def write(pages: DataFrame, root: str, key: str = "page_id", url: str = "url", payload: str = "html",
@@ -139,11 +168,11 @@ def write(pages: DataFrame, root: str, key: str = "page_id", url: str = "url", p
     refers = salted.join(some.join(shared.drop("copies"), ["digest", "n"]).select("digest", "n", "salt", "refers"), ["digest", "n", "salt"]) \
         .where(F.col("key") != F.col("refers")).select("key", "digest", "refers").distinct()
 
-    of, cell, parts = _ranges(narrow, range_bytes)
+    number, parts = _ranges(narrow, range_bytes)
     both = (
         refers.select("key", "digest", F.lit(0).alias("kind"), "refers", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"))
         .unionByName(rows.withColumns({"kind": F.lit(1), "refers": F.lit(None).cast("long")}))
-        .withColumn("cell", cell).join(F.broadcast(of), "cell")
+        .withColumn("part", number("key", "digest"))
         .repartitionById(parts, F.col("part"))
         .sortWithinPartitions("part", "key", "digest", "kind", "url")
         .select("part", "key", "digest", "kind", "refers", "url", "payload")

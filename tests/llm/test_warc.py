@@ -76,6 +76,18 @@ def test_equal_input_gives_equal_files(spark, pages, folder):
     assert a == files(folder + "b") and len(a) > 2
 
 
+def test_outlying_hot_and_null_keys_span_ranges(spark, pages, folder):
+    """One key far away, one that holds a third of the rows, and rows without a key."""
+    rows = [(i, "u", f"{i}" * 300) for i in range(100)] + [(1 << 60, "u", "far")] + [(7, "u", f"hot {i} " * 150) for i in range(100)] + [(None, "u", f"null {i} " * 150) for i in range(100)]
+    manifest = warc.write(pages(rows).repartition(6), folder, range_bytes=20_000)
+    parts = {r.file.split("-")[0]: r.records for r in manifest.collect()}
+    assert len(parts) >= 12 and max(parts.values()) <= 60
+    assert len(warc.read(spark, folder).collect()) == len(rows)
+    keys = [int(dict(x.split(": ", 1) for x in m.partition(b"\r\n\r\n")[0].decode().split("\r\n")[1:]).get("X-Key", -1))
+            for data in files(folder).values() for m in list(warc._members(data))[1:]]
+    assert keys == sorted(keys)
+
+
 def test_reader_refuses_other_files(spark, pages, folder):
     warc.write(pages(ROWS), folder)
     with open(f"{folder}/999999-00000.warc.gz", "wb") as stray:
