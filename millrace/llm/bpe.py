@@ -20,10 +20,12 @@ import xxhash
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.memory import returning
+
 MASK = (1 << 64) - 1
 STEP = 0x9E3779B97F4A7C15
 #: Pre-tokens of a generation; a task remembers two generations at most.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 #: Bytes of text of which a task holds ids and pieces before they become Arrow's.
 SLICE = 4 << 20
 #: Bits of a heap's entry that are the place, the rest are the rank.
@@ -187,6 +189,7 @@ def encoder(spark: SparkSession, ranks_path: str, pattern: str):
     """Column function: string -> ids, as the bytes of little-endian unsigned 32-bit integers."""
     shared = _shared(spark, ranks_path)
 
+    @returning
     def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         of = Encoder(*shared.value, pattern)
         for batch in texts:
@@ -199,6 +202,7 @@ def decoder(spark: SparkSession, ranks_path: str):
     """Column function: ids (bytes as from ``encoder``) -> the bytes of the text."""
     shared = spark.sparkContext.broadcast(pieces_of(read_ranks(ranks_path)))
 
+    @returning
     def decode(ids: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = np.array(shared.value, object)
         for batch in ids:
@@ -212,6 +216,7 @@ def round_trip(spark: SparkSession, ranks_path: str, pattern: str):
     worker, which then holds one vocabulary and a slice of a batch beside what it hands on."""
     shared = _shared(spark, ranks_path)
 
+    @returning
     def both(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         of = Encoder(*shared.value, pattern)
         pieces = np.array(pieces_of(of.rank), object)

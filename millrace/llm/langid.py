@@ -16,14 +16,17 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.memory import returning
+
 UNDETERMINED = "und"
 #: Length of the lists that are compared.
 RANKS = 300
+#: n-grams with counts that a task holds before it adds them up.
+HELD = 1 << 20
 #: Stands for a word's ends; no letter has this code.
 EDGE = 1
 
@@ -61,16 +64,38 @@ def profiles(labelled: DataFrame, text: str, lang: str, ranks: int = RANKS) -> d
     Tasks count on their own first.  What reaches the driver is ``ranks`` numbers for each
     language, so its size is bounded by the languages.
     """
+    @returning
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        held = 0
+
+        def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+            every, n = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(every, kind="stable")
+            every, n = every[order], n[order]
+            first = np.flatnonzero(np.r_[True, np.diff(every) != 0])
+            return every[first], np.add.reduceat(n, first)
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for of, parts in waiting.items():
+                gram, n = added(parts)
+                yield pa.record_batch({"lang": pa.array([of] * len(gram), pa.string()), "gram": pa.array(gram, pa.int64()), "n": pa.array(n, pa.int64())})
+
         for batch in batches:
-            by: dict[str, list] = {}
-            for of, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                by.setdefault(of, []).append(grams(t))
-            for of, parts in by.items():
-                gram, at = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
-                n = np.bincount(at, np.concatenate([c for _, c in parts]), len(gram)).astype(np.int64)
-                yield pa.record_batch({"lang": pa.array([of] * len(gram), pa.string()),
-                                       "gram": pa.array(gram, pa.int64()), "n": pa.array(n)})
+            for of, text in zip(batch.column(0), batch.column(1)):
+                gram, n = grams(text.as_py())
+                if not len(gram):
+                    continue
+                waiting.setdefault(of.as_py(), []).append((gram, n))
+                held += len(gram)
+                if held < HELD:
+                    continue
+                waiting = {of: [added(parts)] for of, parts in waiting.items()}
+                held = sum(len(parts[0][0]) for parts in waiting.values())
+                if held > HELD // 2:    # letters without end: hand on what there is
+                    yield from out()
+                    waiting, held = {}, 0
+        yield from out()
 
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = (
@@ -111,11 +136,13 @@ def predictor(of: dict[str, list[int]], ranks: int = RANKS):
         best = int(np.argmin(far))
         return langs[best], 1 - far[best] / (ranks * len(gram))
 
-    def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @returning
+    def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            yield pd.DataFrame([judge(t) for t in batch], columns=["lang", "score"])
+            found = [judge(t.as_py()) for t in batch]
+            yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names=["lang", "score"])
 
-    return F.pandas_udf(predict, "lang string, score double", F.PandasUDFType.SCALAR_ITER)
+    return F.arrow_udf(predict, "lang string, score double")
 
 
 def held_out(doc_id: str) -> Column:

@@ -18,13 +18,13 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
+from millrace.llm.memory import returning
 from millrace.scratch import keep
 
 SEED = 42
@@ -67,11 +67,12 @@ def fingerprint(text: str | None) -> int:
 
 def fingerprints(text: Column) -> Column:
     """Fingerprint as a signed 64-bit integer of the same bits."""
-    def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @returning
+    def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            yield pd.Series(np.array([fingerprint(t) for t in batch], np.uint64).view(np.int64))
+            yield pa.array(np.array([fingerprint(t.as_py()) for t in batch], np.uint64).view(np.int64))
 
-    return F.pandas_udf(of, "long", F.PandasUDFType.SCALAR_ITER)(text)
+    return F.arrow_udf(of, "long")(text)
 
 
 class BKTree:

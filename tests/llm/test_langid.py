@@ -73,3 +73,29 @@ def test_held_out_and_unlabelled_rows_teach_nothing(docs, spark):
     rows = [(kept, "zebra zebra", "zz"), (kept + 1, "word", None), (kept + 2, "alpha", "aa"), (None, "nul", "nn")]
     labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string").where(~langid.held_out("doc_id"))
     assert set(langid.profiles(labelled, "text", "lang")) <= {"aa", "nn"}
+
+
+def rank_list(text, ranks):
+    return [g for g, _ in sorted(((code(g), n) for g, n in plain(text).items()), key=lambda x: (-x[1], x[0]))][:ranks]
+
+
+def test_profiles_and_distances_against_plain_counting(spark, documents, monkeypatch):
+    """Lists, out-of-place distances and scores, with tasks that hold few n-grams at a time."""
+    monkeypatch.setattr(langid, "HELD", 500)
+    rows = [(r.doc_id, r.text, r.lang) for r in documents.where("n_chars < 2000").collect()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    total = {}
+    for i, t, lang in rows:
+        if zlib.crc32(str(i).encode()) % 4 != 2 and lang and t:
+            total.setdefault(lang, Counter()).update(Counter({code(g): n for g, n in plain(t).items()}))
+    lists = {of: [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))][:langid.RANKS] for of, c in total.items()}
+    assert langid.profiles(docs.where(~langid.held_out("doc_id")), "text", "lang") == lists
+    got = {r.doc_id: r.x for r in docs.select("doc_id", langid.learned(docs)("text").alias("x")).collect()}
+    for i, t, _ in rows:
+        own = rank_list(t or "", langid.RANKS)
+        if not own:
+            assert tuple(got[i]) == ("und", 0.0)
+            continue
+        far = {of: sum(abs(known.index(g) - k) if g in known else langid.RANKS for k, g in enumerate(own)) for of, known in lists.items()}
+        best = min(sorted(far), key=far.get)
+        assert got[i].lang == best and abs(got[i].score - (1 - far[best] / (langid.RANKS * len(own)))) < 1e-12
