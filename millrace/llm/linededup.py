@@ -36,7 +36,7 @@ SHARE = 0.1
 SIMILARITY = 0.75
 FIELD = "<*>"
 #: Size of the leaf filter, and of one of the maps that it is put together from.
-FILTER_BITS = 24
+FILTER_BITS = 22
 MAP_BYTES = 4096
 BLANKS = "[ \\t\\r\\f\\x0B]+"
 
@@ -73,7 +73,7 @@ def _lines() -> Column:
 def _crowded(docs: DataFrame) -> bytes:
     """Bitmap of the slots of leaves that hold as many lines as it takes to recur.
 
-    It has ``FILTER_BITS`` hash values, so 2 MB whatever the input; that is what reaches the
+    It has ``FILTER_BITS`` hash values, so half a MB whatever the input; that is what reaches the
     driver and the tasks.  It lets some lines of other leaves through, and loses none.
     """
     leaves = docs.select(F.explode(_lines()).alias("x")).groupBy("x.n", "x.lead").agg(F.count("*").alias("all"), F.first("x.slot").alias("slot"))
