@@ -76,21 +76,27 @@ def count_vectorizer(
     )
 
 
-def word_vectors(
-    df: DataFrame, terms: str, out: str, size: int = 2, min_count: int = 0,
-    seed: int = 7, parts: int | None = None,
-) -> Word2VecModel:
+def word_parts(df: DataFrame) -> int:
+    """In how many pieces to train word vectors: one per ``PART_ROWS`` rows."""
+    return df.count() // PART_ROWS + 1
+
+
+def word_learner(terms: str, out: str, size: int = 2, min_count: int = 0, seed: int = 7, parts: int = 1) -> Word2Vec:
     """Word embeddings; a row's vector is the mean of its words.
 
-    The library trains on one partition by default, i.e. all text in one task; here on one
-    per ``PART_ROWS`` rows, a number that depends on the data and not on the cluster.  The
-    model, and so the vocabulary, is the library's and has to fit on one machine; a larger
+    The model, and so the vocabulary, is the library's and has to fit on one machine; a larger
     ``min_count`` makes it smaller.
     """
-    return Word2Vec(
-        vectorSize=size, minCount=min_count, inputCol=terms, outputCol=out, seed=seed,
-        numPartitions=parts or df.count() // PART_ROWS + 1,
-    ).fit(df)
+    return Word2Vec(vectorSize=size, minCount=min_count, inputCol=terms, outputCol=out, seed=seed, numPartitions=parts)
+
+
+def word_vectors(
+    df: DataFrame, terms: str, out: str, size: int = 2, min_count: int = 0,
+    seed: int = 7, parts: int | None = None,
+) -> Word2VecModel:
+    """Fitted word embeddings.  The library trains on one partition by default, i.e. all text in one
+    task; here on as many as the data asks for, a number that does not depend on the cluster."""
+    return word_learner(terms, out, size, min_count, seed, parts or word_parts(df)).fit(df)
 
 
 # -- categories and numbers ----------------------------------------------

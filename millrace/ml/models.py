@@ -36,6 +36,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.ml.top_items import best_by_product
 from millrace.operators.charts import hash_below
 from millrace.scratch import keep, spread
 
@@ -222,13 +223,18 @@ def class_evaluator(label: str = "label") -> MulticlassClassificationEvaluator:
 # -- recommendations ------------------------------------------------------
 
 
-def top_items(model: ALSModel, n: int = 5) -> DataFrame:
-    """Rows (user_id, item_id, rating): the best ``n`` items of every user."""
-    per_user = model.recommendForAllUsers(n)
-    return per_user.select("user_id", F.inline("recommendations"))
+def _factors(frame: DataFrame) -> DataFrame:
+    return frame.select("id", F.col("features").alias("vector"))
 
 
-def top_users(model: ALSModel, n: int = 5) -> DataFrame:
-    """Rows (item_id, user_id, rating): the best ``n`` users of every item."""
-    per_item = model.recommendForAllItems(n)
-    return per_item.select("item_id", F.inline("recommendations"))
+def top_items(model: ALSModel, n: int = 5, **blocks: int) -> DataFrame:
+    """Rows (user_id, rank, item_id, rating, blocks): the best ``n`` items of every user, and how many blocks
+    of items it took to know them."""
+    best = best_by_product(_factors(model.userFactors), _factors(model.itemFactors), n, **blocks)
+    return best.select(F.col("user").cast("int").alias("user_id"), "rank", F.col("item").cast("int").alias("item_id"), F.col("score").alias("rating"), "blocks")
+
+
+def top_users(model: ALSModel, n: int = 5, **blocks: int) -> DataFrame:
+    """Rows (item_id, rank, user_id, rating, blocks): the best ``n`` users of every item."""
+    best = best_by_product(_factors(model.itemFactors), _factors(model.userFactors), n, **blocks)
+    return best.select(F.col("user").cast("int").alias("item_id"), "rank", F.col("item").cast("int").alias("user_id"), F.col("score").alias("rating"), "blocks")

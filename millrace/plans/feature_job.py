@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from millrace.functions.parsing import to_time, to_type, zero_for_null
 from millrace.ml import features, models
+from millrace.ml.labels import LabelNumbers
 from millrace.operators import ddl
 from millrace.operators.aggregates import dedupe
 from millrace.sources import sinks
@@ -32,37 +34,41 @@ def wrangle(
     return zero_for_null(typed.drop(*[t for n, t in floats.items() if t != n]))
 
 
-def build_features(
-    rows: DataFrame, description: str = "description", country: str = "country_code",
-    quantity: str = "quantity", price: str = "unit_price", time: str = "invoice_time",
-    price_threshold: float = 10.0,
-) -> DataFrame:
-    """Text, category, price and month columns to ``features``, ``scaled_features`` and
-    ``selected_features``.
+def feature_pipeline(
+    description: str = "description", country: str = "country_code", quantity: str = "quantity",
+    price: str = "unit_price", time: str = "invoice_time", price_threshold: float = 10.0, parts: int = 1,
+) -> Pipeline:
+    """All stages from text, category, price and month columns to ``features``,
+    ``scaled_features`` and ``selected_features``, as one estimator."""
+    return Pipeline(stages=[
+        features.tokenizer(description, "desc_terms"),
+        features.stop_words_remover("desc_terms", "desc_nostops"),
+        SQLTransformer(statement=f"SELECT *, month(`{time}`) AS invoice_month FROM __THIS__"),
+        features.word_learner("desc_nostops", "desc_vec", parts=parts),
+        LabelNumbers(inputs=[country, quantity, "invoice_month"], outputs=["country_indexed", "quantity_indexed", "month_indexed"]),
+        features.one_hot("country_indexed", "country_ohe"),
+        features.binarizer(price, "binarized_price", price_threshold),
+        features.assembler(["desc_vec", "country_ohe", "binarized_price", "month_indexed", "quantity_indexed"], "features"),
+        features.scaler("features", "scaled_features"),
+        features.slicer("scaled_features", "selected_features", [1]),
+    ])
+
+
+def fit_features(rows: DataFrame, **columns) -> PipelineModel:
+    """The fitted job; it can be saved, loaded elsewhere and applied to new rows, of which those with
+    a label that it has not seen drop out.
 
-    Fitted stages need several passes; the rows are written once so that each
-    pass reads columns from disk and not the joins that made them.
+    Three stages look at the data, each at a few columns: the words, the labels of all
+    categories at once, the deviations.  ``rows`` should be stored, as each is a pass over them.
     """
-    base = models.prepared(
-        features.stop_words_remover("desc_terms", "desc_nostops")
-        .transform(features.tokenizer(description, "desc_terms").transform(rows))
-        .withColumn("invoice_month", F.month(time))
-    )
-    vectors = features.word_vectors(base, "desc_nostops", "desc_vec")
-    countries = features.string_index(base, country, "country_indexed")
-    quantities = features.string_index(base, quantity, "quantity_indexed")
-    months = features.string_index(base, "invoice_month", "month_indexed")
-    out = base
-    for model in (vectors, countries, quantities, months):
-        out = model.transform(out)
-    out = features.one_hot("country_indexed", "country_ohe").fit(out).transform(out)
-    out = features.binarizer(price, "binarized_price", price_threshold).transform(out)
-    out = features.assembler(
-        ["desc_vec", "country_ohe", "binarized_price", "month_indexed", "quantity_indexed"],
-        "features",
-    ).transform(out)
-    out = features.scaler("features", "scaled_features").fit(out).transform(out)
-    return features.slicer("scaled_features", "selected_features", [1]).transform(out)
+    return feature_pipeline(**columns, parts=features.word_parts(rows)).fit(rows)
+
+
+def build_features(rows: DataFrame, **columns) -> DataFrame:
+    """``rows`` with their features.  They are written once, so that each pass reads columns from
+    disk and not the joins that made them."""
+    base = models.prepared(rows)
+    return fit_features(base, **columns).transform(base)
 
 
 def save_features(frame: DataFrame, database: str, name: str, location: str) -> DataFrame:

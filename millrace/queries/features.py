@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from millrace import scratch
-from millrace.ml import features
+from millrace.ml import features, models, scoring
 from millrace.plans import feature_job
 from millrace.queries.registry import query, table, texts
 
@@ -287,6 +287,35 @@ def feature_pipeline(spark, sf_dir):
     )
 
 
+_TRAIN = "l_orderkey % 3 > 0"
+
+
+@query("feature_job_model", f"""
+    WITH r AS (
+      SELECT l_orderkey, l_partkey, n_name AS country, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS quantity,
+             CAST(month(l_shipdate) AS VARCHAR) AS month, CAST(round(l_extendedprice / l_quantity / 100, 2) > 10 AS INTEGER)::DOUBLE AS binarized_price
+      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey),
+    t AS (SELECT * FROM r WHERE {_TRAIN}),
+    c AS (SELECT country, CAST(row_number() OVER (ORDER BY count(*) DESC, country) - 1 AS DOUBLE) AS country_indexed FROM t GROUP BY country),
+    q AS (SELECT quantity, CAST(row_number() OVER (ORDER BY count(*) DESC, quantity) - 1 AS DOUBLE) AS quantity_indexed FROM t GROUP BY quantity),
+    m AS (SELECT month, CAST(row_number() OVER (ORDER BY count(*) DESC, month) - 1 AS DOUBLE) AS month_indexed FROM t GROUP BY month),
+    s AS (SELECT stddev_samp(month_indexed) AS d FROM t JOIN m USING (month) JOIN c USING (country) JOIN q USING (quantity))
+    SELECT l_orderkey AS invoice_num, l_partkey AS stock_code, country_indexed, quantity_indexed, binarized_price, month_indexed,
+           round(month_indexed / d, 6) AS scaled_month, (SELECT count(*) FROM c) + 4 AS width
+    FROM r JOIN c USING (country) JOIN q USING (quantity) JOIN m USING (month), s WHERE NOT {_TRAIN}""")
+def feature_job_model(spark, sf_dir):
+    """The feature job fitted on two thirds of the orders, saved, loaded, and applied to the others."""
+    rows = models.prepared(wrangled_rows(spark, sf_dir))
+    model = feature_job.fit_features(rows.where("invoice_num % 3 > 0"))
+    path = scratch.new_path(spark, "feature-job")
+    scoring.save_model(model, path)
+    out = scoring.load_model(path).transform(rows.where("invoice_num % 3 = 0"))
+    scaled = features.vector_to_array("scaled_features")
+    return out.select(
+        "invoice_num", "stock_code", "country_indexed", "quantity_indexed", "binarized_price", "month_indexed",
+        F.round(F.get(scaled, F.size(scaled) - 2), 6).alias("scaled_month"), F.size(scaled).cast("bigint").alias("width"))
+
+
 @query("feature_table", """
     SELECT l_orderkey, l_partkey, CAST(month(l_shipdate) AS INTEGER) AS month,
            CASE WHEN l_quantity > 10 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS high

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace import scratch
 from millrace.ml import features, models, scoring
+from millrace.ml.forest_search import GRID, halving_search
+from millrace.ml.top_items import ITEM_BLOCK as BLOCK
 from millrace.queries.registry import query, table, texts
 from millrace.queries.features import STOP_WORDS
 
@@ -327,20 +330,25 @@ def ml_als(spark, sf_dir):
 
 
 @query("ml_recommend", _PAIRS + """
-    SELECT 'user' AS of, count(DISTINCT u) * 5 AS n, true AS known, true AS distinct_five FROM r
-    UNION ALL SELECT 'item', count(DISTINCT i) * 5, true, true FROM r""")
+    SELECT 'user' AS of, count(DISTINCT u) * 5 AS n, true AS known, true AS distinct_five, true AS falling, true AS bounded FROM r
+    UNION ALL SELECT 'item', count(DISTINCT i) * 5, true, true, true, true FROM r""")
 def ml_recommend(spark, sf_dir):
-    """Five items a user and five users an item, all of them known, the best first."""
+    """Five items a user and five users an item, all of them known, the best first, and the rest no
+    better than the fifth: no more blocks were met than there are."""
     ratings = models.prepared(_ratings(spark, sf_dir))
     model = models.factors().fit(ratings)
 
     def laws(best, of, own, other):
-        known = best.join(ratings.select(F.col(other)).distinct().withColumn("known", F.lit(True)), other, "left")
-        per = known.groupBy(own).agg(
+        others = ratings.select(other).distinct()
+        blocks = others.count() // BLOCK + 1
+        known = best.join(others.withColumn("known", F.lit(True)), other, "left")
+        before = F.lag("rating").over(Window.partitionBy(own).orderBy("rank"))
+        per = known.withColumn("fell", F.coalesce(before >= F.col("rating"), F.lit(True))).groupBy(own).agg(
             F.count("*").alias("n"), F.every(F.coalesce("known", F.lit(False))).alias("known"),
-            F.count_distinct(other).alias("distinct"))
-        return per.agg(F.sum("n").alias("n"), F.every("known").alias("known"),
-                       F.every(F.col("distinct") == 5).alias("distinct_five")).select(F.lit(of).alias("of"), "n", "known", "distinct_five")
+            F.count_distinct(other).alias("distinct"), F.every("fell").alias("falling"), F.max("blocks").alias("blocks"))
+        return per.agg(F.sum("n").alias("n"), F.every("known").alias("known"), F.every(F.col("distinct") == 5).alias("distinct_five"),
+                       F.every("falling").alias("falling"), (F.max("blocks") <= blocks).alias("bounded")).select(
+            F.lit(of).alias("of"), "n", "known", "distinct_five", "falling", "bounded")
 
     return laws(models.top_items(model), "user", "user_id", "item_id").union(
         laws(models.top_users(model), "item", "item_id", "user_id"))
@@ -405,16 +413,32 @@ def ml_cv(spark, sf_dir):
         "explains_most": models.regression_metrics(predicted)["r2"] > 0.5})
 
 
-@query("ml_forest_cv", """
-    SELECT count(*) * 16 // count(*) AS settings, true AS in_range, true AS good FROM lineitem""")
+_GRID_SQL = ", ".join(
+    f"(SELECT unnest({[str(v) for v in values]}) AS {name})" for name, values in GRID.items())
+
+
+@query("ml_forest_cv", f"""
+    WITH RECURSIVE grid AS (SELECT count(*) AS n FROM {_GRID_SQL}),
+    rungs(rung, settings) AS (
+      SELECT 0, n FROM grid UNION ALL SELECT rung + 1, greatest(2, settings // 3) FROM rungs WHERE settings > 2),
+    r AS (SELECT count(*) AS n, sum(CAST({_WORTH} > 30000 AS INTEGER)) / count(*) AS high FROM lineitem)
+    SELECT rung, settings, CASE WHEN settings > 2 THEN least(n, CAST(1000 * 3 ** rung AS BIGINT)) ELSE n END AS rows,
+           true AS shares, true AS learns
+    FROM rungs, r""")
 def ml_forest_cv(spark, sf_dir):
-    train = models.prepared(_labelled(spark, sf_dir))
-    grid = {"maxDepth": [3, 5], "numTrees": [5, 10], "impurity": ["gini", "entropy"],
-            "minInstancesPerNode": [1, 3]}
-    learner = models.forest_classifier()
-    tried = models.grid_search(learner, models.class_evaluator(), train, grid)[1]
-    return tried.agg(F.count_distinct("setting").alias("settings"), F.every(F.col("metric").between(0, 1)).alias("in_range"),
-                     (F.max("metric") > 0.8).alias("good"))
+    """The whole grid on a thousand rows, a third of it on three times as many, and so on; the last two on
+    all rows.  How many settings each rung had, whether the best is right far more often than the
+    commoner label is."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "double(l_linenumber) AS number",
+        "double(month(l_shipdate)) AS month", f"double({_WORTH} > 30000) AS label")
+    vectors = features.assembler(["l_quantity", "l_discount", "l_tax", "number", "month"], "features").transform(rows)
+    train = models.prepared(vectors.select("l_orderkey", "l_partkey", "l_linenumber", "features", "label"))
+    found = halving_search(train, ["l_orderkey", "l_partkey", "l_linenumber"])
+    high = train.agg(F.avg("label")).first()[0]
+    return found.tried.groupBy("rung").agg(
+        F.count_distinct("setting").alias("settings"), F.max("rows").alias("rows"), F.every(F.col("metric").between(0, 1)).alias("shares"),
+        (F.max("metric") > max(high, 1 - high) + 0.1).alias("learns"))
 
 
 @query("ml_batch_score", """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.ml import scoring
+from millrace.ml import group_models, scoring
 from millrace.queries.registry import query, table
 
 
@@ -36,6 +36,24 @@ def udf_group_fit(spark, sf_dir):
     )
 
 
+_SIDE = "CASE WHEN l_orderkey % 10 > 0 THEN 'most' ELSE l_returnflag END"
+
+
+@query("udf_group_stream", f"""
+    SELECT {_SIDE} AS side, round(regr_slope(l_extendedprice, l_quantity), 3) AS slope,
+           round(regr_intercept(l_extendedprice, l_quantity), 1) AS intercept,
+           round(regr_r2(l_extendedprice, l_quantity), 6) AS r2, count(*) AS n
+    FROM lineitem GROUP BY ALL""")
+def udf_group_stream(spark, sf_dir):
+    """A model per group by Python functions that see a group as a stream; one group has nine
+    tenths of the rows."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr(f"{_SIDE} AS side", "l_quantity", "l_extendedprice")
+    fits = group_models.fit_streamed(lines, ["side"], ["l_quantity"], "l_extendedprice")
+    return fits.select(
+        "side", F.round(F.col("coefficients")[0], 3).alias("slope"), F.round("intercept", 1).alias("intercept"),
+        F.round("r2", 6).alias("r2"), "n")
+
+
 @query("pandas_api_describe", """
     SELECT 'count' AS stat, CAST(count(value) AS DOUBLE) AS value, CAST(count(user_id) AS DOUBLE) AS user_id FROM events
     UNION ALL SELECT 'mean', round(avg(value), 4), round(avg(user_id), 4) FROM events

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 
 from millrace import scratch
-from millrace.ml import features, models, scoring
+from millrace.ml import features, forest_search, group_models, models, scoring, top_items
+from millrace.ml.labels import LabelNumbers
 from millrace.plans import feature_job
 
 
@@ -205,3 +206,151 @@ def test_pandas_style_api(spark):
     assert len(frame.head(1)) == 1
     assert frame.isnull().sum().to_pandas().to_dict() == {"a": 0, "b": 1}
     assert frame.describe().to_pandas().loc["mean", "a"] == 2.0
+
+
+def _same(a, b):
+    return rows(a.select(*[features.vector_to_array(c).alias(c) if c in ("desc_vec", "country_ohe", "features", "scaled_features", "selected_features")
+                           else c for c in a.columns])) == rows(b.select(*[
+        features.vector_to_array(c).alias(c) if c in ("desc_vec", "country_ohe", "features", "scaled_features", "selected_features") else c for c in b.columns]))
+
+
+RETAIL = "id int, description string, country_code string, quantity int, unit_price double, invoice_time timestamp"
+
+
+def _retail(spark, n, country=("DE", "FR", "DE", "IT")):
+    import datetime as dt
+
+    data = [(i, f"red hat {i % 3}", country[i % len(country)], i % 5, float(i % 20), dt.datetime(2024, 1 + i % 12, 3)) for i in range(n)]
+    return spark.createDataFrame(data, RETAIL)
+
+
+def test_feature_job_is_the_same_after_loading(spark, folder):
+    model = feature_job.fit_features(_retail(spark, 60))
+    scoring.save_model(model, folder)
+    again = scoring.load_model(folder)
+    new = _retail(spark, 30, ("IT", "FR", "XX", None))
+    first, second = model.transform(new), again.transform(new)
+    assert first.count() == 16 and _same(first, second)
+    labels = {(r["column"], r["label"]): r["number"] for r in again.stages[4].labels.collect()}
+    assert labels[0, "DE"] == 0 and labels[0, "FR"] == 1 and labels[0, "IT"] == 2
+
+
+def test_feature_job_loads_in_another_process(spark, folder):
+    import pathlib
+    import subprocess
+    import sys
+
+    scoring.save_model(feature_job.fit_features(_retail(spark, 60)), folder)
+    new = _retail(spark, 20)
+    new.write.parquet(f"{folder}-new")
+    code = (
+        "import sys; from millrace.session import build_session; from millrace.ml import scoring\n"
+        "s = build_session('other', 'local[2]', 2, spark__ui__enabled='false')\n"
+        "scoring.load_model(sys.argv[1]).transform(s.read.parquet(sys.argv[1] + '-new')).write.parquet(sys.argv[1] + '-out')\n")
+    subprocess.run([sys.executable, "-c", code, folder], check=True, timeout=300, cwd=pathlib.Path(__file__).parents[1], capture_output=True)
+    assert _same(spark.read.parquet(f"{folder}-out"), scoring.load_model(folder).transform(new))
+
+
+def test_label_numbers_of_several_columns(spark):
+    df = spark.createDataFrame([("b", 7), ("b", 8), ("a", 7), ("c", None), (None, 7)], "k string, n int")
+    model = LabelNumbers(inputs=["k", "n"], outputs=["ki", "ni"]).fit(df)
+    assert rows(model.transform(df).select("k", "n", "ki", "ni")) == [("a", 7, 1.0, 0.0), ("b", 7, 0.0, 0.0), ("b", 8, 0.0, 1.0)]
+    assert model.transform(df).schema["ki"].metadata["ml_attr"]["num_vals"] == 3
+    empty = LabelNumbers(inputs=["k", "n"], outputs=["ki", "ni"]).fit(df.limit(0))
+    assert empty.transform(df).count() == 0
+
+
+def _points(spark, n=600):
+    df = spark.range(n).select(
+        "id", (F.col("id") % 37).cast("double").alias("a"), (F.col("id") % 11).cast("double").alias("b"),
+        F.expr("double(id % 37 > 18 AND id % 11 > 3)").alias("label"))
+    return models.prepared(features.assembler(["a", "b"], "features").transform(df).select("id", "features", "label"))
+
+
+def test_survivors_have_the_scores_of_plain_fits(spark):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    train = _points(spark)
+    grid = {"maxDepth": [1, 6], "featureSubsetStrategy": ["1", "2"], "minInstancesPerNode": [1], "bootstrap": [True],
+            "impurity": ["gini", "entropy"], "numTrees": [2, 6]}
+    found = forest_search.halving_search(train, ["id"], grid, folds=2, rows=200, growth=4, finalists=2)
+    tried = found.tried.collect()
+    assert [sum(r.rung == i for r in tried) for i in range(3)] == [16, 4, 2] and {r.rows for r in tried} == {200, 600}
+    last = [r for r in tried if r.rung == 2]
+    best = max(last, key=lambda r: r.metric)
+    assert f"maxDepth={found.best.getMaxDepth()}," in best.setting and f"impurity={found.best.getImpurity()}," in best.setting
+    folds = train.withColumn("f", F.pmod(F.xxhash64("id"), F.lit(2)))
+    for r in last:
+        setting = dict(p.split("=") for p in r.setting.split(", "))
+        learner = RandomForestClassifier(maxDepth=int(setting["maxDepth"]), featureSubsetStrategy=setting["featureSubsetStrategy"], minInstancesPerNode=1, bootstrap=True,
+                                         impurity=setting["impurity"], numTrees=int(setting["numTrees"]), seed=models.SEED)
+        plain = [models.class_metrics(learner.fit(folds.where(f"f <> {i}")).transform(folds.where(f"f = {i}")))["accuracy"] for i in range(2)]
+        assert abs(r.metric - sum(plain) / 2) < 1e-12
+
+
+def test_grid_has_every_setting_that_the_learner_can_express():
+    settings = forest_search.settings_of(forest_search.GRID)
+    assert len({forest_search.named(s) for s in settings}) == len(settings) == 2 * 3 * 3 * 2 * 2 * 4
+
+
+@pytest.mark.parametrize("impurity", ["gini", "entropy"])
+def test_a_grown_tree_separates_what_bins_can(impurity):
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 8, (400, 3))
+    y = ((x[:, 0] > 3) ^ (x[:, 1] > 5)).astype(int)
+    tree = forest_search.grown(x, y, np.ones(400), 2, 30, 3, 1, impurity, rng, x)
+    assert (tree.argmax(axis=1) == y).all() and np.allclose(tree.sum(axis=1), 1)
+    stump = forest_search.grown(x, y, np.ones(400), 2, 0, 3, 1, impurity, rng, x)
+    assert np.allclose(stump[:, 1], y.mean())
+    large = forest_search.grown(x, y, np.ones(400), 2, 30, 3, 300, impurity, rng, x)
+    assert np.allclose(large[:, 1], y.mean())  # no split leaves 300 rows on both sides
+
+
+@pytest.mark.parametrize("item_block,user_block", [(4, 1000), (16, 7), (500, 3)])
+def test_best_by_product_equals_all_pairs(spark, item_block, user_block):
+    rng = np.random.default_rng(2)
+    items = [(i, (rng.standard_normal(4) * rng.pareto(2)).tolist()) for i in range(90)] + [(90 + i, [0.5, 0.5, 0.0, 0.0]) for i in range(9)] + [(200, [0.0] * 4)]
+    users = [(i, rng.standard_normal(4).tolist()) for i in range(60)] + [(70, [1.0, 1.0, 0.0, 0.0]), (71, [0.0] * 4), (72, None)]
+    frames = [spark.createDataFrame(x, "id long, vector array<double>") for x in (users, items)]
+    got = top_items.best_by_product(*frames, 5, item_block, user_block).collect()
+    for u, v in users[:61]:
+        scores = sorted(((float(np.dot(v, w)), i) for i, w in items), key=lambda x: (-x[0], x[1]))[:5]
+        own = sorted((r["rank"], r["item"], r["score"]) for r in got if r["user"] == u)
+        assert [r[0] for r in own] == [1, 2, 3, 4, 5]
+        assert np.allclose([r[2] for r in own], [s for s, _ in scores])
+        assert {r[1] for r in own} == {i for _, i in scores}
+    assert {r["user"] for r in got} == {u for u, _ in users[:61]}
+    if item_block == 16:    # the long tail of items is met by few
+        assert sum(r["blocks"] for r in got) < 0.6 * len(got) * 7
+    assert top_items.best_by_product(frames[0], frames[1].limit(0), 5).count() == 0
+    assert top_items.best_by_product(frames[0].limit(0), frames[1], 5).count() == 0
+    few = top_items.best_by_product(frames[0], frames[1].where("id < 3"), 5, 2, 9)
+    assert few.groupBy("user").count().where("count = 3").count() == 61
+
+
+def test_top_items_agree_with_the_library(spark):
+    data = [(u, i, float((u * 7 + i * 3) % 11)) for u in range(40) for i in range(60) if (u * i) % 3]
+    model = models.factors().fit(spark.createDataFrame(data, "user_id int, item_id int, rating double"))
+    want = {(r.user_id, n): r.recommendations[n].rating for r in model.recommendForAllUsers(5).collect() for n in range(5)}
+    got = {(r.user_id, r["rank"] - 1): r.rating for r in models.top_items(model, item_block=8, user_block=16).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-4 for k in want)
+
+
+def test_streamed_groups_fit_like_closed_form(spark):
+    rng = np.random.default_rng(4)
+    n = 5000
+    data = [(None if i % 50 == 0 else "big" if i % 10 else f"g{i % 3}", float(a), float(b), float(3 * a - 2 * b + 7 + e))
+            for i, (a, b, e) in enumerate(zip(rng.standard_normal(n) + 1000, rng.random(n), rng.standard_normal(n)))]
+    data += [("one", 2.0, 1.0, 5.0), ("big", None, 1.0, 1.0), ("none", None, 1.0, 1.0)]
+    df = spark.createDataFrame(data, "k string, a double, b double, y double").repartition(4)
+    got = {r["k"]: r for r in group_models.fit_streamed(df, ["k"], ["a", "b"], "y", salts=3).collect()}
+    assert got.keys() == {None, "big", "g0", "g1", "g2", "one"}
+    for k, r in got.items():
+        own = np.array([x[1:] for x in data if x[0] == k and x[1] is not None])
+        assert r["n"] == len(own)
+        if k == "one":
+            assert r["r2"] is None and abs(r["intercept"] + 2 * r["coefficients"][0] + r["coefficients"][1] - 5) < 1e-9
+            continue
+        w = np.linalg.lstsq(np.c_[np.ones(len(own)), own[:, :2]], own[:, 2], rcond=None)[0]
+        assert np.allclose([r["intercept"], *r["coefficients"]], w, rtol=1e-8)
+    assert group_models.fit_streamed(df.limit(0), ["k"], ["a"], "y").count() == 0

@@ -77,6 +77,11 @@ def test_nothing_collects_whole_frames():
         ("ml/features.py", "collect"),                  # vocabulary: limited to its size
         ("operators/versioned.py", "toLocalIterator"),  # names of segments
         ("operators/versioned.py", "collect"),          # folders of a commit
+        ("operators/keyed.py", "toLocalIterator"),      # folders that a change has emptied
+        ("ml/top_items.py", "collect"),                 # steps of norms, a fixed number
+        ("ml/labels.py", "collect"),                    # a number for each indexed column
+        ("ml/forest_search.py", "collect"),             # a score for each setting of a grid
+        ("ml/forest_search.py", "toPandas"),            # a sample whose size is a parameter
         ("queries/learning.py", "collect"),             # points of a curve, terms of topics
     }
     found = set()
@@ -93,7 +98,7 @@ def test_salting_finds_hot_keys_without_a_shuffle_of_all_keys(spark):
     from millrace.operators.joins import hot_keys
 
     left = spark.range(1000).selectExpr("IF(id < 600, 0, id) AS k")
-    assert [r["k"] for r in hot_keys(left, ["k"], 0.05).collect()] == [0]
+    assert hot_keys(left, F.col("k").cast("string"), 0.05) == ["0"]
     sketch = left.agg(F.expr("approx_top_k(xxhash64(k), 40, 800)"))
     assert "hashpartitioning" not in plan(sketch)
 
