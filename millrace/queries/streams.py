@@ -11,6 +11,7 @@ from millrace.plans.multi_hop import HopPaths, run_hops
 from millrace.queries.registry import query, table
 from millrace.sources import files, sinks, topics
 from millrace.streaming import runs, tables
+from millrace.streaming.changes import apply_changes
 from millrace.streaming.windows import naive_times, sliding_activity
 
 _EVENTS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
@@ -107,12 +108,13 @@ def stream_sliding_append(spark, sf_dir):
 @query("stream_memory_complete", """
     SELECT event_type, count(*) AS n, max(ts) AS last_time FROM events GROUP BY event_type""")
 def stream_memory_complete(spark, sf_dir):
+    """Totals of the whole stream, read from its state."""
     totals = _timed(_events(spark, sf_dir)).groupBy("event_type").agg(
         F.count("*").alias("n"), F.max("ts").alias("last_time")
     )
-    name = scratch.new_name("totals")
-    runs.to_memory(totals, name)
-    return naive_times(spark.sql(f"SELECT * FROM {name}"), "last_time")
+    checkpoint = runs.new_checkpoint(totals, "totals")
+    runs.to_state(totals, checkpoint)
+    return naive_times(runs.state_rows(spark, checkpoint, ["n", "last_time"]), "last_time")
 
 
 _MINUTE = "date_trunc('minute', ts)"
@@ -164,3 +166,25 @@ def stream_upsert(spark, sf_dir):
         stream, target, ["user_id"], ["ts", "event_id"], runs.new_checkpoint(stream)
     )
     return target.read()
+
+
+@query("stream_late_changes", """
+    SELECT user_id, event_id, ts, event_type, value FROM events WHERE event_id % 10 > 0
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+    UNION ALL
+    SELECT user_id, event_id, ts, event_type, value FROM events WHERE event_id % 10 = 0 AND user_id NOT IN (
+      SELECT user_id FROM events WHERE event_id % 10 > 0)
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1""")
+def stream_late_changes(spark, sf_dir):
+    """Changes in four batches that know no order of time, into a table of older rows."""
+    columns = ["user_id", "event_id", "ts", "event_type", "value"]
+    events = table(spark, sf_dir, "events").select(*columns)
+    target = VersionedTable(spark, scratch.new_path(spark, "vt"), keys=["user_id"])
+    target.create(dedupe(events.where("event_id % 10 = 0"), ["user_id"], ["ts", "event_id"]))
+    changes = events.where("event_id % 10 > 0")
+    arriving = scratch.new_path(spark, "changes")
+    for i in (2, 0, 3, 1):
+        changes.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == i).coalesce(1).write.mode("append").parquet(arriving)
+    stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+    apply_changes(stream, target, ["user_id"], ["ts", "event_id"], runs.new_checkpoint(stream))
+    return target.read()

@@ -3,9 +3,11 @@ inside the table it writes."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
@@ -66,5 +68,32 @@ def to_memory(stream: DataFrame, name: str, mode: str = "complete", once: bool =
     return _start(_triggered(writer, once, None), wait=once)
 
 
+def to_state(stream: DataFrame, checkpoint: str, once: bool = True, every: str | None = None) -> StreamingQuery:
+    """Run an aggregation for its state alone: the result is the state, and ``state_rows`` reads
+    it.  A trigger touches the groups that changed and sends nothing anywhere, however many
+    groups there are."""
+    writer = stream.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint)
+    return _start(_triggered(writer, once, every), wait=once)
+
+
+def state_rows(spark: SparkSession, checkpoint: str, values: Sequence[str], batch: int | None = None) -> DataFrame:
+    """All groups of a stream's aggregation as a table, as of its last batch or of ``batch``; each task reads
+    one partition of the state.
+
+    ``values`` names what the state holds of each group, in the order of the aggregates: one column for a
+    count, sum, minimum or maximum, two (sum, count) for an average.
+    """
+    reader = spark.read.format("statestore")
+    if batch is not None:
+        reader = reader.option("batchId", batch)
+    state = reader.load(checkpoint)
+    held = state.schema["value"].dataType.fields
+    if len(held) != len(values):
+        raise ValueError(f"the state holds {len(held)} columns: {', '.join(f.name for f in held)}")
+    # aggregates of one kind share a name, so names go by position
+    named = T.StructType([T.StructField(n, f.dataType) for n, f in zip(values, held)])
+    return state.select("key.*", F.col("value").cast(named).alias("value")).select(*[f"`{k.name}`" for k in state.schema["key"].dataType.fields], "value.*")
+
+
 def new_checkpoint(stream: DataFrame, label: str = "stream") -> str:
     return scratch.new_path(stream.sparkSession, f"{label}-checkpoint")

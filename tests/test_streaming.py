@@ -13,6 +13,7 @@ from millrace.operators.versioned import VersionedTable
 from millrace.plans.multi_hop import HopPaths, run_hops
 from millrace.sources import files
 from millrace.streaming import runs, tables
+from millrace.streaming.changes import apply_changes
 from millrace.streaming.windows import sliding_activity
 
 SCHEMA = "id int, at timestamp, kind string"
@@ -172,3 +173,68 @@ def test_hops_keep_bad_times_out_of_the_windows(spark, folder):
     got = run_hops(spark, raw, paths, "time", "kind", size="2 minutes", slide="1 minute")
     assert rows(got.select("window_end", "n")) == [(_at(60), 1), (_at(120), 1)]
     assert spark.read.parquet(paths.table("parsed")).count() == 3
+
+
+CHANGES = "key string, at timestamp, place int, value string"
+
+
+def _changes(n=60):
+    return [(f"k{i % 7}" if i % 13 else None, _at(i * 10 // 3), i, f"v{i}") for i in range(n)]
+
+
+def _arrive(spark, folder, batches):
+    for batch in batches:
+        spark.createDataFrame(batch, CHANGES).coalesce(1).write.mode("append").parquet(folder)
+
+
+def _apply(spark, folder, target, checkpoint, delay=None):
+    stream = spark.readStream.schema(CHANGES).option("maxFilesPerTrigger", 1).parquet(folder)
+    apply_changes(stream, target, ["key"], ["at", "place"], checkpoint, delay=delay)
+
+
+@pytest.mark.parametrize("delay", [None, "1 hour"])
+def test_shuffled_batches_give_the_table_of_one_batch(spark, folder, delay):
+    changes = _changes()
+    newest = {}
+    for c in changes:
+        if c[0] is not None:
+            newest[c[0]] = max(newest.get(c[0], c), c, key=lambda c: (c[1], c[2]))
+    shuffled = sorted(changes, key=lambda c: (c[2] * 37) % 61)
+    target = VersionedTable(spark, f"{folder}/table", keys=["key"])
+    target.create(spark.createDataFrame([("k1", _at(0), -1, "old"), ("other", _at(0), -1, "old")], CHANGES))
+    checkpoint = f"{folder}/checkpoint"
+    _arrive(spark, f"{folder}/in", [shuffled[i::3] for i in range(2)])
+    _apply(spark, f"{folder}/in", target, checkpoint, delay)
+    _arrive(spark, f"{folder}/in", [shuffled[2::3], [(None, None, 3, "no place"), ("k2", None, 999, "no place")]])
+    _apply(spark, f"{folder}/in", target, checkpoint, delay)       # restarted
+    got = target.read().where("key IS NOT NULL")
+    assert rows(got) == sorted([*newest.values(), ("other", _at(0), -1, "old")])
+
+
+def test_forgotten_places_lose_nothing(spark, folder):
+    """The state holds only keys of the last ten seconds; changes within that are placed right."""
+    first = [("a", _at(100), 1, "a1"), ("b", _at(101), 2, "b2")]
+    later = [("c", _at(300), 3, "c3")]
+    back = [("c", _at(295), 4, "c4"), ("a", _at(301), 5, "a5"), ("b", _at(50), 6, "too late")]
+    target = VersionedTable(spark, f"{folder}/table")
+    target.create(spark.createDataFrame([], CHANGES))
+    _arrive(spark, f"{folder}/in", [first, later, back, [("d", _at(302), 7, "d7")]])
+    checkpoint = f"{folder}/checkpoint"
+    _apply(spark, f"{folder}/in", target, checkpoint, delay="10 seconds")
+    assert {(r.key, r.value) for r in target.read().collect()} == {("a", "a5"), ("b", "b2"), ("c", "c3"), ("d", "d7")}
+    state = spark.read.format("statestore").option("stateVarName", "newest").load(checkpoint)
+    assert {r.key.key for r in state.collect()} == {"a", "c", "d"}
+
+
+def test_state_is_the_complete_result(spark, folder):
+    events = _events(spark, range(0, 50)).union(_events(spark, range(50, 70), kind="b"))
+    events.repartition(4).write.parquet(f"{folder}/in")
+    stream = _stream(spark, f"{folder}/in", maxFilesPerTrigger=1)
+    totals = stream.groupBy("kind", F.col("id") % 2).agg(F.count("*").alias("n"), F.max("at").alias("last"), F.max("id").alias("most"), F.avg("id").alias("m"))
+    runs.to_state(totals, f"{folder}/checkpoint")
+    got = runs.state_rows(spark, f"{folder}/checkpoint", ["n", "last", "most", "total", "seen"])
+    want = events.groupBy("kind", F.col("id") % 2).agg(F.count("*"), F.max("at"), F.max("id"), F.sum(F.col("id").cast("double")), F.count("id"))
+    assert rows(got) == rows(want)
+    assert 0 < runs.state_rows(spark, f"{folder}/checkpoint", ["n", "last", "most", "total", "seen"], batch=0).agg(F.sum("n")).first()[0] < 70
+    with pytest.raises(ValueError):
+        runs.state_rows(spark, f"{folder}/checkpoint", ["n"])
