@@ -2,21 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from millrace.scratch import keep
+from pyspark.sql import types as T
 
 # A side is broadcast only after its bytes were summed against this bound.
 BROADCAST_BYTES = 64 << 20
+#: Statistics may be too large, for instance behind a filter, by this factor.
+FAR = 64
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """What the optimizer expects ``df`` to weigh; for scans the bytes of the files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def text_bytes(df: DataFrame) -> int:
-    """Bytes of all rows as JSON text: a measure of what a broadcast would send."""
-    return df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+def bytes_up_to(df: DataFrame, most: int) -> int:
+    """Bytes of all rows in Arrow's layout: a measure of what a broadcast would send.  A task stops to
+    count once it alone has seen more than ``most``."""
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
+        for batch in batches:
+            seen += batch.nbytes
+            if seen > most:
+                break
+        yield pa.record_batch({"n": pa.array([seen], pa.int64())})
+
+    return df.mapInArrow(measure, "n long").agg(F.sum("n")).first()[0] or 0
 
 
 def join_on(
@@ -40,25 +56,36 @@ def broadcast_join(
 ) -> DataFrame:
     """Join, of any kind, that ships ``right`` to every task if its bytes allow it; if not,
     the same join by a shuffle."""
-    small = text_bytes(right) <= max_bytes
+    # a side that the statistics know to be far larger need not be measured
+    small = plan_bytes(right) <= FAR * max_bytes and bytes_up_to(right, max_bytes) <= max_bytes
     return join_on(left, F.broadcast(right) if small else right, pairs, how)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
-    """The keys that hold more than ``share`` of the rows, at most ``1 / share`` of them.
+def _key_texts(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> tuple[Column, Column]:
+    """A row's keys as one string a side, equal if and only if the join finds the keys equal; null
+    where a key is null."""
+    sides: tuple[list[Column], list[Column]] = ([], [])
+    for pair in pairs:
+        both = left.select(pair[0]).limit(0).union(right.select(pair[1]).limit(0)).schema[0].dataType
+        for side, name in zip(sides, pair):
+            value = F.col(name).cast(both)
+            # minus zero is zero
+            side.append((value + F.lit(0).cast(both) if isinstance(both, T.FractionalType) else value).cast("string"))
 
-    A sketch of key hashes names the candidates in one pass without a shuffle of the keys;
-    only the candidates' rows are counted.
-    """
+    def text(parts: list[Column]) -> Column:
+        some = reduce(lambda a, b: a & b, (p.isNotNull() for p in parts))
+        return F.when(some, parts[0] if len(parts) == 1 else F.to_json(F.array(*parts)))
+
+    return text(sides[0]), text(sides[1])
+
+
+def hot_keys(df: DataFrame, key: Column, share: float) -> list:
+    """The values of ``key`` that hold more than ``share`` of the rows, at most ``2 / share`` of
+    them.  One pass with a sketch; where it errs, a key is called hot that nearly is."""
     most = int(2 / share)
-    rows = df.na.drop(subset=list(keys)).select(*keys)
-    sketch = rows.agg(
-        F.expr(f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), {most}, {most * 20})").alias("top"),
-        F.count("*").alias("total"),
-    ).first()
-    likely = [t["item"] for t in sketch["top"] if t["count"] > share * sketch["total"]]
-    counted = rows.where(F.xxhash64(*keys).isin(likely)).groupBy(*keys).agg(F.count("*").alias("__n"))
-    return keep(counted.where(F.col("__n") > share * sketch["total"]).drop("__n"), "hot-keys")
+    rows = df.select(key.alias("k")).where("k IS NOT NULL")
+    found = rows.agg(F.expr(f"approx_top_k(k, {most}, {most * 20})").alias("top"), F.count("*").alias("n")).first()
+    return [t["item"] for t in found["top"] or () if t["count"] > share * found["n"]]
 
 
 def salted_join(
@@ -72,51 +99,37 @@ def salted_join(
     """Inner or left join where single keys of either side may hold much of its rows.
 
     Keys above ``hot_share`` of the rows of a side are spread over ``salts`` reducers there,
-    and only their partner rows are copied; every other key joins once, unsalted.  Rows of
-    keys that are hot on the right have partners by definition, so a left join is an inner
-    one for them.  The salt comes from a row's place, so both sides should be scans or kept
-    frames, where a repeated task sees the same places.
+    and only their partner rows are copied; every other key joins once, unsalted.  Without hot keys
+    it is the plain join.  Rows of keys that are hot on the right have partners by definition, so a
+    left join is an inner one for them.  The salt comes from a row's place, so both sides should
+    be scans or kept frames, where a repeated task sees the same places.
     """
     if how not in ("inner", "left", "left_outer"):
         raise ValueError("salting is exact for inner and left joins only")
-    left_keys = [lk for lk, _ in pairs]
-    right_keys = [rk for _, rk in pairs]
-
-    def renamed(hot: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
-        return hot.select(*[F.col(k).alias(f"__{flag}{i}") for i, k in enumerate(keys)]).withColumn(flag, F.lit(True))
-
-    hot_left = renamed(hot_keys(left, left_keys, hot_share), left_keys, "__hl")
-    hot_right = renamed(hot_keys(right, right_keys, hot_share), right_keys, "__hr")
-
-    def tag(df: DataFrame, keys: Sequence[str], hot: DataFrame, flag: str) -> DataFrame:
-        cond = reduce(lambda a, b: a & b, (df[k] == F.col(f"__{flag}{i}") for i, k in enumerate(keys)))
-        marked = df.join(F.broadcast(hot), cond, "left")  # at most 1 / hot_share rows
-        return marked.drop(*[f"__{flag}{i}" for i in range(len(keys))])
-
+    left_key, right_key = _key_texts(left, right, pairs)
+    hot_left, hot_right = hot_keys(left, left_key, hot_share), hot_keys(right, right_key, hot_share)
+    if not hot_left and not hot_right:
+        return join_on(left, right, pairs, how)
     place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int")
     every = F.sequence(F.lit(0), F.lit(salts - 1))
-    alone = F.array(F.lit(0))
 
-    def dealt(df: DataFrame, keys: Sequence[str], own: str, other: str) -> DataFrame:
+    def dealt(df: DataFrame, key: Column, own: list, other: list, names: tuple[str, str]) -> DataFrame:
         """Own place where the key is hot here, all places of the other side where it is hot there."""
-        df = df.withColumn("__place", place)
-        for flag, hot in (("__hl", hot_left), ("__hr", hot_right)):
-            df = tag(df, keys, hot, flag)
-        df = df.withColumn(f"__{own}", F.when(F.col(own), F.col("__place")).otherwise(F.lit(0)))
-        return df.withColumn(f"__{other}", F.explode(F.when(F.col(other), every).otherwise(alone))).drop("__place", own, other if other == "__hl" else "__hl")
+        df = df.withColumn(names[0], F.when(key.isin(own), place).otherwise(F.lit(0)))
+        return df.withColumn(names[1], F.explode(F.when(key.isin(other), every).otherwise(F.array(F.lit(0)))))
 
-    some_left = dealt(left, left_keys, "__hl", "__hr")
-    some_right = dealt(right, right_keys, "__hr", "__hl").drop("__hr")
+    some_right = dealt(right, right_key, hot_right, hot_left, ("__rr", "__rl"))
 
     def joined(part: DataFrame, kind: str) -> DataFrame:
+        part = dealt(part, left_key, hot_left, hot_right, ("__ll", "__lr"))
         cond = reduce(lambda a, b: a & b, (part[lk] == some_right[rk] for lk, rk in pairs))
-        cond &= (part["____hl"] == some_right["____hl"]) & (part["____hr"] == some_right["____hr"])
-        return part.join(some_right, cond, kind).drop("____hl", "____hr", "__hr")
+        cond &= (part["__ll"] == some_right["__rl"]) & (part["__lr"] == some_right["__rr"])
+        return part.join(some_right, cond, kind).drop("__ll", "__lr", "__rr", "__rl")
 
-    if how == "inner":
-        return joined(some_left, "inner")
-    busy = F.coalesce(F.col("__hr"), F.lit(False))
-    return joined(some_left.where(busy), "inner").unionByName(joined(some_left.where(~busy), "left"))
+    if how == "inner" or not hot_right:
+        return joined(left, how)
+    busy = F.coalesce(left_key.isin(hot_right), F.lit(False))
+    return joined(left.where(busy), "inner").unionByName(joined(left.where(~busy), "left"))
 
 
 def positional_join(

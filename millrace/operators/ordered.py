@@ -24,6 +24,11 @@ _TIE = "__tie"
 
 _ROW_BITS = 33      # layout of monotonically_increasing_id
 
+#: Values of a group that one window sorts to find a quantile.
+WINDOW_ROWS = 50_000
+#: Cells that a larger group is cut into.
+CELLS = 64
+
 
 def _placed(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], label: str,
@@ -103,22 +108,20 @@ def row_position(
     )
 
 
-_WANTED = "named_struct('q', q, '__lo', __lo, '__hi', __hi, '__frac', __frac)"
-
-
 def exact_percentiles(
     df: DataFrame, keys: Sequence[str], value: str, quantiles: Sequence[float],
     accuracy: int = 20_000,
 ) -> DataFrame:
     """Rows (keys, q, value): linear-interpolated quantiles, exact at any group size.
 
-    Three narrow scans and hardly any shuffle: a sketch brackets every quantile
-    within a few ranks in ``accuracy``, one pass counts the rows below each
-    bracket, one pass sorts the rows inside.  The counts show whether a bracket
-    holds its quantile; if one does not, the whole column is sorted instead.
+    Two scans.  The first makes a mergeable sketch, which brackets every quantile.  The
+    second counts what lies between the brackets and keeps what lies inside, a small
+    share of the rows.  The counts show whether a bracket holds its quantile; if one does not,
+    the whole column is sorted instead.  Brackets with many values are narrowed by the same
+    means until a window sorts at most ``WINDOW_ROWS`` values.
     A quantile that is asked for twice gives two rows.
     """
-    data = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v"))
+    data = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
     asked = [float(q) for q in quantiles]
     distinct = sorted(set(asked))
     found = _bracketed(data, keys, distinct, accuracy)
@@ -141,78 +144,110 @@ def exact_percentiles(
     return out
 
 
+def _sketch_size(accuracy: int) -> int:
+    return min(65535, max(8, accuracy // 5))
+
+
+def _attach(rows: DataFrame, keys: Sequence[str], small: DataFrame, *names: str) -> DataFrame:
+    """Columns of the one ``small`` row that has the row's keys."""
+    if not keys:
+        return rows.withColumns({n: small.select(n).scalar() for n in names})
+    other = small.select(*[F.col(k).alias(f"__of_{k}") for k in keys], *names)
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys))
+    return rows.join(other, same).drop(*[f"__of_{k}" for k in keys])
+
+
 def _bracketed(
     data: DataFrame, keys: Sequence[str], quantiles: Sequence[float], accuracy: int
 ) -> DataFrame | None:
     """(keys, q, __frac, __low, __high) from the rows near each of the distinct quantiles, or None."""
-    edge = 2.0 / accuracy
-    points = sorted(
-        {p for q in quantiles for p in (q - edge, q + edge) if 0 < p < 1}
-    ) or [0.5]
+    size = _sketch_size(accuracy)
+    slack = 2 * 2.296 / size ** 0.9723      # twice the sketch's error of ranks at 99 % confidence
+    points = sorted({p for q in quantiles for p in (q - slack, q + slack) if 0 < p < 1}) or [0.5]
+    v = F.col("__v")
+    found_points = F.kll_sketch_get_quantile_double("__sketch", F.array(*[F.lit(p) for p in points]))
+    sketch = data.groupBy(*keys).agg(
+        F.count("*").alias("__total"), F.count_if(~F.isnan(v)).alias("__fine"), F.kll_sketch_agg_double(v, F.lit(size)).alias("__sketch"))
     sketch = keep(
-        data.groupBy(*keys).agg(
-            F.count("*").alias("__total"),
-            F.percentile_approx("__v", points, accuracy).alias("__points"),
-        ),
-        "sketch",
-    )
-
-    def attach(rows: DataFrame, small: DataFrame, *names: str) -> DataFrame:
-        """Columns of the one ``small`` row that has the row's keys."""
-        if not keys:
-            return rows.withColumns({n: small.select(n).scalar() for n in names})
-        other = small.select(*keys, *names)
-        return rows.join(other, _same_keys(rows, other, keys)).select(
-            *[rows[c] for c in rows.columns], *names
-        )
+        sketch.withColumn("__points", F.when(F.col("__fine") > 0, found_points)).drop("__sketch", "__fine"), "sketch")
 
     def bound(p: float) -> Column:
         """Value at a sketched point; null (no bound) beyond both ends."""
-        if not 0 < p < 1:
-            return F.lit(None).cast(data.schema["__v"].dataType)
-        return F.get("__points", points.index(p))
+        return F.get("__points", points.index(p)) if 0 < p < 1 else F.lit(None).cast("double")
 
-    v = F.col("__v")
-    low = [bound(q - edge) for q in quantiles]
-    high = [bound(q + edge) for q in quantiles]
-    below = attach(data, sketch, "__points").groupBy(*keys).agg(
-        F.array(*[F.count_if(v < b) for b in low]).alias("__below")
-    )
+    low = [bound(q - slack) for q in quantiles]
+    high = [bound(q + slack) for q in quantiles]
 
-    def want(i: int, q: float) -> Column:
-        place = F.lit(float(q)) * (F.col("__total") - 1)
-        return F.struct(
-            F.lit(float(q)).alias("q"), low[i].alias("from"), high[i].alias("to"),
-            (F.floor(place) - F.get("__below", i)).alias("__lo"),
-            (F.ceil(place) - F.get("__below", i)).alias("__hi"),
-            (place - F.floor(place)).alias("__frac"),
-        )
+    def inside(i: int) -> Column:
+        return (low[i].isNull() | (v >= low[i])) & (high[i].isNull() | (v <= high[i]))
 
-    brackets = keep(
-        attach(below, sketch, "__total", "__points").withColumn(
-            "__want", F.array(*[want(i, q) for i, q in enumerate(quantiles)])
-        ),
-        "brackets",
-    )
+    # a row inside a bracket stands for itself, any other for the stretch behind the bound below it
+    near = reduce(lambda a, b: a | b, (inside(i) for i in range(len(quantiles))))
+    behind = F.array_max(F.filter("__points", lambda p: p < v))
+    counted = keep(
+        _attach(data, keys, sketch, "__points")
+        .groupBy(*keys, near.alias("__in"), F.when(near, v).otherwise(behind).alias("__v")).agg(F.count("*").alias("__w")),
+        "counted")
 
-    def inside(start: Column, end: Column) -> Column:
-        return (start.isNull() | (v >= start)) & (end.isNull() | (v <= end))
+    def below(i: int) -> Column:
+        return F.when(low[i].isNull(), F.lit(0)).otherwise(F.sum(F.when(v.isNull() | (v < low[i]), F.col("__w")).otherwise(F.lit(0))))
 
-    near = reduce(lambda a, b: a | b, (inside(a, b) for a, b in zip(low, high)))
-    rows = attach(data, brackets, "__points", "__want").where(near)
-    chosen = rows.select(
-        *keys, "__v", F.inline(F.filter("__want", lambda w: inside(w["from"], w["to"])))
-    )
-    groups = [*keys, "q", "__lo", "__hi", "__frac"]
-    counted = chosen.groupBy(*groups, "__v").agg(F.count("*").alias("__w"))
-    found = keep(
-        _values_at(counted, groups, f"array({_WANTED})").select(
-            *keys, "q", "__frac", "__low", "__high"
-        ),
-        "quantiles",
-    )
-    hit = found.where(F.col("__low").isNotNull() & F.col("__high").isNotNull()).count()
-    return found if hit == sketch.count() * len(quantiles) else None
+    placed = _attach(counted, keys, sketch, "__points", "__total")
+    own = [F.col("__in") & inside(i) for i in range(len(quantiles))]
+    summed = placed.groupBy(*keys, "__points", "__total").agg(
+        F.array(*[below(i) for i in range(len(quantiles))]).alias("__below"),
+        F.array(*[F.sum(F.when(o, F.col("__w")).otherwise(F.lit(0))) for o in own]).alias("__weight"),
+        F.array(*[F.count_if(o) for o in own]).alias("__values"))
+
+    def want(i: int, q: float) -> Column:
+        place = F.lit(float(q)) * (F.col("__total") - 1)
+        first, last = F.floor(place) - F.get("__below", i), F.ceil(place) - F.get("__below", i)
+        return F.struct(
+            F.lit(float(q)).alias("q"), low[i].alias("from"), high[i].alias("to"), first.alias("__lo"), last.alias("__hi"),
+            (place - F.floor(place)).alias("__frac"), ((first >= 0) & (last < F.get("__weight", i))).alias("holds"),
+            F.get("__values", i).alias("values"))
+
+    brackets = keep(summed.select(*keys, F.array(*[want(i, q) for i, q in enumerate(quantiles)]).alias("__want")), "brackets")
+    state = brackets.select(F.inline("__want")).agg(F.every("holds").alias("holds"), F.max("values").alias("most")).first()
+    if state["holds"] is False:
+        return None
+    chosen = _attach(counted.where("__in"), keys, brackets, "__want").select(
+        *keys, "__v", "__w", F.inline(F.filter(
+            "__want", lambda w: (w["from"].isNull() | (v >= w["from"])) & (w["to"].isNull() | (v <= w["to"])))))
+    chosen = chosen.select(*keys, "q", "__lo", "__hi", "__frac", "__v", "__w")
+    most = state["most"] or 0
+    while most > WINDOW_ROWS:
+        chosen = _narrowed(chosen, [*keys, "q"], size)
+        most = chosen.groupBy(*keys, "q").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    end = F.sum("__w").over(Window.partitionBy(*keys, "q").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0))
+    rows = chosen.withColumn("__end", end)
+
+    def at(place: str) -> Column:
+        here = (F.col(place) < F.col("__end")) & (F.col(place) >= F.col("__end") - F.col("__w"))
+        return F.max(F.when(here, v))
+
+    return rows.groupBy(*keys, "q", "__frac").agg(at("__lo").alias("__low"), at("__hi").alias("__high"))
+
+
+def _narrowed(chosen: DataFrame, groups: Sequence[str], size: int) -> DataFrame:
+    """The rows of each group in the cells that hold its wanted places, which are counted from
+    the first of these cells.  A sketch of the values cuts a group into ``CELLS`` cells; their rows are counted
+    exactly, so no place is lost however the sketch errs."""
+    v = F.col("__v")
+    points = F.kll_sketch_get_quantile_double("__sketch", F.array(*[F.lit(i / CELLS) for i in range(1, CELLS)]))
+    cuts = chosen.groupBy(*groups).agg(F.kll_sketch_agg_double(v, F.lit(size)).alias("__sketch")).select(*groups, points.alias("__cuts"))
+    celled = keep(
+        _attach(chosen, groups, keep(cuts, "cuts"), "__cuts")
+        .withColumn("__cell", F.size(F.filter("__cuts", lambda p: p < v))).drop("__cuts"), "cells")
+    own = Window.partitionBy(*groups).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = celled.groupBy(*groups, "__cell", "__lo", "__hi").agg(F.sum("__w").alias("__n")).withColumn(
+        "__before", F.coalesce(F.sum("__n").over(own), F.lit(0)))
+    held = cells.where((F.col("__before") <= F.col("__hi")) & (F.col("__before") + F.col("__n") > F.col("__lo")))
+    first = F.min("__before").over(Window.partitionBy(*groups))
+    held = held.select(*groups, "__cell", first.alias("__start"))
+    rows = _attach(celled, [*groups, "__cell"], held, "__start")
+    return keep(rows.select(
+        *groups, (F.col("__lo") - F.col("__start")).alias("__lo"), (F.col("__hi") - F.col("__start")).alias("__hi"), "__frac", "__v", "__w"), "narrowed")
 
 
 def _values_at(counted: DataFrame, groups: Sequence[str], wanted: str) -> DataFrame:

@@ -40,8 +40,7 @@ def scan_csv_infer(spark, sf_dir):
 
 @query("scan_csv_dir", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def scan_csv_dir(spark, sf_dir):
-    by_segment = table(spark, sf_dir, "customer").repartition("c_mktsegment")
-    path = csv_of(spark, by_segment, "csv-dir")
+    path = csv_of(spark, table(spark, sf_dir, "customer").repartition("c_custkey"), "csv-dir")
     return files.read_csv(
         spark, path,
         schema="c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",

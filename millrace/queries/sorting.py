@@ -1,9 +1,10 @@
-"""Sort and top-k."""
+"""Sort, top-k, preview."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.operators import columns
 from millrace.queries.registry import query, table
 
 
@@ -26,3 +27,13 @@ def top_k(spark, sf_dir):
         .orderBy(F.desc("l_extendedprice"), "l_orderkey", "l_partkey", "l_shipdate")
         .limit(100)
     )
+
+
+@query("preview_rows", """
+    SELECT least(1000, count(*)) AS n, least(1000, count(*)) AS known FROM orders""")
+def preview_rows(spark, sf_dir):
+    """The first rows of a table, all of them rows of the table."""
+    orders = table(spark, sf_dir, "orders")
+    first = spark.createDataFrame(columns.preview(orders), orders.schema)
+    known = first.join(orders.withColumn("known", F.lit(1)), orders.columns, "left")
+    return known.agg(F.count("*").alias("n"), F.count("known").alias("known"))

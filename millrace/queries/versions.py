@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace import scratch
 from millrace.operators import ddl
+from millrace.operators.keyed import KeyedTable
 from millrace.operators.versioned import SchemaMismatch, VersionedTable
 from millrace.queries.registry import query, table
 from millrace.sources import sinks
@@ -171,3 +172,43 @@ def ddl_add_column(spark, sf_dir):
     ddl.add_columns(spark, name, "note STRING")
     sinks.insert_into(customer.select("c_custkey", "c_nationkey", "c_mktsegment"), name)
     return spark.table(name)
+
+
+_KEYED = """
+    WITH c AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 10 > 0)"""
+
+
+def _keyed(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    target = KeyedTable(spark, scratch.new_path(spark, "keyed"), ["o_orderkey"])
+    target.create(orders.where("o_orderkey % 10 > 0"), folders=64)
+    return target, orders
+
+
+@query("keyed_merge", _KEYED + """
+    SELECT o_orderkey, o_orderstatus, o_totalprice FROM c WHERE o_orderkey % 997 > 0
+    UNION ALL SELECT o_orderkey, 'M', o_totalprice FROM orders WHERE o_orderkey % 997 = 0""")
+def keyed_merge(spark, sf_dir):
+    """A thousandth of the orders comes anew, a tenth of them for the first time."""
+    target, orders = _keyed(spark, sf_dir)
+    target.merge(orders.where("o_orderkey % 997 = 0").withColumn("o_orderstatus", F.lit("M")))
+    return target.read()
+
+
+@query("keyed_update", _KEYED + """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 499 = 0 AND o_totalprice > 50000 THEN 'U' ELSE o_orderstatus END AS o_orderstatus,
+           CASE WHEN o_orderkey % 499 = 0 AND o_totalprice > 50000 THEN -o_totalprice ELSE o_totalprice END AS o_totalprice
+    FROM c""")
+def keyed_update(spark, sf_dir):
+    target, orders = _keyed(spark, sf_dir)
+    target.update("o_totalprice > 50000", {"o_orderstatus": "U", "o_totalprice": -F.col("o_totalprice")}, keys=orders.where("o_orderkey % 499 = 0"))
+    return target.read()
+
+
+@query("keyed_delete", _KEYED + """
+    SELECT * FROM c WHERE o_orderkey % 499 > 0 AND o_totalprice >= 1000""")
+def keyed_delete(spark, sf_dir):
+    target, orders = _keyed(spark, sf_dir)
+    target.delete(keys=orders.where("o_orderkey % 499 = 0"))
+    target.delete("o_totalprice < 1000")
+    return target.read()

@@ -13,6 +13,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+#: Folders made in local mode, by application.
+_OWN: dict[str, str] = {}
 
 
 class NoSharedFolder(RuntimeError):
@@ -24,8 +26,11 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise NoSharedFolder(f"set {SETTING} to a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set(SETTING, root)
+        # the setting cannot be changed in a running session, so the folder is kept here
+        app = spark.sparkContext.applicationId
+        if app not in _OWN:
+            _OWN[app] = tempfile.mkdtemp(prefix="millrace-")
+        root = _OWN[app]
     return root.rstrip("/")
 
 

@@ -9,6 +9,7 @@ from tests.conftest import rows
 from pyspark.sql import functions as F
 
 from millrace.functions import parsing
+from millrace.operators.columns import preview
 from millrace.operators import aggregates, charts, columns, filters, joins, ordered, sets
 from millrace.scratch import keep
 
@@ -122,7 +123,7 @@ def test_salted_join_refuses_what_it_cannot_do(spark):
 def test_broadcast_join_checks_the_bytes(spark, how):
     left = spark.range(100).toDF("a")
     right = spark.range(50).toDF("b")
-    size = joins.text_bytes(right)
+    size = joins.bytes_up_to(right, 1 << 20)
     small = joins.broadcast_join(left, right, [("a", "b")], how, max_bytes=size)
     large = joins.broadcast_join(left, right, [("a", "b")], how, max_bytes=size - 1)
     assert rows(small) == rows(large)
@@ -141,8 +142,43 @@ def test_salted_join_splits_keys_that_are_hot_on_either_side(spark, how):
     salted = joins.salted_join(left, right, [("k", "j")], how, salts=4, hot_share=0.2)
     plain = left.join(right, left["k"] == right["j"], how)
     assert salted.columns == plain.columns and rows(salted) == rows(plain)
-    hot = joins.hot_keys(right, ["j"], 0.2).collect()
-    assert sorted(r["j"] for r in hot) == [2, 3]
+    assert sorted(joins.hot_keys(right, F.col("j").cast("string"), 0.2)) == ["2", "3"]
+
+
+@pytest.mark.parametrize("types", [("decimal(10,2)", "int"), ("double", "int"), ("string", "string"), ("date", "date")])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join_of_keys_of_different_types(spark, how, types):
+    def rows_of(n, shift, t):
+        value = F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id") + shift)
+        value = F.date_add(F.lit("2024-01-01"), value.cast("int")) if t == "date" else value.cast(t)
+        return spark.range(n).select(value.alias("k"), F.when(F.col("id") % 5 > 0, "x").alias("s"), "id")
+
+    left, right = keep(rows_of(90, 0, types[0])), keep(rows_of(30, 3, types[1]).toDF("k2", "s2", "id2"))
+    for pairs in ([("k", "k2")], [("k", "k2"), ("s", "s2")]):
+        cond = [left[a] == right[b] for a, b in pairs]
+        plain = left.join(right, cond, how)
+        assert rows(joins.salted_join(left, right, pairs, how, salts=3, hot_share=0.1)) == rows(plain)
+
+
+def test_salted_join_of_zeros_of_either_sign(spark):
+    left = keep(spark.range(60).select(F.when(F.col("id") % 2 == 0, 0.0).otherwise(-0.0).alias("a")))
+    right = spark.createDataFrame([(-0.0, 1), (7.5, 2)], "b double, v int")
+    assert joins.salted_join(left, right, [("a", "b")], salts=3).count() == 60
+
+
+def test_bytes_stop_at_the_bound(spark):
+    assert joins.bytes_up_to(spark.range(0), 10) == 0
+    assert joins.bytes_up_to(spark.range(1000), 1 << 20) >= 8000
+    # each task stops after its first batch
+    assert 10 < joins.bytes_up_to(spark.range(0, 1_000_000, 1, 2), 10) < 1_000_000
+
+
+def test_preview_is_bounded(spark):
+    assert len(preview(spark.range(1 << 30))) == 1000       # nobody reads the rest
+    assert [r["id"] for r in preview(spark.range(20, 30), 3)] == [20, 21, 22]
+    assert preview(spark.range(0)) == []
+    with pytest.raises(ValueError):
+        preview(spark.range(5), 1001)
 
 
 def test_positional_join(spark):
@@ -201,6 +237,27 @@ def test_percentiles_survive_a_sketch_that_misses(spark):
     assert got == {q: pytest.approx(q * 4999) for q in (0.3, 0.5, 0.999)}
 
 
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_percentiles_of_many_values_are_narrowed(spark, monkeypatch, keys):
+    import numpy as np
+
+    monkeypatch.setattr(ordered, "WINDOW_ROWS", 20)
+    monkeypatch.setattr(ordered, "CELLS", 4)
+    df = spark.range(9000).select((F.col("id") % 2).alias("k"), (F.col("id") * 7919 % 3001).cast("double").alias("x"))
+    nan = spark.range(300).select((F.col("id") % 2).alias("k"), F.lit(float("nan")).alias("x"))
+    qs = [0.0, 0.01, 0.333, 0.5, 0.9, 1.0]
+    got = {(*[r[k] for k in keys], r["q"]): r["x"] for r in ordered.exact_percentiles(df, keys, "x", qs, accuracy=100).collect()}
+    for k in (0, 1):
+        x = sorted((i * 7919 % 3001) for i in range(9000) if not keys or i % 2 == k)
+        assert all(got[(k, q) if keys else (q,)] == pytest.approx(np.quantile(x, q), abs=1e-9) for q in qs)
+    # not-a-number is above all numbers, as in sorting
+    mixed = {r["q"]: r["x"] for r in ordered.exact_percentiles(df.unionByName(nan), [], "x", [0.5, 0.96, 0.99], accuracy=100).collect()}
+    x = sorted(i * 7919 % 3001 for i in range(9000))
+    assert mixed[0.5] == pytest.approx(np.quantile(x + [9e9] * 300, 0.5)) and mixed[0.96] == pytest.approx(np.quantile(x + [9e9] * 300, 0.96))
+    assert mixed[0.99] != mixed[0.99]
+    assert ordered.exact_percentiles(df.limit(0), keys, "x", qs).count() == 0
+
+
 @pytest.mark.parametrize("way", ["brackets", "sort"])
 def test_percentiles_of_infinities_and_repeated_quantiles(spark, monkeypatch, way):
     inf = float("inf")

@@ -177,7 +177,7 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     def session(master, folder):
         kept = {scratch.SETTING: folder} if folder else {}
-        return Fake(conf=Fake(get=lambda k, d: kept.get(k, d), set=kept.__setitem__), sparkContext=Fake(master=master))
+        return Fake(conf=Fake(get=lambda k, d: kept.get(k, d)), sparkContext=Fake(master=master, applicationId="fake"))
 
     for master in ("yarn", "spark://host:7077", "k8s://https://host", "local-cluster[2,1,1024]"):
         with pytest.raises(scratch.NoSharedFolder):
@@ -185,3 +185,23 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
         assert scratch.shared_root(session(master, "hdfs:///shared/")) == "hdfs:///shared"
     for master in ("local", "local[4]", "local[*]"):
         assert scratch.shared_root(session(master, None))
+
+
+def test_scratch_without_the_setting_in_a_real_session(tmp_path):
+    """A session of its own, whose defaults name no folder."""
+    import os
+    import pathlib
+    import subprocess
+    import sys
+
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from millrace import scratch\n"
+        "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "assert s.conf.get(scratch.SETTING, None) is None, s.conf.get(scratch.SETTING)\n"
+        "assert scratch.shared_root(s) == scratch.shared_root(s)\n"
+        "assert scratch.keep(s.range(5)).count() == 5\n")
+    (tmp_path / "spark-defaults.conf").write_text("")
+    done = subprocess.run([sys.executable, "-c", code], cwd=pathlib.Path(__file__).parents[1], timeout=300, capture_output=True, text=True,
+                          env=os.environ | {"SPARK_CONF_DIR": str(tmp_path), "TMPDIR": str(tmp_path)})
+    assert done.returncode == 0, done.stderr[-2000:]
