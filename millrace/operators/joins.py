@@ -145,6 +145,9 @@ def positional_join(
 
     numbered = row_index(left, left_order, name, spread_ties)
     partner = row_index(right, right_order, "__partner", spread_ties)
-    return numbered.join(partner, numbered[name] == partner["__partner"], "left_outer").drop(
-        "__partner"
-    )
+    # rows behind the partner's last one have none, so they stay where they are
+    n = right.count()
+    near = numbered.where(F.col(name) < n)
+    met = near.join(partner, near[name] == partner["__partner"], "left_outer").drop("__partner")
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
+    return met.union(numbered.where(F.col(name) >= n).select("*", *none))
