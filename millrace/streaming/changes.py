@@ -17,43 +17,51 @@ from pyspark.sql.streaming.stateful_processor import (
 )
 
 from millrace.operators.versioned import VersionedTable
-from millrace.streaming.runs import to_batches
+from millrace.scratch import keep
+from millrace.streaming.runs import ROCKSDB, to_batches
 from millrace.streaming.tables import run_id
 
-class NewestOnly(StatefulProcessor):
-    """Per key, passes on the batch's newest change if it is newer than all before, and keeps no
-    more than its place.  With ``forgets`` a timer clears the place once the watermark has
-    passed it: every change that can still come is newer."""
-
-    def __init__(self, schema: T.StructType, place: Sequence[str], forgets: bool):
-        self.columns, self.places, self.forgets = schema.names, tuple(place), forgets
-        self.state = T.StructType([schema[c] for c in place])
-
-    def place(self, row: Row) -> tuple:
-        return tuple(row[c] for c in self.places)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.newest = handle.getValueState("newest", self.state)
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
-        best = max(rows, key=self.place, default=None)
-        if best is None:
-            return
-        place = self.place(best)
-        known = self.newest.get() if self.newest.exists() else None
-        if known is not None and place <= tuple(known):
-            return
-        self.newest.update(place)
-        if self.forgets:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(place[0] // 1000 + 1)
-        yield Row(**{c: best[c] for c in self.columns})
-
-    def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
-        self.newest.clear()
-        return iter([])
+
+def _newest_only(schema: T.StructType, place: Sequence[str], forgets: bool) -> StatefulProcessor:
+    """The class is local so that it is sent by value: the process in which Spark starts it beside the
+    driver does not see the modules that only the driver's own path has."""
+
+    class NewestOnly(StatefulProcessor):
+        """Per key, passes on the batch's newest change if it is newer than all before, and keeps no
+        more than its place.  With ``forgets`` a timer clears the place once the watermark has
+        passed it: every change that can still come is newer."""
+
+        def __init__(self, schema: T.StructType, place: Sequence[str], forgets: bool):
+            self.columns, self.places, self.forgets = schema.names, tuple(place), forgets
+            self.state = T.StructType([schema[c] for c in place])
+
+        def place(self, row: Row) -> tuple:
+            return tuple(row[c] for c in self.places)
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.newest = handle.getValueState("newest", self.state)
+
+        def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+            best = max(rows, key=self.place, default=None)
+            if best is None:
+                return
+            place = self.place(best)
+            known = self.newest.get() if self.newest.exists() else None
+            if known is not None and place <= tuple(known):
+                return
+            self.newest.update(place)
+            if self.forgets:
+                for timer in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(timer)
+                self.handle.registerTimer(place[0] // 1000 + 1)
+            yield Row(**{c: best[c] for c in self.columns})
+
+        def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+            self.newest.clear()
+            return iter([])
+
+    return NewestOnly(schema, place, forgets)
 
 
 def _comparable(column: str, kind: T.DataType) -> Column:
@@ -77,7 +85,7 @@ def newest_changes(stream: DataFrame, keys: Sequence[str], order: Sequence[str],
     if delay is not None:
         placed = placed.withWatermark(order[0], delay)
     newest = placed.groupBy(*keys).transformWithState(
-        NewestOnly(placed.schema, names, delay is not None), placed.schema, "Update", "None" if delay is None else "EventTime")
+        _newest_only(placed.schema, names, delay is not None), placed.schema, "Update", "None" if delay is None else "EventTime")
     return newest.drop(*names)
 
 
@@ -90,6 +98,7 @@ def apply_changes(
     committed, nothing."""
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        target.merge(batch, keys, source=run_id(batch), batch_id=batch_id)
+        # stored, so that one batch goes through the state once, however often the merge reads it
+        target.merge(keep(batch, "newest"), keys, source=run_id(batch), batch_id=batch_id)
 
-    return to_batches(newest_changes(stream, keys, order, delay), upsert, checkpoint, mode="update", once=once, every=every)
+    return to_batches(newest_changes(stream, keys, order, delay), upsert, checkpoint, mode="update", once=once, every=every, conf=ROCKSDB)

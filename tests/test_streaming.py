@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
-from tests.conftest import rows
+from pyspark.sql import types as T
+from tests.conftest import ROOT, rows
 
 from millrace import scratch
 from millrace.operators.versioned import VersionedTable
 from millrace.plans.multi_hop import HopPaths, run_hops
 from millrace.sources import files
-from millrace.streaming import runs, tables
+from millrace.streaming import changes, runs, tables
 from millrace.streaming.changes import apply_changes
 from millrace.streaming.windows import sliding_activity
 
@@ -211,6 +216,31 @@ def test_shuffled_batches_give_the_table_of_one_batch(spark, folder, delay):
     assert rows(got) == sorted([*newest.values(), ("other", _at(0), -1, "old")])
 
 
+def test_late_changes_need_no_setting_of_the_session(spark, folder):
+    """A session with Spark's default state store; it has the same one afterwards."""
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    own, plain = spark.conf.get(setting), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    target = VersionedTable(spark, f"{folder}/table", keys=["key"])
+    target.create(spark.createDataFrame([], CHANGES))
+    _arrive(spark, f"{folder}/in", [[("a", _at(9), 1, "new")], [("a", _at(5), 2, "late")]])
+    spark.conf.set(setting, plain)
+    try:
+        _apply(spark, f"{folder}/in", target, f"{folder}/checkpoint")
+        assert spark.conf.get(setting) == plain
+    finally:
+        spark.conf.set(setting, own)
+    assert [r.value for r in target.read().collect()] == ["new"]
+
+
+def test_state_is_sent_to_processes_without_this_library(tmp_path):
+    processor = changes._newest_only(T.StructType([T.StructField("a", T.IntegerType()), T.StructField("p", T.IntegerType())]), ["p"], False)
+    (tmp_path / "it").write_bytes(cloudpickle.dumps(processor))
+    code = f"import sys; sys.path[:] = [p for p in sys.path if p != {str(ROOT)!r}]\nfrom pyspark import cloudpickle\nprint(cloudpickle.loads(open('it', 'rb').read()).places)"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=60)
+    assert done.stdout == "('p',)\n", done.stderr
+
+
 def test_forgotten_places_lose_nothing(spark, folder):
     """The state holds only keys of the last ten seconds; changes within that are placed right."""
     first = [("a", _at(100), 1, "a1"), ("b", _at(101), 2, "b2")]
