@@ -328,6 +328,34 @@ def test_best_by_product_equals_all_pairs(spark, item_block, user_block):
     assert few.groupBy("user").count().where("count = 3").count() == 61
 
 
+def test_best_by_product_over_many_chunks(spark, monkeypatch):
+    """A chunk of few blocks: users of like depth meet several chunks, and none is left out."""
+    monkeypatch.setattr(top_items, "SPAN", 2)
+    monkeypatch.setattr(top_items, "CROWDS", 2)
+    rng = np.random.default_rng(6)
+    items, users = rng.standard_normal((300, 6)) + 0.3, rng.standard_normal((150, 6))
+    items[250:] = items[249]                            # copies tie
+    frames = [spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vector array<double>") for x in (users, items)]
+    got = top_items.best_by_product(*frames, 5, 10, 20).collect()
+    assert len(got) == 5 * len(users) and max(r["blocks"] for r in got) > 2
+    for u, v in enumerate(users):
+        score = (items * v).sum(axis=1)
+        assert [r["item"] for r in sorted((r for r in got if r["user"] == u), key=lambda r: r["rank"])] == np.lexsort((np.arange(300), -score))[:5].tolist()
+
+
+def test_few_products_of_a_block_are_sorted(monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = rng.standard_normal((4096, 10))
+    rows = rows[np.argsort(-np.sqrt((rows * rows).sum(axis=1)))]
+    users, taken = rng.standard_normal((512, 10)), []
+    take = top_items._Best._take
+    monkeypatch.setattr(top_items._Best, "_take", lambda self, which, *a: (taken.append(len(which)), take(self, which, *a)))
+    best = top_items._Best(users, np.full(512, -np.inf), 5)
+    best.meet(np.arange(4096), rows, np.sqrt((rows * rows).sum(axis=1)), 1024)
+    assert (best.ids == np.argsort(-(users @ rows.T), axis=1)[:, :5]).all()
+    assert sum(taken) < 40 * 512
+
+
 def test_top_items_agree_with_the_library(spark):
     data = [(u, i, float((u * 7 + i * 3) % 11)) for u in range(40) for i in range(60) if (u * i) % 3]
     model = models.factors().fit(spark.createDataFrame(data, "user_id int, item_id int, rating double"))
