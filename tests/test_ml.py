@@ -382,3 +382,13 @@ def test_streamed_groups_fit_like_closed_form(spark):
         w = np.linalg.lstsq(np.c_[np.ones(len(own)), own[:, :2]], own[:, 2], rcond=None)[0]
         assert np.allclose([r["intercept"], *r["coefficients"]], w, rtol=1e-8)
     assert group_models.fit_streamed(df.limit(0), ["k"], ["a"], "y").count() == 0
+
+
+def test_a_training_piece_is_bounded_by_rows(spark):
+    """However small the rows are on disk; before, a scan packed all files into as many tasks as cores."""
+    df = spark.range(0, 40_000, 1, 2).selectExpr("id", "id % 3 AS k", "double(1) AS label")
+    got = models.prepared(df, 1000)
+    sizes = got.groupBy(F.spark_partition_id()).count()
+    assert sizes.agg(F.max("count"), F.sum("count")).first() == (1000, 40_000)
+    assert got.join(spark.range(3).withColumnRenamed("id", "k"), "k").count() == 40_000   # with a frame of the caller's session
+    assert spark.conf.get("spark.sql.files.openCostInBytes") != spark.conf.get("spark.sql.files.maxPartitionBytes")
