@@ -4,11 +4,13 @@
    half).  Terms are the benchmark's words; their document frequencies come from all passages of
    the corpus.  Other words count in a passage's length as terms of the largest weight.
 2. A passage is kept if its terms, each at the most that it can add to the product with any
-   benchmark passage, may make up ``SHARE`` of one.
+   benchmark passage, may make up ``SHARE`` of one.  So is every passage whose words do not rule out the
+   check of step 5: of a benchmark passage no more distinct words are missing than words may be.
 3. A randomised SVD of the kept passages and the benchmark's, both halves of equal weight:
    tasks multiply the sketch by their rows, the sums have the sketch's size whatever the input.
 4. A kept passage is a candidate for the benchmark passages to which its cosine in the latent
-   space is at least ``COSINE``.
+   space is at least ``COSINE``, and for those of which it may hold ``SAME`` of the words (of short
+   ones all).  So no copy is left out, and no paraphrase that is near in the latent space.
 5. Candidates are checked: the longest common subsequence of words covers at least ``SAME`` of the
    benchmark passage, or at least ``PARAPHRASED`` of it and the answer, the passage's rarest
    words in its last sentence, is there too.
@@ -113,6 +115,45 @@ def lcs(a: list[bytes], b: list[bytes]) -> int:
     return len(a) - row.bit_count()
 
 
+class Needs(NamedTuple):
+    """What the check asks of the distinct words around a passage, by benchmark passage (columns)."""
+
+    words: np.ndarray  # terms x passages: whether the term is in it
+    answer: np.ndarray  # the same of its answer
+    same: np.ndarray  # least number of its distinct words, without the answer
+    paraphrased: np.ndarray  # with it
+    answered: np.ndarray  # least number of the answer's words
+
+    @classmethod
+    def of(cls, queries: list[Query], answers: list[list[bytes]], term: dict[bytes, int]) -> Needs:
+        inside, answer = (np.zeros((len(term), len(queries)), np.int16) for _ in range(2))
+        for i, (q, a) in enumerate(zip(queries, answers)):
+            inside[[term[w] for w in q.words], i] = 1
+            answer[[term[w] for w in a], i] = 1
+        size, distinct = np.array([len(q.words) for q in queries]), inside.sum(axis=0)
+        # a distinct word that is missing takes one word at least from the common subsequence
+        same, paraphrased = (distinct - (size - np.ceil(share * size - 1e-9).astype(int)) for share in (SAME, PARAPHRASED))
+        short = size < SHORT
+        return cls(inside, answer, np.where(short, distinct, same), np.where(short, distinct, paraphrased),
+                   np.array([min(ANSWERED, len(a)) for a in answers]))
+
+    def met(self, ids: np.ndarray, of: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Benchmark passages (of some) that the distinct terms among ``ids`` do not rule out, and those of
+        them whose words alone may be enough."""
+        own = np.unique(ids)
+        own = own[own >= 0]
+        at = own if of is None else np.ix_(own, of)
+        some = slice(None) if of is None else of
+        words = self.words[at].sum(axis=0, dtype=np.int16)
+        half = words >= self.paraphrased[some]
+        if not half.any():
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        answered = self.answer[at].sum(axis=0, dtype=np.int16) >= self.answered[some]
+        alone = (words > 0) & (words >= self.same[some])
+        found = tuple(np.flatnonzero(x) for x in ((words > 0) & half & answered | alone, alone))
+        return found if of is None else (of[found[0]], of[found[1]])
+
+
 class Model(NamedTuple):
     """What tasks need of a block of the benchmark."""
 
@@ -123,6 +164,7 @@ class Model(NamedTuple):
     rows: np.ndarray  # the benchmark passages in the term space
     norms: np.ndarray
     axes: np.ndarray  # terms x latent dimensions
+    needs: Needs
 
     def weights(self, term: np.ndarray, count: np.ndarray) -> np.ndarray:
         return (1 + np.log(count)) * self.idf[term]
@@ -154,9 +196,14 @@ def _frequencies(texts: DataFrame, term: dict[bytes, int]) -> tuple[np.ndarray,
     return out[:-1], int(out[-1])
 
 
+KEPT = pa.schema([("doc_id", pa.int64()), ("body", pa.int64()), ("region", pa.binary()), ("terms", pa.list_(pa.int64())),
+                  ("counts", pa.list_(pa.int64())), ("norm", pa.float64()), ("sure", pa.list_(pa.int32()))])
+
+
 def _kept(docs: DataFrame, shared) -> DataFrame:
-    """Stored: doc_id, body, region, terms, counts, norm of the passages worth a search.  The
-    region is the passage with half a passage on either side."""
+    """Stored: doc_id, body, region, terms, counts, norm, sure of the passages worth a search.  The
+    region is the passage with half a passage on either side; ``sure`` are the benchmark passages of
+    which it may hold ``SAME`` of the words."""
     @returning
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
@@ -170,7 +217,8 @@ def _kept(docs: DataFrame, shared) -> DataFrame:
                 own = words(text)
                 if not own:
                     continue
-                passage, term, count, other, n = passages(np.fromiter(map(get, own, repeat(-1)), np.int64, len(own)), number)
+                ids = np.fromiter(map(get, own, repeat(-1)), np.int64, len(own))
+                passage, term, count, other, n = passages(ids, number)
                 weight = model.weights(term, count)
                 norm = np.sqrt(np.bincount(passage, weight ** 2, n) + other * model.other ** 2)
                 # what one benchmark passage can add to the product with this one, at most
@@ -178,17 +226,23 @@ def _kept(docs: DataFrame, shared) -> DataFrame:
                 longer = np.bincount(passage, weight * most[1][term], n)
                 good = (shorter >= SHARE - 1e-9) | (longer >= SHARE * norm - 1e-9)
                 good &= norm > 0
+                sure, maybe = {}, model.needs.met(ids)[0]   # of the whole text, then of each region
+                if len(maybe):
+                    for i in range(n):
+                        some, alone = model.needs.met(ids[max(0, (i - 1) * STEP):(i + 3) * STEP], maybe)
+                        if len(some):
+                            sure[i], good[i] = alone.tolist(), True
                 if not good.any():
                     continue
                 edges = np.searchsorted(passage, np.arange(n + 1))
                 for i in np.flatnonzero(good).tolist():
                     a, b = edges[i], edges[i + 1]
                     out.append({"doc_id": doc, "body": body, "region": b" ".join(own[max(0, (i - 1) * STEP):(i + 3) * STEP]),
-                                "terms": term[a:b].tolist(), "counts": count[a:b].tolist(), "norm": float(norm[i])})
+                                "terms": term[a:b].tolist(), "counts": count[a:b].tolist(), "norm": float(norm[i]), "sure": sure.get(i, [])})
             if out:
-                yield pa.RecordBatch.from_pylist(out)
+                yield pa.RecordBatch.from_pylist(out, KEPT)
 
-    return keep(docs.mapInArrow(kept, "doc_id long, body long, region binary, terms array<long>, counts array<long>, norm double"), "passages")
+    return keep(docs.mapInArrow(kept, "doc_id long, body long, region binary, terms array<long>, counts array<long>, norm double, sure array<int>"), "passages")
 
 
 def _dense(model: Model, rows: pa.RecordBatch | pd.DataFrame, norms: np.ndarray) -> np.ndarray:
@@ -252,8 +306,8 @@ def _axes(kept: DataFrame, shared, model: Model) -> np.ndarray:
     return basis @ vector[:, np.argsort(-value)[:rank]]
 
 
-def _rarest(query: Query, model: Model) -> list[bytes]:
-    return sorted(set(query.last), key=lambda w: (-model.idf[model.term[w]], w))[:ANSWER]
+def _rarest(query: Query, term: dict[bytes, int], idf: np.ndarray) -> list[bytes]:
+    return sorted(set(query.last), key=lambda w: (-idf[term[w]], w))[:ANSWER]
 
 
 def judged(query: Query, answer: list[bytes], region: list[bytes]) -> tuple[float, bool, bool]:
@@ -273,14 +327,17 @@ def _found(kept: DataFrame, shared) -> DataFrame:
     def found(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model: Model = shared.value
         latent = _unit(model.rows @ model.axes)
-        answers = [_rarest(q, model) for q in model.queries]
+        answers = [_rarest(q, model.term, model.idf) for q in model.queries]
         for frame in frames:
             for i in range(0, len(frame), 256):
                 some = frame.iloc[i:i + 256]
                 cosine = _unit(_dense(model, some, some["norm"].to_numpy()) @ model.axes) @ latent.T
                 out = []
                 regions = some["region"].tolist()
-                for p, q in zip(*np.nonzero(cosine >= COSINE)):
+                near = cosine >= COSINE
+                for p, sure in enumerate(some["sure"]):
+                    near[p, np.asarray(sure, np.int64)] = True
+                for p, q in zip(*np.nonzero(near)):
                     share, answered, hit = judged(model.queries[q], answers[q], bytes(regions[p]).split(b" "))
                     if hit:
                         row = some.iloc[p]
@@ -303,7 +360,8 @@ def _block(docs: DataFrame, own: list[Query]) -> DataFrame:
     for i, q in enumerate(own):
         t, c = np.unique([term[w] for w in q.words], return_counts=True)
         rows[i, t] = (1 + np.log(c)) * idf[t]
-    model = Model(own, term, idf, max(float(np.log(1 + total) + np.log(COMMON)), LEAST), rows, np.sqrt((rows * rows).sum(axis=1)), np.zeros((0, 0)))
+    model = Model(own, term, idf, max(float(np.log(1 + total) + np.log(COMMON)), LEAST), rows, np.sqrt((rows * rows).sum(axis=1)), np.zeros((0, 0)),
+                  Needs.of(own, [_rarest(q, term, idf) for q in own], term))
     shared = spark.sparkContext.broadcast(model)
     kept = _kept(docs, shared)
     return _found(kept, spark.sparkContext.broadcast(model._replace(axes=_axes(kept, shared, model))))

@@ -80,6 +80,24 @@ def test_long_items_are_found_by_any_of_their_passages(docs, items):
     assert hits(dc.find(docs([(1, filler(1, 100) + " " + part), (2, filler(2, 300))]), items([(1, long)]))) == {(1, 1)}
 
 
+def test_pairs_that_meet_the_check_are_found_whatever_their_weight(docs, items):
+    """Common words weigh next to nothing, yet they make up most of the passage; against all regions by brute force."""
+    plain = [["the", "of", "and", "to", "in"][i * i % 5] for i in range(24)]
+    bench = [(1, " ".join([*plain, "quarzil", "xendor", "plomvik"])), (2, ITEM)]
+    rows = [(i, filler(i, 200)) for i in range(30)] + [(100, f"{filler(60, 90)} {' '.join(plain)} {filler(61, 90)}"), (101, " ".join(plain)), (102, f"{PARA} {filler(62, 99)}")]
+    # no answer is in a text without its rare words, so the share alone decides there
+    want = set()
+    for doc, text in rows:
+        own = dc.words(text)
+        for item, passage in bench:
+            q = dc.words(passage)
+            most = max(dc.lcs(q, own[max(0, i - dc.STEP):i + 3 * dc.STEP]) for i in range(0, len(own), dc.STEP)) / len(q)
+            if most >= dc.SAME or (item == 2 and most >= dc.PARAPHRASED):
+                want.add((doc, item))
+    assert {(100, 1), (101, 1), (102, 2)} <= want
+    assert hits(dc.find(docs(rows), items(bench))) == want
+
+
 def test_blocks_of_the_benchmark(docs, items, monkeypatch):
     monkeypatch.setattr(dc, "BLOCK_ITEMS", 1)
     assert hits(dc.find(docs([(1, ITEM), (2, OTHER), (3, filler(1, 80))]), items([(1, ITEM), (2, OTHER)]))) == {(1, 1), (2, 2)}
