@@ -24,6 +24,16 @@ def line(spark):
     return features.assembler(["x"], "features").transform(df).cache()
 
 
+def test_mixture_of_distinct_rows_with_weights(spark):
+    """Iterations cost distinct rows, and the parts' shares are those of all rows."""
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(0.0)).otherwise(F.lit(100.0)).alias("x"), (F.col("id") % 5).cast("double").alias("y"))
+    few = models.weighted(features.assembler(["x", "y"], "features").transform(df), ["features"])
+    assert few.count() == 10 and few.agg(F.sum("weight")).first()[0] == 3000
+    model = models.gaussian_mixture(2, weightCol="weight").fit(models.prepared(few))
+    means = sum(w * g.mean.toArray() for w, g in zip(model.weights, model.gaussians))
+    assert sum(model.weights) == pytest.approx(1) and means == pytest.approx([200 / 3, 2.0])
+
+
 def test_tokens_and_stop_words(spark):
     df = spark.createDataFrame([("The Red  HAT",)], "text string")
     terms = features.tokenizer("text", "terms").transform(df)
