@@ -42,6 +42,19 @@ def test_tokens_and_stop_words(spark):
     assert kept.first()["kept"] == ["red", "", "hat"]
 
 
+def test_large_vocabulary_reaches_the_model_at_once(spark, monkeypatch):
+    """Not term by term: each would be a call to the JVM."""
+    monkeypatch.setattr("pyspark.ml.feature.CountVectorizerModel._new_java_array", None)
+    terms = [f"w{i:05d}" for i in range(20_000)] + ["", "\u00e4\U0001f600"]
+    df = spark.createDataFrame([(terms,), (["w00007", "", ""],)], "terms array<string>")
+    known = features.vocabulary(df, "terms")
+    assert known[:2] == ["", "w00007"] and sorted(known) == sorted(terms)
+    model = features.counter(known, "terms", "v")
+    found = model.transform(df).select(features.vector_to_array("v").alias("v")).collect()
+    assert len(found[0].v) == 20_002 and set(found[0].v) == {1.0}
+    assert [(i, n) for i, n in enumerate(found[1].v) if n] == [(0, 2.0), (1, 1.0)]
+
+
 def test_vocabulary_breaks_ties_and_honours_min_df(spark):
     df = spark.createDataFrame([(["b", "a", "z", "z"],), (["a", "b"],)], "terms array<string>")
     assert features.vocabulary(df, "terms", 3, min_df=2) == ["a", "b"]
