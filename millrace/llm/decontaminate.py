@@ -258,8 +258,12 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.sqrt((rows * rows).sum(axis=1, keepdims=True)), 1e-30)
 
 
-def _gram(kept: DataFrame, shared, factor: np.ndarray) -> tuple[np.ndarray, int]:
-    """Mean over the kept passages of row-transposed times row times ``factor``."""
+SUMS = "n long, total binary"
+
+
+def _sums(kept: DataFrame, shared, factor: np.ndarray) -> DataFrame:
+    """n, total: of some kept passages each, the sum of row-transposed times row times ``factor``.  A sum has the
+    size of the sketch, so there are no more of them than cores, however many files the passages are in."""
     size = kept.sparkSession.sparkContext.broadcast(factor.astype(np.float32))
     shape = factor.shape
 
@@ -275,6 +279,13 @@ def _gram(kept: DataFrame, shared, factor: np.ndarray) -> tuple[np.ndarray, int]
         if n:
             yield pd.DataFrame([{"n": n, "total": total.tobytes()}])
 
+    return kept.select("terms", "counts", "norm").coalesce(kept.sparkSession.sparkContext.defaultParallelism).mapInPandas(part, SUMS)
+
+
+def _gram(kept: DataFrame, shared, factor: np.ndarray) -> tuple[np.ndarray, int]:
+    """Mean over the kept passages of row-transposed times row times ``factor``."""
+    shape = factor.shape
+
     def added(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, n = np.zeros(shape), 0
         for frame in frames:
@@ -284,9 +295,8 @@ def _gram(kept: DataFrame, shared, factor: np.ndarray) -> tuple[np.ndarray, int]
         if n:
             yield pd.DataFrame([{"n": n, "total": total.tobytes()}])
 
-    kind = "n long, total binary"
-    sums = kept.select("terms", "counts", "norm").mapInPandas(part, kind)
-    row = sums.repartition(8).mapInPandas(added, kind).repartition(1).mapInPandas(added, kind).first()
+    some = kept.sparkSession.sparkContext.defaultParallelism // 8 + 1
+    row = _sums(kept, shared, factor).repartition(some).mapInPandas(added, SUMS).repartition(1).mapInPandas(added, SUMS).first()
     return (np.frombuffer(row.total).reshape(shape), row.n) if row else (np.zeros(shape), 0)
 
 

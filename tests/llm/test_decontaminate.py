@@ -33,6 +33,17 @@ def hits(found):
     return {(r.doc_id, r.item_id) for r in found.collect()}
 
 
+def test_as_many_sums_as_cores(spark):
+    """A sum has the size of the sketch: one for each of many small files would fill the disks."""
+    model = dc.Model([], {b"a": 0, b"b": 1}, np.ones(2), 1.0, np.zeros((0, 2)), np.zeros(0), np.zeros((0, 0)), None)
+    kept = spark.range(640).select(F.array(F.col("id") % 2).alias("terms"), F.array(F.lit(1)).alias("counts"), F.lit(2.0).alias("norm"))
+    shared = spark.sparkContext.broadcast(model)
+    sums = dc._sums(kept.repartition(64), shared, np.eye(2)).collect()
+    assert len(sums) <= spark.sparkContext.defaultParallelism and sum(r.n for r in sums) == 640
+    total, n = dc._gram(kept.repartition(64), shared, np.eye(2))
+    assert n == 640 and total.tolist() == [[80.0, 0.0], [0.0, 80.0]]
+
+
 def test_subsequence():
     assert dc.lcs(b"a b c d".split(), b"x a y c d b".split()) == 3
     assert dc.lcs([], [b"a"]) == 0 == dc.lcs([b"a"], [])
