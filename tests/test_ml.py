@@ -415,3 +415,25 @@ def test_a_training_piece_is_bounded_by_rows(spark):
     assert sizes.agg(F.max("count"), F.sum("count")).first() == (1000, 40_000)
     assert got.join(spark.range(3).withColumnRenamed("id", "k"), "k").count() == 40_000   # with a frame of the caller's session
     assert spark.conf.get("spark.sql.files.openCostInBytes") != spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+
+def test_metrics_predict_once(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+
+    data = [(float(i), 1.1 * i + i % 3) for i in range(50)]
+    met = spark.sparkContext.accumulator(0)
+
+    def seen(frames):
+        for frame in frames:
+            met.add(len(frame))
+            yield frame
+
+    df = spark.createDataFrame(data, "prediction double, label double")
+    found = models.regression_metrics(df.mapInPandas(seen, df.schema))
+    assert met.value == 50
+    for name, value in found.items():
+        assert value == pytest.approx(RegressionEvaluator(metricName=name).evaluate(df), abs=1e-12)
+    blank = models.regression_metrics(df.union(df.limit(1).selectExpr("CAST(NULL AS double)", "label")))
+    assert all(np.isnan(v) for v in blank.values())
+    with pytest.raises(ValueError):
+        models.regression_metrics(df.limit(0))
