@@ -437,3 +437,20 @@ def test_metrics_predict_once(spark):
     assert all(np.isnan(v) for v in blank.values())
     with pytest.raises(ValueError):
         models.regression_metrics(df.limit(0))
+
+
+def test_moments_give_the_same_search(spark):
+    df = spark.range(3000).select("id", (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 7 * 3 + F.pmod(F.xxhash64("id"), F.lit(90))).cast("double").alias("label"))
+    folded = features.assembler(["x"], "features").transform(df).withColumn("fold", models.fold_of(["id"], 2)).select("fold", "features", "label")
+    few = models.moments(folded, ["fold", "features"])
+    assert few.count() == 2 * 2 * 7 and few.agg(F.sum("weight")).first()[0] == 3000
+    grid = {"regParam": [0.1, 3.0], "fitIntercept": [False, True], "elasticNetParam": [0.0, 0.5, 1.0]}
+    best, plain = models.grid_search(models.linear_regression(), models.regression_evaluator(), folded, grid, fold="fold")
+    same, short = models.grid_search(
+        models.linear_regression(weightCol="weight"), models.regression_evaluator(weightCol="weight"), few, grid, fold="fold")
+    expected, got = (dict(t.collect()) for t in (plain, short))
+    assert expected.keys() == got.keys() and len(got) == 12
+    assert all(got[k] == pytest.approx(v, rel=1e-9) for k, v in expected.items())
+    assert same.coefficients[0] == pytest.approx(best.coefficients[0], rel=1e-9) and same.intercept == pytest.approx(best.intercept, rel=1e-9)
+    one = spark.createDataFrame([(1, 5.0), (2, None)], "k int, label double")
+    assert rows(models.moments(one, ["k"])) == [(1, 5.0, 1.0), (2, None, 1.0)]
