@@ -454,3 +454,30 @@ def test_moments_give_the_same_search(spark):
     assert same.coefficients[0] == pytest.approx(best.coefficients[0], rel=1e-9) and same.intercept == pytest.approx(best.intercept, rel=1e-9)
     one = spark.createDataFrame([(1, 5.0), (2, None)], "k int, label double")
     assert rows(models.moments(one, ["k"])) == [(1, 5.0, 1.0), (2, None, 1.0)]
+
+
+def test_survivors_are_fitted_to_distinct_rows_without_python(spark, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    train, plans = _points(spark), []
+    fit = forest_search.RandomForestClassifier.fit
+
+    def seen(self, df, *rest):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        assert df.schema["label"].metadata["ml_attr"]["num_vals"] == 2
+        return fit(self, df, *rest)
+
+    monkeypatch.setattr(forest_search.RandomForestClassifier, "fit", seen)
+    grid = {"maxDepth": [1, 2, 3], "featureSubsetStrategy": ["2"], "minInstancesPerNode": [1], "bootstrap": [False], "impurity": ["gini"], "numTrees": [2]}
+    found = forest_search.halving_search(train, ["id"], grid, folds=2)
+    monkeypatch.undo()
+    assert len(plans) == 5 and not any("Python" in p or "InMemoryTableScan" in p for p in plans)
+    assert found.best.transform(train).select("prediction", "probability").count() == 600
+    assert found.best.getWeightCol() == "weight" and found.best.trees[0].numNodes > 1
+    weighted = found.tried.where("rung = 1").collect()
+    folds = train.withColumn("f", F.pmod(F.xxhash64("id"), F.lit(2)))
+    for r in weighted:
+        depth = int(dict(p.split("=") for p in r.setting.split(", "))["maxDepth"])
+        learner = RandomForestClassifier(maxDepth=depth, featureSubsetStrategy="2", bootstrap=False, impurity="gini", numTrees=2, seed=models.SEED)
+        plain = [models.class_metrics(learner.fit(folds.where(f"f <> {i}")).transform(folds.where(f"f = {i}")))["accuracy"] for i in range(2)]
+        assert abs(r.metric - sum(plain) / 2) < 1e-9
