@@ -8,9 +8,9 @@ cannot occur: Spark strings are UTF-8.
 from __future__ import annotations
 
 import base64
-import heapq
 import struct
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +28,10 @@ STEP = 0x9E3779B97F4A7C15
 REMEMBERED = 100_000
 #: Bytes of text of which a task holds ids and pieces before they become Arrow's.
 SLICE = 4 << 20
-#: Bits of a heap's entry that are the place, the rest are the rank.
-PLACE = 40
+#: Bits of a heap's entry that are the place, the rest are the rank: so few for most pieces that an entry
+#: is one digit of Python's numbers.
+PLACE = 14
+LONG_PLACE = 40
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -84,22 +86,35 @@ class PerfectHash:
         return self.ranks[s] if self.keys[s] == key else None
 
 
-def merge(piece: bytes, rank: dict[bytes, int]) -> list[int]:
+def byte_pairs(rank: dict[bytes, int]) -> list[int]:
+    """Ranks of all pairs of bytes (-1: none) by the number that the two make."""
+    out = [-1] * (1 << 16)
+    for token, r in rank.items():
+        if len(token) == 2:
+            out[token[0] << 8 | token[1]] = r
+    return out
+
+
+def merge(piece: bytes, rank: dict[bytes, int], pairs: list[int] | None = None) -> list[int]:
     """Ids of a piece: again and again the pair of neighbours of least rank (the leftmost
     of equals) becomes one part.  Parts are a linked list, pairs wait in a heap; ``pair`` has the
-    rank of the pair that begins at a place now, so one that has changed since is passed over."""
+    rank of the pair that begins at a place now, so one that has changed since is passed over.
+    ``pairs`` are the ``byte_pairs`` of the ranks."""
+    pairs = pairs or byte_pairs(rank)
     n, get = len(piece), rank.get
-    after, before = list(range(1, n + 1)), list(range(-1, n))
-    pair = [get(piece[i:i + 2], -1) for i in range(n - 1)]
+    shift = PLACE if n < 1 << PLACE else LONG_PLACE
+    place = (1 << shift) - 1
+    pair = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]
+    heap = [r << shift | i for i, r in enumerate(pair) if r >= 0]
+    heapify(heap)
     pair.append(-1)
-    heap = [r << PLACE | i for i, r in enumerate(pair) if r >= 0]
-    heapq.heapify(heap)
-    place = (1 << PLACE) - 1
+    after, before, merged = list(range(1, n + 1)), list(range(-1, n)), [-1] * n
     while heap:
-        top = heapq.heappop(heap)
-        i = top & place
-        if pair[i] != top >> PLACE:
+        top = heappop(heap)
+        i, r = top & place, top >> shift
+        if pair[i] != r:
             continue
+        merged[i] = r
         j = after[i]
         end = after[i] = after[j]
         pair[j] = -1
@@ -107,17 +122,18 @@ def merge(piece: bytes, rank: dict[bytes, int]) -> list[int]:
             before[end] = i
             r = pair[i] = get(piece[i:after[end]], -1)
             if r >= 0:
-                heapq.heappush(heap, r << PLACE | i)
+                heappush(heap, r << shift | i)
         else:
             pair[i] = -1
         k = before[i]
         if k >= 0:
             r = pair[k] = get(piece[k:end], -1)
             if r >= 0:
-                heapq.heappush(heap, r << PLACE | k)
+                heappush(heap, r << shift | k)
     ids, i = [], 0
     while i < n:
-        ids.append(rank[piece[i:after[i]]])
+        r = merged[i]
+        ids.append(r if r >= 0 else rank[piece[i:i + 1]])
         i = after[i]
     return ids
 
@@ -129,6 +145,7 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], whole: PerfectHash, pattern: str, remembered: int = REMEMBERED):
         self.rank, self.whole, self.remembered = ranks, whole, remembered
+        self.pairs = byte_pairs(ranks)
         self.split = regex.compile(pattern).findall
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -141,7 +158,7 @@ class Encoder:
         if out is None:
             piece = token.encode()
             one = self.whole.get(piece)
-            ids = (one,) if one is not None else merge(piece, self.rank)
+            ids = (one,) if one is not None else merge(piece, self.rank, self.pairs)
             out = struct.pack(f"<{len(ids)}I", *ids)
         if len(self.young) >= self.remembered:
             self.young, self.old = {}, self.young

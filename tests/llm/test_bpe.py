@@ -79,3 +79,12 @@ def test_query_against_the_library(spark, sf_dir, documents, twin):
         own = got[r.doc_id]
         assert (own.n_tokens, own.ids_sha256) == (len(want), hashlib.sha256(want.tobytes()).hexdigest())
         assert own.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
+
+
+def test_places_of_long_pieces_do_not_run_into_ranks():
+    tiny = {bytes([c]): i for i, c in enumerate(b"ab")} | {b"ab": 2, b"abab": 3}
+    pairs = bpe.byte_pairs(tiny)
+    assert [pairs[c] for c in (0x6162, 0x6261, 0x6161)] == [2, -1, -1]
+    for n in (1, 2, (1 << bpe.PLACE - 1) - 1, 1 << bpe.PLACE - 1, (1 << bpe.PLACE) + 3):
+        assert bpe.merge(b"ab" * n, tiny, pairs) == bpe.merge(b"ab" * n, tiny) == [3] * (n // 2) + [2] * (n % 2)
+    assert bpe.merge(b"bba", tiny, pairs) == [1, 1, 0]
