@@ -34,9 +34,11 @@ class LabelNumbers(Estimator, _Columns, MLReadable, MLWritable):
 
     def _fit(self, df: DataFrame) -> "LabelNumbersModel":
         each = F.array(*[F.struct(F.lit(i).alias("column"), F.col(c).cast("string").alias("label")) for i, (c, _) in enumerate(self.pairs())])
+        # rows that agree in all columns are counted before they become a row for each column
+        alike = df.groupBy(*dict.fromkeys(c for c, _ in self.pairs())).agg(F.count("*").alias("__rows"))
         counts = (
-            df.select(F.inline(each)).where(F.col("label").isNotNull())
-            .groupBy("column", "label").agg((-F.count("*")).alias("__n"))
+            alike.select("__rows", F.inline(each)).where(F.col("label").isNotNull())
+            .groupBy("column", "label").agg((-F.sum("__rows")).alias("__n"))
         )
         numbered = row_position(counts, ["column"], ["__n", "label"], "position")
         labels = keep(numbered.select("column", "label", (F.col("position") - 1).cast("double").alias("number")), "labels")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from millrace.functions.parsing import to_time, to_type, zero_for_null
 from millrace.ml import features, models
 from millrace.ml.labels import LabelNumbers
+from millrace.ml.values import EachValue
 from millrace.operators import ddl
 from millrace.operators.aggregates import dedupe
 from millrace.sources import sinks
@@ -40,14 +41,14 @@ def feature_pipeline(
 ) -> Pipeline:
     """All stages from text, category, price and month columns to ``features``,
     ``scaled_features`` and ``selected_features``, as one estimator."""
+    words = [features.tokenizer(description, "desc_terms"), features.stop_words_remover("desc_terms", "desc_nostops")]
     return Pipeline(stages=[
-        features.tokenizer(description, "desc_terms"),
-        features.stop_words_remover("desc_terms", "desc_nostops"),
         SQLTransformer(statement=f"SELECT *, month(`{time}`) AS invoice_month FROM __THIS__"),
-        features.word_learner("desc_nostops", "desc_vec", parts=parts),
+        features.binarizer(price, "binarized_price", price_threshold),
+        EachValue(columns=[description], stages=words),
+        EachValue(columns=["desc_nostops"], stages=[features.word_learner("desc_nostops", "desc_vec", parts=parts)]),
         LabelNumbers(inputs=[country, quantity, "invoice_month"], outputs=["country_indexed", "quantity_indexed", "month_indexed"]),
         features.one_hot("country_indexed", "country_ohe"),
-        features.binarizer(price, "binarized_price", price_threshold),
         features.assembler(["desc_vec", "country_ohe", "binarized_price", "month_indexed", "quantity_indexed"], "features"),
         features.scaler("features", "scaled_features"),
         features.slicer("scaled_features", "selected_features", [1]),

@@ -481,3 +481,44 @@ def test_survivors_are_fitted_to_distinct_rows_without_python(spark, monkeypatch
         learner = RandomForestClassifier(maxDepth=depth, featureSubsetStrategy="2", bootstrap=False, impurity="gini", numTrees=2, seed=models.SEED)
         plain = [models.class_metrics(learner.fit(folds.where(f"f <> {i}")).transform(folds.where(f"f = {i}")))["accuracy"] for i in range(2)]
         assert abs(r.metric - sum(plain) / 2) < 1e-9
+
+
+def test_feature_job_splits_each_text_once(spark, folder):
+    """The stages of texts run on distinct descriptions, and every row gets what they would make of it."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import SQLTransformer
+
+    from millrace.ml.values import EachValue
+
+    base = _retail(spark, 60)
+    model = feature_job.fit_features(base)
+    texts = [s for s in model.stages if type(s).__name__ == "EachValueModel"]
+    assert [s.getOrDefault("columns") for s in texts] == [["description"], ["desc_nostops"]]
+    plain = base.select("id", "description")
+    for s in texts:
+        plain = s.fitted.transform(plain)
+    job = model.transform(base).select(*plain.columns)
+    assert _same(plain, job)
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        calls.add(1)
+        return text.lower().split(" ")
+
+    spark.udf.register("counted_split", counted, "array<string>")
+    once = EachValue(columns=["description"], stages=[SQLTransformer(statement="SELECT *, counted_split(description) AS terms FROM __THIS__")])
+    out = once.fit(base).transform(base)
+    assert out.count() == 60 and calls.value == base.select("description").distinct().count() < 60
+    # the unfitted job can be saved too, and nulls are a value
+    unfitted = EachValue(columns=["k"], stages=[features.binarizer("x", "y", 1.0)])
+    Pipeline(stages=[EachValue(columns=["k", "x"], stages=unfitted.stages)]).save(folder)
+    again = Pipeline.load(folder).fit(spark.createDataFrame([("a", 1.0)], "k string, x double"))
+    rows_in = spark.createDataFrame([(None, 2.0), (None, 2.0), ("a", 1.0)], "k string, x double")
+    assert rows(again.transform(rows_in)) == [("a", 1.0, 0.0), (None, 2.0, 1.0), (None, 2.0, 1.0)]
+
+
+def test_order_lines_are_read_once(spark, sf_dir):
+    from millrace.queries.features import retail_rows
+
+    text = retail_rows(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Relation [l_orderkey") == 1
