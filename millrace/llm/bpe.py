@@ -26,7 +26,7 @@ MASK = (1 << 64) - 1
 STEP = 0x9E3779B97F4A7C15
 #: Pre-tokens of a generation; a task remembers two generations at most.
 REMEMBERED = 100_000
-#: Bytes of text of which a task holds ids and pieces before they become Arrow's.
+#: Bytes of text of which a task holds ids and pieces before they become Arrow's and are handed on.
 SLICE = 4 << 20
 #: Bits of a heap's entry that are the place, the rest are the rank: so few for most pieces that an entry
 #: is one digit of Python's numbers.
@@ -210,7 +210,8 @@ def encoder(spark: SparkSession, ranks_path: str, pattern: str):
     def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         of = Encoder(*shared.value, pattern)
         for batch in texts:
-            yield pa.concat_arrays([pa.array([of.encode(t) for t in part], pa.binary()) for part in sliced(batch)])
+            for part in sliced(batch):
+                yield pa.array([of.encode(t) for t in part], pa.binary())
 
     return F.arrow_udf(encode, "binary")
 
@@ -223,7 +224,8 @@ def decoder(spark: SparkSession, ranks_path: str):
     def decode(ids: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = np.array(shared.value, object)
         for batch in ids:
-            yield pa.concat_arrays([pa.array([decoded(x, pieces) for x in part], pa.binary()) for part in sliced(batch)])
+            for part in sliced(batch):
+                yield pa.array([decoded(x, pieces) for x in part], pa.binary())
 
     return F.arrow_udf(decode, "binary")
 
@@ -238,12 +240,10 @@ def round_trip(spark: SparkSession, ranks_path: str, pattern: str):
         of = Encoder(*shared.value, pattern)
         pieces = np.array(pieces_of(of.rank), object)
         for batch in texts:
-            out = []
             for part in sliced(batch):
                 ids = [of.encode(t) for t in part]
-                out.append(pa.StructArray.from_arrays(
-                    [pa.array(ids, pa.binary()), pa.array([decoded(x, pieces) for x in ids], pa.binary())], names=["ids", "decoded"]))
-            yield pa.concat_arrays(out)
+                yield pa.StructArray.from_arrays(
+                    [pa.array(ids, pa.binary()), pa.array([decoded(x, pieces) for x in ids], pa.binary())], names=["ids", "decoded"])
 
     return F.arrow_udf(both, "ids binary, decoded binary")
 

@@ -88,3 +88,18 @@ def test_places_of_long_pieces_do_not_run_into_ranks():
     for n in (1, 2, (1 << bpe.PLACE - 1) - 1, 1 << bpe.PLACE - 1, (1 << bpe.PLACE) + 3):
         assert bpe.merge(b"ab" * n, tiny, pairs) == bpe.merge(b"ab" * n, tiny) == [3] * (n // 2) + [2] * (n % 2)
     assert bpe.merge(b"bba", tiny, pairs) == [1, 1, 0]
+
+
+def test_a_worker_hands_on_slice_by_slice(spark):
+    """A batch of long texts is not held a second time as ids and a third time as decoded bytes."""
+    import pyarrow as pa
+
+    texts = ["one two three " * 100_000, None, "x " * 1_000_000, "", "four five " * 300_000, "six " * 1_000_000]
+    batch = pa.array(texts)
+    both = list(bpe.round_trip(spark, RANKS, public_tokenizers.PATTERN).func(iter([batch, batch.slice(0, 0)])))
+    assert len(both) > 3 and [len(p) for p in both][-1] == 0
+    assert [x["decoded"].decode() for p in both for x in p.to_pylist()] == [t or "" for t in texts]
+    assert max(p.field("decoded").nbytes for p in both) < batch.nbytes / 2
+    again = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").coalesce(1)
+    out = again.select("i", bpe.round_trip(spark, RANKS, public_tokenizers.PATTERN)("t").alias("x")).select("i", "x.decoded").collect()
+    assert {r.i: bytes(r.decoded).decode() for r in out} == {i: t or "" for i, t in enumerate(texts)}
